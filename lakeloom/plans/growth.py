@@ -19,8 +19,16 @@ def cells(df: DataFrame, keys: list[str], value: Column, dims: dict[str, Column]
     return df.groupBy(*keys).agg(*[F.round(F.sum(F.when(c, value)), 4).alias(n) for n, c in dims.items()])
 
 
-def _year_cells(*channels: str, years=(1999, 2000)):
-    return {f"{ch}_{y}": (F.col("channel") == ch) & (F.year("sold_on") == y) for ch in channels for y in years}
+def _year_cells(*channels: str):
+    """A column per channel and year; growth is measured from 1999 to 2000."""
+    return {f"{ch}_{y}": (F.col("channel") == ch) & (F.year("sold_on") == y) for ch in channels for y in (1999, 2000)}
+
+
+def _span_cells(*channels: str):
+    """A column per channel and span of three years, before and from 1998 on."""
+    early = F.col("sold_on") < F.lit("1998-01-01").cast("date")
+    return {f"{ch}_{name}": (F.col("channel") == ch) & c
+            for ch in channels for name, c in (("early", early), ("late", ~early))}
 
 
 _YT = """
@@ -29,23 +37,30 @@ WITH yt AS (
   FROM sales WHERE sold_at >= TIMESTAMP '1999-01-01' AND sold_at < TIMESTAMP '2001-01-01' GROUP BY 1, 2, 3)"""
 
 
-@query("growth_compare", _YT.format(value="(gross - gross * discount + gross * tax) / 2") + """
+_SPANS = """
+WITH yt AS (
+  SELECT buyer_id, channel, CASE WHEN sold_on < DATE '1998-01-01' THEN 1 ELSE 2 END AS span,
+         round(sum((gross - gross * discount + gross * tax) / 2), 4) AS total
+  FROM sales WHERE sold_at >= TIMESTAMP '1995-01-01' AND sold_at < TIMESTAMP '2001-01-01' GROUP BY 1, 2, 3)
 SELECT s1.buyer_id AS buyer_id, buyer_name, segment
 FROM yt s1 JOIN yt s2 ON s2.buyer_id = s1.buyer_id JOIN yt c1 ON c1.buyer_id = s1.buyer_id
   JOIN yt c2 ON c2.buyer_id = s1.buyer_id JOIN yt w1 ON w1.buyer_id = s1.buyer_id
   JOIN yt w2 ON w2.buyer_id = s1.buyer_id JOIN buyer ON buyer.buyer_id = s1.buyer_id
 WHERE s1.channel = 'store' AND s2.channel = 'store' AND c1.channel = 'catalog' AND c2.channel = 'catalog'
-  AND w1.channel = 'web' AND w2.channel = 'web' AND s1.y = 1999 AND c1.y = 1999 AND w1.y = 1999
-  AND s2.y = 2000 AND c2.y = 2000 AND w2.y = 2000 AND s1.total > 0 AND c1.total > 0 AND w1.total > 0
-  AND CASE WHEN c1.total > 0 THEN c2.total / c1.total END > CASE WHEN s1.total > 0 THEN s2.total / s1.total END
-  AND CASE WHEN c1.total > 0 THEN c2.total / c1.total END > CASE WHEN w1.total > 0 THEN w2.total / w1.total END
-ORDER BY s1.buyer_id LIMIT 100""")
+  AND w1.channel = 'web' AND w2.channel = 'web' AND s1.span = 1 AND c1.span = 1 AND w1.span = 1
+  AND s2.span = 2 AND c2.span = 2 AND w2.span = 2 AND s1.total > 0 AND c1.total > 0 AND w1.total > 0
+  AND c2.total / c1.total > s2.total / s1.total AND c2.total / c1.total > w2.total / w1.total
+ORDER BY s1.buyer_id LIMIT 100"""
+
+
+@query("growth_compare", _SPANS)
 def growth_compare(s: Star):
     g = F.col("gross")
     value = (g - g * F.col("discount") + g * F.col("tax")) / 2
-    c = cells(s.sold_between("1999-01-01", "2001-01-01"), ["buyer_id"], value, _year_cells("store", "catalog", "web"))
+    channels = ("store", "catalog", "web")
+    c = cells(s.sold_between("1995-01-01", "2001-01-01"), ["buyer_id"], value, _span_cells(*channels))
     # a comparison with a missing cell is NULL, so buyers without all six cells drop out
-    grew = {ch: F.when(F.col(f"{ch}_1999") > 0, ratio(f"{ch}_2000", f"{ch}_1999")) for ch in ("store", "catalog", "web")}
+    grew = {ch: F.when(F.col(f"{ch}_early") > 0, ratio(f"{ch}_late", f"{ch}_early")) for ch in channels}
     return (c.filter((grew["catalog"] > grew["store"]) & (grew["catalog"] > grew["web"]))
             .join(s.buyer.select("buyer_id", "buyer_name", "segment"), "buyer_id")
             .select("buyer_id", "buyer_name", "segment").orderBy("buyer_id").limit(100))

@@ -29,25 +29,26 @@ _MONTH_NO = "CAST(year(shipped_on) * 12 + month(shipped_on) AS BIGINT)"
 
 @query("cov_pairs", f"""
 WITH m AS (
-  SELECT item_id, outlet_region, {_MONTH_NO} AS month_no, count(*) AS n,
+  SELECT brand, outlet_region, {_MONTH_NO} AS month_no,
          round(round(sum(quantity), 2) / count(quantity), 6) AS mean, round(stddev_samp(quantity), 6) AS std
-  FROM lines JOIN outlet USING (outlet_id)
+  FROM lines JOIN outlet USING (outlet_id) JOIN item USING (item_id)
   WHERE shipped_at >= TIMESTAMP '1999-01-01' AND shipped_at < TIMESTAMP '2000-01-01' GROUP BY 1, 2, 3),
 v AS (SELECT *, round(CASE WHEN mean = 0 THEN NULL ELSE std / mean END, 4) AS cov FROM m
-      WHERE CASE WHEN mean = 0 THEN 0 ELSE std / mean END > 0.4)
-SELECT a.item_id AS item_id, a.outlet_region AS outlet_region, a.month_no AS month_no, a.mean AS mean, a.cov AS cov,
+      WHERE CASE WHEN mean = 0 THEN 0 ELSE std / mean END > 0.7)
+SELECT a.brand AS brand, a.outlet_region AS outlet_region, a.month_no AS month_no, a.mean AS mean, a.cov AS cov,
        b.mean AS mean_later, b.cov AS cov_later
-FROM v a JOIN v b ON b.item_id = a.item_id AND b.outlet_region = a.outlet_region AND b.month_no = a.month_no + 1""")
+FROM v a JOIN v b ON b.brand = a.brand AND b.outlet_region = a.outlet_region AND b.month_no = a.month_no + 1""")
 def cov_pairs(s: Star):
     lines = (s.lines.filter(in_dates("shipped_at", "1999-01-01", "2000-01-01"))
-             .join(s.outlet.select("outlet_id", "outlet_region"), "outlet_id"))
+             .join(s.outlet.select("outlet_id", "outlet_region"), "outlet_id")
+             .join(s.item.select("item_id", "brand"), "item_id"))
     month_no = (F.year("shipped_on") * 12 + F.month("shipped_on")).cast("bigint")
     mean = F.round(F.try_divide(F.round(F.sum("quantity"), 2), F.count("quantity")), 6)
-    monthly = (lines.groupBy("item_id", "outlet_region", month_no.alias("month_no"))
+    monthly = (lines.groupBy("brand", "outlet_region", month_no.alias("month_no"))
                .agg(mean.alias("mean"), F.round(F.stddev_samp("quantity"), 6).alias("std")))
     share = ratio("std", "mean")
-    varied = monthly.filter(share > 0.4).withColumn("cov", F.round(share, 4)).drop("std")
-    return against_offset(varied, ["item_id", "outlet_region"], "month_no", 1, ["mean", "cov"])
+    varied = monthly.filter(share > 0.7).withColumn("cov", F.round(share, 4)).drop("std")
+    return against_offset(varied, ["brand", "outlet_region"], "month_no", 1, ["mean", "cov"])
 
 
 def moments(df: DataFrame, keys: list[str], value: str, prefix: str) -> DataFrame:
@@ -61,7 +62,7 @@ def moments(df: DataFrame, keys: list[str], value: str, prefix: str) -> DataFram
 def _stats(n: Column, total: Column, squares: Column, prefix: str) -> list[Column]:
     mean = ratio(total, n)
     var = F.try_divide(squares - total * mean, (n - 1).cast("double"))
-    std = F.sqrt(F.greatest(var, F.lit(0.0)))
+    std = F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))
     return [n.alias(f"{prefix}_count"), F.round(mean, 6).alias(f"{prefix}_avg"), F.round(std, 6).alias(f"{prefix}_std"),
             F.round(ratio(std, mean), 6).alias(f"{prefix}_cov")]
 

@@ -1,7 +1,7 @@
-"""Per-vehicle smoothing of positions: a grouped-map job."""
+"""Per-vehicle smoothing of positions."""
 
+import math
 from collections.abc import Iterator
-from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,8 @@ class Track:
 
     def step(self, t: float, x: float, y: float) -> tuple[float, float, float, float]:
         if self.t is None:
+            if math.isnan(x) or math.isnan(y):  # no position yet
+                return x, y, math.nan, math.nan
             self.t, self.x, self.y, self.vx, self.vy = t, x, y, 0.0, 0.0
             self.a, self.b, self.c = self.r, 0.0, self.v0
             return x, y, 0.0, 0.0
@@ -29,7 +31,7 @@ class Track:
         b = self.b + dt * self.c + q * dt ** 2 / 2
         c = self.c + q * dt
         px, py = self.x + dt * self.vx, self.y + dt * self.vy
-        if np.isnan(x) or np.isnan(y):  # nothing measured: keep the prediction
+        if math.isnan(x) or math.isnan(y):  # nothing measured: keep the prediction
             self.a, self.b, self.c, self.x, self.y = a, b, c, px, py
             return px, py, self.vx, self.vy
         gain_p, gain_v = a / (a + self.r), b / (a + self.r)
@@ -45,21 +47,25 @@ def kalman_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp"
                   measurement_noise: float = 1.0, velocity_variance: float = 1.0) -> DataFrame:
     """Adds x_smooth, y_smooth, vx and vy. A track is cut into slices of
     ``slice_seconds``; each is filtered on its own, which spreads a vehicle over
-    many tasks. Rows arrive sorted and in Arrow batches, so a slice need not fit
-    in memory."""
+    many tasks. Slices are brought together and sorted by Spark; Python sees one
+    stream of Arrow batches per task and starts a new filter where the slice
+    changes, so a slice need not fit in memory and short slices cost no call."""
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000.0)
     keyed = df.withColumns({"_t": seconds, "_slice": F.floor(seconds / slice_seconds)})
-    order = [vehicle, "_slice", "_t"] + ([tie] if tie else [])
-    # the sort extends the grouping order, so the grouped map adds no second one
-    ready = keyed.repartition(vehicle, "_slice").sortWithinPartitions(*order)
+    ready = keyed.repartition(vehicle, "_slice").sortWithinPartitions(
+        vehicle, "_slice", "_t", *([tie] if tie else []))
     schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in ("x_smooth", "y_smooth", "vx", "vy")])
     names = [f.name for f in schema.fields]
 
-    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        track = Track(process_noise, measurement_noise, velocity_variance)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, track = None, None
         for pdf in batches:
-            xs, ys = pdf[x].to_numpy(dtype=float), pdf[y].to_numpy(dtype=float)
-            out = np.array([track.step(*m) for m in zip(pdf["_t"].to_numpy(dtype=float), xs, ys)]).reshape(-1, 4)
+            out = np.empty((len(pdf), 4))
+            points = zip(pdf[vehicle], pdf["_slice"], pdf["_t"], pdf[x].astype(float), pdf[y].astype(float))
+            for i, (name, part, t, px, py) in enumerate(points):
+                if (name, part) != current:
+                    current, track = (name, part), Track(process_noise, measurement_noise, velocity_variance)
+                out[i] = track.step(t, px, py)
             yield pdf.assign(x_smooth=out[:, 0], y_smooth=out[:, 1], vx=out[:, 2], vy=out[:, 3])[names]
 
-    return ready.groupBy(vehicle, "_slice").applyInPandas(run, schema)
+    return ready.mapInPandas(run, schema)
