@@ -46,10 +46,8 @@ def in_first_only(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFram
     return flags.select(*keys)
 
 
-def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys in the left only, the right only and both, as one row."""
-    flags = membership({"l": left, "r": right}, keys)
-    return flags.agg(
-        F.count_if(F.col("l") & ~F.col("r")).alias("left_only"),
-        F.count_if(~F.col("l") & F.col("r")).alias("right_only"),
-        F.count_if(F.col("l") & F.col("r")).alias("both"))
+def overlap_counts(flags: DataFrame, left: str, right: str) -> DataFrame:
+    """Keys with the left flag only, the right flag only and both, as one row."""
+    a, b = F.col(left), F.col(right)
+    return flags.agg(F.count_if(a & ~b).alias("left_only"), F.count_if(~a & b).alias("right_only"),
+                     F.count_if(a & b).alias("both"))

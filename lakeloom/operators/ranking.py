@@ -74,6 +74,25 @@ def ranked(df: DataFrame, partition: Sequence[str], value: str, ascending: bool
     return _join_back(df, ranks, [*partition, value], name)
 
 
+def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Exact median per group, the mean of the two middle values for even counts.
+    NULL values are left out. No group's values are gathered: a distinct value
+    covers the positions from its rank on."""
+    part = list(keys)
+    values = df.filter(F.col(value).isNotNull())
+    counts = values.groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.groupBy(*part).agg(F.sum("_n").alias("_total"))
+    ranks = value_ranks(values, part, value, ascending=True, name="_rank")
+    placed = _join_back(_join_back(counts, ranks, part + [value], "_rank"), total, part, "_total")
+
+    def at(position):
+        covers = (F.col("_rank") <= position) & (position < F.col("_rank") + F.col("_n"))
+        return F.max(F.when(covers, F.col(value)))
+
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.ceil((F.col("_total") + 1) / 2)
+    return placed.groupBy(*part).agg(((at(lower) + at(upper)) / 2).alias(name))
+
+
 def _join_back(df: DataFrame, right: DataFrame, keys: Sequence[str], *keep: str) -> DataFrame:
     r = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], *keep)
     on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import ratio
+from lakeloom.operators.ranking import group_median
 
 
 def _measured(df: DataFrame) -> DataFrame:
@@ -19,17 +20,20 @@ def run_summary(df: DataFrame) -> DataFrame:
     t = F.col("query_time_seconds")
     ok_time = F.round(F.sum(F.when(ok, t)), 6)
     zero = F.lit(0).cast("bigint")
-    return _measured(df).groupBy("engine").agg(
+    measured = _measured(df)
+    totals = measured.groupBy("engine").agg(
         F.count(F.lit(1)).alias("total_queries"),
         F.count_if(ok).alias("success_count"),
         F.count_if(~ok).alias("failure_count"),
         F.round(ratio(F.count_if(ok), F.count(F.lit(1))), 4).alias("success_rate"),
         F.round(F.sum(t), 3).alias("total_runtime_seconds"),
-        F.round(F.coalesce(F.percentile(F.when(ok, t), 0.5), F.lit(0.0)), 3).alias("median_query_time_seconds"),
         F.round(F.coalesce(ratio(F.count_if(ok), ok_time), F.lit(0.0)), 6).alias("avg_throughput_qps"),
         F.coalesce(F.max(F.when(ok, F.col("peak_memory_bytes"))), zero).alias("max_peak_memory_bytes"),
         F.coalesce(F.sum(F.when(ok, F.col("spill_bytes"))), zero).alias("total_spill_bytes"),
         F.coalesce(F.sum(F.when(ok, F.col("cpu_time_millis"))), zero).alias("total_cpu_time_millis"))
+    medians = group_median(measured.filter(ok), ["engine"], "query_time_seconds")
+    return (totals.join(medians, "engine", "left")
+            .withColumn("median_query_time_seconds", F.round(F.coalesce("median", F.lit(0.0)), 3)).drop("median"))
 
 
 def _per_engine(df: DataFrame, value: Column, first: str, second: str, prefix: str):

@@ -38,8 +38,12 @@ def with_neighbours(df: DataFrame, partition: Sequence[str], steps: Sequence[str
 
 def against_offset(df: DataFrame, keys: Sequence[str], step: str, offset: int, values: Sequence[str],
                    suffix: str = "_later") -> DataFrame:
-    """Each row next to the row of the same keys ``offset`` steps later (equi-join
-    on a computed key)."""
-    later = df.select(*keys, (F.col(step) - offset).alias(step),
-                      *[F.col(v).alias(v + suffix) for v in values])
-    return df.join(later, [*keys, step], "inner")
+    """Each row next to the row of the same keys ``offset`` steps later, rows
+    without one left out. Steps are whole numbers, unique per key. A RANGE frame
+    of exactly ``offset`` reads the later row without a self-join."""
+    w = Window.partitionBy(*keys).orderBy(step).rangeBetween(offset, offset)
+    out = df.filter(F.col(step).isNotNull())
+    for k in keys:
+        out = out.filter(F.col(k).isNotNull())
+    later = {v + suffix: F.first(v).over(w) for v in values}
+    return out.withColumns({**later, "_n": F.count(F.lit(1)).over(w)}).filter("_n > 0").drop("_n")

@@ -31,9 +31,15 @@ ret AS (SELECT order_id, item_id, sum(quantity) AS returned_quantity, round(sum(
         FROM lines WHERE returned GROUP BY 1, 2)"""
 
 
-def _per_line(s: Star, orders=None) -> DataFrame:
-    sold = s.lines.groupBy("order_id", "item_id").agg(sum2("gross").alias("gross"), F.sum("quantity").alias("quantity"))
-    return sold.join(s.orders if orders is None else orders, "order_id")
+def per_line(s: Star, orders: DataFrame) -> DataFrame:
+    """Sold and returned quantity and value per (order, item) in one pass: sales
+    and returns share a table here, so the left join to the returns is not needed."""
+    back = F.col("returned")
+    sold = s.lines.groupBy("order_id", "item_id").agg(
+        sum2("gross").alias("gross"), F.sum("quantity").alias("quantity"),
+        F.sum(F.when(back, F.col("quantity")).otherwise(0.0)).alias("returned_quantity"),
+        sum2(F.when(back, F.col("gross")).otherwise(0.0)).alias("returned_value"))
+    return sold.join(orders, "order_id")
 
 
 @query("net_sales", f"""
@@ -51,7 +57,7 @@ WHERE c.sold_year = 2000 AND c.net_count / p.net_count < 0.9""")
 def net_sales(s: Star):
     items = s.item.filter(F.col("item_class").isin("PROMO", "LARGE")).select("item_id", "item_class", "brand")
     orders = s.orders.filter(in_dates("sold_at", "1999-01-01", "2001-01-01"))
-    lines = with_returns(_per_line(s, orders).join(items, "item_id"), returns_per_line(s))
+    lines = per_line(s, orders).join(items, "item_id")
     net_q = F.col("quantity") - F.col("returned_quantity")
     net_v = F.col("gross") - F.col("returned_value")
     year = F.year("sold_on")
@@ -74,7 +80,7 @@ WHERE sold_at >= TIMESTAMP '1997-01-01' AND sold_at < TIMESTAMP '1997-07-01'
 GROUP BY 1 ORDER BY actual_sales, buyer_id LIMIT 100""")
 def net_sales_buyer(s: Star):
     orders = s.orders.filter(in_dates("sold_at", "1997-01-01", "1997-07-01"))
-    lines = with_returns(_per_line(s, orders), returns_per_line(s))
+    lines = per_line(s, orders)
     kept = (F.col("quantity") - F.col("returned_quantity")) * F.col("gross")
     return (lines.groupBy("buyer_id").agg(F.round(F.sum(kept), 2).alias("actual_sales"))
             .orderBy("actual_sales", "buyer_id").limit(100))
@@ -88,7 +94,9 @@ WHERE channel = 'web' AND sold_at >= TIMESTAMP '2001-01-01' AND sold_at < TIMEST
 GROUP BY 1 ORDER BY web_sales DESC, brand LIMIT 50""")
 def web_brand_returns(s: Star):
     orders = s.orders.filter(in_dates("sold_at", "2001-01-01", "2002-01-01") & (F.col("channel") == "web"))
-    return (_per_line(s, orders).join(returns_per_line(s), ["order_id", "item_id"], "left")
+    sold = (s.lines.groupBy("order_id", "item_id").agg(sum2("gross").alias("gross")).join(orders, "order_id"))
+    returns = returns_per_line(s).select("order_id", "item_id", "returned_value")
+    return (sold.join(returns, ["order_id", "item_id"], "left")
             .join(s.item.select("item_id", "brand"), "item_id")
             .groupBy("brand").agg(sum2("gross").alias("web_sales"), sum2("returned_value").alias("web_returns"))
             .orderBy(F.desc("web_sales"), "brand").limit(50))
@@ -112,9 +120,11 @@ def unreturned(s: Star):
     """Store quantities that were not returned against the other channels. The
     catalog side is joined on item too (a join on buyer and year alone would be
     a tautology on the item)."""
-    returned = s.lines.filter("returned").select("order_id", "item_id")
-    kept = (s.lines.join(returned, ["order_id", "item_id"], "left_anti")
-            .join(s.orders.filter(in_dates("sold_at", "2000-01-01", "2001-01-01")), "order_id"))
+    orders = s.orders.filter(in_dates("sold_at", "2000-01-01", "2001-01-01"))
+    # the anti join with the returns of the same (order, item): no line came back
+    kept = (s.lines.groupBy("order_id", "item_id")
+            .agg(sum2("gross").alias("gross"), F.sum("quantity").alias("quantity"), F.bool_or("returned").alias("back"))
+            .filter("NOT back").join(orders, "order_id"))
     in_ch = {ch: F.col("channel") == ch for ch in CHANNELS}
     q = {ch: F.sum(F.when(cond, F.col("quantity"))).alias(f"q_{ch}") for ch, cond in in_ch.items()}
     # three grouped frames and two joins become one grouping on the shared key
@@ -163,7 +173,7 @@ FROM g GROUP BY ROLLUP (channel, id) ORDER BY channel NULLS LAST, id NULLS LAST
 def channel_rollup_net(s: Star):
     items = s.item.filter("list_price > 950").select("item_id", "brand")
     orders = s.orders.filter(in_dates("sold_at", "1998-08-04", "1998-09-03"))
-    lines = with_returns(_per_line(s, orders).join(items, "item_id"), returns_per_line(s))
+    lines = per_line(s, orders).join(items, "item_id")
     base = lines.groupBy("channel", F.col("brand").alias("id")).agg(
         sum2("gross").alias("s"), sum2("returned_value").alias("r"),
         sum2(F.col("gross") - F.col("returned_value")).alias("p"))

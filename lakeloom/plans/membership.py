@@ -12,15 +12,12 @@ from lakeloom.plans.star import Star
 CHANNELS = ("store", "catalog", "web")
 
 
-def _channel_flags(orders):
-    return occurrence_flags(orders, ["buyer_id"], {ch: F.col("channel") == ch for ch in CHANNELS})
-
-
 _YEAR_2000 = "sold_at >= TIMESTAMP '2000-01-01' AND sold_at < TIMESTAMP '2000-04-01'"
 
 
 def _active(s: Star):
-    return _channel_flags(s.orders.filter(in_dates("sold_at", "2000-01-01", "2000-04-01")))
+    recent = s.orders.filter(in_dates("sold_at", "2000-01-01", "2000-04-01"))
+    return occurrence_flags(recent, ["buyer_id"], {ch: F.col("channel") == ch for ch in CHANNELS})
 
 
 def _exists(ch: str) -> str:
@@ -72,19 +69,20 @@ WHERE channel = '{channel}' AND outlet_region = 'EUROPE'
 
 def _multi_source(s: Star, channel: str, want_returned: bool):
     """Lines of orders served from several outlets. An order qualifies when its
-    smallest and largest outlet differ: one map-side combinable aggregation
-    replaces the self-join, and gives the returned flag as well."""
+    smallest and largest outlet differ. That test, the returned flag and the sums
+    over the wanted outlets all come from one aggregation per order: the lines are
+    read and shuffled once, and counting orders needs no distinct."""
+    europe = s.outlet.filter("outlet_region = 'EUROPE'").select("outlet_id", F.lit(True).alias("wanted"))
+    here = F.coalesce("wanted", F.lit(False))
+    per_order = (s.lines.join(europe, "outlet_id", "left").groupBy("order_id").agg(
+        F.min("outlet_id").alias("lo"), F.max("outlet_id").alias("hi"), F.bool_or("returned").alias("has_return"),
+        F.count_if(here).alias("n"), F.sum(F.when(here, F.col("gross"))).alias("g"),
+        F.sum(F.when(here, F.col("gross") * F.col("tax"))).alias("t"))
+        .filter((F.col("lo") != F.col("hi")) & (F.col("has_return") == want_returned) & (F.col("n") > 0)))
     orders = s.orders.filter(F.col("channel") == channel).select("order_id")
-    facts = (s.lines.groupBy("order_id").agg(F.min("outlet_id").alias("lo"), F.max("outlet_id").alias("hi"),
-                                             F.bool_or("returned").alias("has_return")))
-    wanted = facts.filter((F.col("lo") != F.col("hi")) & (F.col("has_return") == want_returned)).select("order_id")
-    europe = s.outlet.filter("outlet_region = 'EUROPE'").select("outlet_id")
-    kept = (s.lines.filter(F.col("outlet_id").isNotNull()).join(europe, "outlet_id", "left_semi")
-            .join(orders, "order_id", "left_semi").join(wanted, "order_id", "left_semi"))
-    # per order first, so that counting orders needs no distinct
-    per_order = kept.groupBy("order_id").agg(F.sum("gross").alias("g"), F.sum(F.col("gross") * F.col("tax")).alias("t"))
-    return per_order.agg(F.count(F.lit(1)).alias("order_count"), F.round(F.sum("g"), 2).alias("total_gross"),
-                         F.round(F.sum("t"), 4).alias("total_tax"))
+    return (per_order.join(orders, "order_id", "left_semi")
+            .agg(F.count(F.lit(1)).alias("order_count"), F.round(F.sum("g"), 2).alias("total_gross"),
+                 F.round(F.sum("t"), 4).alias("total_tax")))
 
 
 @query("multi_source_orders", _MULTI.format(channel="catalog", neg="NOT"))
@@ -102,8 +100,10 @@ def multi_source_returned(s: Star):
     return _multi_source(s, "web", True)
 
 
-def _by_channel(df):
-    return {ch: df.filter(F.col("channel") == ch) for ch in CHANNELS}
+def _by_channel(df, keys):
+    """Channels are values of one column here, so the membership flags of a set
+    operation come from one scan."""
+    return occurrence_flags(df, keys, {ch: F.col("channel") == ch for ch in CHANNELS})
 
 
 _DAYS_SQL = "SELECT DISTINCT buyer_id, date_trunc('month', sold_on) AS m FROM orders_v WHERE channel = '{}'"
@@ -114,7 +114,8 @@ SELECT count(*) AS n FROM ({_DAYS_SQL.format('store')} INTERSECT {_DAYS_SQL.form
                            INTERSECT {_DAYS_SQL.format('web')}) x""")
 def intersect_channels(s: Star):
     months = s.orders.select("channel", "buyer_id", F.trunc("sold_on", "month").alias("m"))
-    return in_all(_by_channel(months), ["buyer_id", "m"]).agg(F.count(F.lit(1)).alias("n"))
+    flags = _by_channel(months, ["buyer_id", "m"])
+    return flags.filter("store AND catalog AND web").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("except_channels", f"""
@@ -122,7 +123,8 @@ SELECT count(*) AS n FROM ({_DAYS_SQL.format('store')} EXCEPT {_DAYS_SQL.format(
                            EXCEPT {_DAYS_SQL.format('web')}) x""")
 def except_channels(s: Star):
     months = s.orders.select("channel", "buyer_id", F.trunc("sold_on", "month").alias("m"))
-    return in_first_only(_by_channel(months), ["buyer_id", "m"]).agg(F.count(F.lit(1)).alias("n"))
+    flags = _by_channel(months, ["buyer_id", "m"])
+    return flags.filter("store AND NOT catalog AND NOT web").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("overlap_counts", """
@@ -133,9 +135,25 @@ SELECT count(*) FILTER (WHERE a.buyer_id IS NOT NULL AND b.buyer_id IS NULL) AS
        count(*) FILTER (WHERE a.buyer_id IS NOT NULL AND b.buyer_id IS NOT NULL) AS store_and_catalog
 FROM a FULL JOIN b ON a.buyer_id = b.buyer_id AND a.item_id = b.item_id""")
 def overlap(s: Star):
-    pairs = _by_channel(s.sales.select("channel", "buyer_id", "item_id"))
-    return (overlap_counts(pairs["store"], pairs["catalog"], ["buyer_id", "item_id"])
-            .toDF("store_only", "catalog_only", "store_and_catalog"))
+    flags = _by_channel(s.sales.select("channel", "buyer_id", "item_id"), ["buyer_id", "item_id"])
+    return overlap_counts(flags, "store", "catalog").toDF("store_only", "catalog_only", "store_and_catalog")
+
+
+@query("intersect_tables", """
+SELECT nation FROM (SELECT buyer_nation AS nation FROM buyer WHERE segment = 'BUILDING' AND balance > 5000
+  INTERSECT SELECT outlet_nation FROM outlet WHERE outlet_balance > 3000) x""")
+def intersect_tables(s: Star):
+    buyers = s.buyer.filter("segment = 'BUILDING' AND balance > 5000").select(F.col("buyer_nation").alias("nation"))
+    outlets = s.outlet.filter("outlet_balance > 3000").select(F.col("outlet_nation").alias("nation"))
+    return in_all({"buyers": buyers, "outlets": outlets}, ["nation"])
+
+
+@query("except_tables", """
+SELECT buyer_id FROM buyer EXCEPT SELECT user_id FROM events EXCEPT SELECT buyer_id FROM orders_v WHERE sold_at >= TIMESTAMP '2001-01-01'""")
+def except_tables(s: Star):
+    events = s.events.select(F.col("user_id").alias("buyer_id"))
+    recent = s.orders.filter(F.col("sold_at") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    return in_first_only({"all": s.buyer, "active": events, "recent": recent}, ["buyer_id"])
 
 
 # Two-letter nation suffixes the prefix list is made of.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakeloom.functions import in_dates, ratio
 from lakeloom.operators.series import against_offset
@@ -51,12 +52,15 @@ def cov_pairs(s: Star):
     return against_offset(varied, ["brand", "outlet_region"], "month_no", 1, ["mean", "cov"])
 
 
-def moments(df: DataFrame, keys: list[str], value: str, prefix: str) -> DataFrame:
-    """Count, sum and sum of squares per key: what is needed to get statistics of
-    a many-to-many join without forming its pairs."""
-    v = F.col(value)
-    return df.groupBy(*keys).agg(F.count(v).alias(f"{prefix}_n"), F.sum(v).alias(f"{prefix}_s"),
-                                 F.sum(v * v).alias(f"{prefix}_ss"))
+def moments(sides: dict[str, Column], value: str) -> list[Column]:
+    """Count, sum and sum of squares of a value per condition: what is needed to
+    get statistics of a many-to-many join without forming its pairs."""
+    out = []
+    for name, cond in sides.items():
+        v = F.when(cond, F.col(value))
+        out += [F.count(v).alias(f"{name}_n"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_s"),
+                F.coalesce(F.sum(v * v), F.lit(0.0)).alias(f"{name}_ss")]
+    return out
 
 
 def _stats(n: Column, total: Column, squares: Column, prefix: str) -> list[Column]:
@@ -85,16 +89,18 @@ GROUP BY 1, 2""")
 def repurchase_chain(s: Star):
     """Statistics over sale x return x repurchase of the same buyer and item.
     Every side is first reduced to moments per (buyer, item); a pair's multiplicity
-    then weights the sums, so no pairs are emitted."""
-    key = ["buyer_id", "item_id"]
-    rows = s.sales.select(*key, "outlet_id", "channel", "returned", "quantity")
-    sold = moments(rows.filter("channel = 'store' AND NOT returned"), [*key, "outlet_id"], "quantity", "sold")
-    back = moments(rows.filter("returned"), key, "quantity", "back")
-    again = moments(rows.filter("channel = 'catalog' AND NOT returned"), key, "quantity", "again")
-    j = (sold.join(back, key).join(again, key)
+    then weights the sums, so no pairs are emitted. All three sides come from one
+    scan; the window adds up at most one row per outlet."""
+    kept = ~F.col("returned")
+    sides = {"sold": (F.col("channel") == "store") & kept, "back": F.col("returned"),
+             "again": (F.col("channel") == "catalog") & kept}
+    per_outlet = s.sales.groupBy("buyer_id", "item_id", "outlet_id").agg(*moments(sides, "quantity"))
+    pair = Window.partitionBy("buyer_id", "item_id")
+    summed = [f"{p}_{m}" for p in ("back", "again") for m in ("n", "s", "ss")]
+    j = (per_outlet.withColumns({c: F.sum(c).over(pair) for c in summed})
+         .filter("sold_n > 0 AND back_n > 0 AND again_n > 0")
          .join(s.item.select("item_id", "item_class"), "item_id")
          .join(s.outlet.select("outlet_id", "outlet_nation"), "outlet_id"))
-    sides = ("sold", "back", "again")
     weight = {"sold": F.col("back_n") * F.col("again_n"), "back": F.col("sold_n") * F.col("again_n"),
               "again": F.col("sold_n") * F.col("back_n")}
     totals = [F.sum(F.col(f"{p}_{m}") * weight[p]).alias(f"{p}_{m}") for p in sides for m in ("n", "s", "ss")]
@@ -111,14 +117,15 @@ SELECT item_id, outlet_id, round(max(profit), 4) AS max_profit, max(loss) AS max
 FROM sold JOIN back USING (buyer_id, item_id) JOIN again USING (buyer_id, item_id)
 GROUP BY 1, 2 ORDER BY item_id, outlet_id LIMIT 100""")
 def repurchase_extremes(s: Star):
-    key = ["buyer_id", "item_id"]
-    rows = s.sales.select(*key, "outlet_id", "channel", "returned", "gross", "discount")
-    profit = F.col("gross") * (F.lit(1.0) - F.col("discount"))
     # the largest value over pairs is the largest value of each side
-    sold = rows.filter("channel = 'store'").groupBy(*key, "outlet_id").agg(F.max(profit).alias("p"))
-    back = rows.filter("returned").groupBy(*key).agg(F.max("gross").alias("l"))
-    again = rows.filter("channel = 'catalog'").groupBy(*key).agg(F.max(profit).alias("a"))
-    return (sold.join(back, key).join(again, key).groupBy("item_id", "outlet_id")
+    profit = F.col("gross") * (F.lit(1.0) - F.col("discount"))
+    per_outlet = s.sales.groupBy("buyer_id", "item_id", "outlet_id").agg(
+        F.max(F.when(F.col("channel") == "store", profit)).alias("p"),
+        F.max(F.when(F.col("returned"), F.col("gross"))).alias("l"),
+        F.max(F.when(F.col("channel") == "catalog", profit)).alias("a"))
+    pair = Window.partitionBy("buyer_id", "item_id")
+    return (per_outlet.withColumns({"l": F.max("l").over(pair), "a": F.max("a").over(pair)})
+            .filter("p IS NOT NULL AND l IS NOT NULL AND a IS NOT NULL").groupBy("item_id", "outlet_id")
             .agg(F.round(F.max("p"), 4).alias("max_profit"), F.max("l").alias("max_loss"),
                  F.round(F.max("a"), 4).alias("max_again_profit"))
             .orderBy("item_id", "outlet_id").limit(100))

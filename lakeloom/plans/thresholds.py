@@ -226,7 +226,9 @@ SELECT outlet_name, item_name, item_id, revenue, list_price, brand
 FROM r JOIN a ON k = outlet_id JOIN outlet USING (outlet_id) JOIN item USING (item_id)
 WHERE revenue <= 0.1 * ave ORDER BY outlet_name, item_id LIMIT 100""")
 def low_share_items(s: Star):
-    sold = (s.sold_between("1999-01-01", "2000-01-01").groupBy("outlet_id", "item_id")
+    # the later joins imply these tests; stated here, both uses of `sold` are one plan
+    sold = (s.sold_between("1999-01-01", "2000-01-01").filter("outlet_id IS NOT NULL AND item_id IS NOT NULL")
+            .groupBy("outlet_id", "item_id")
             .agg(sum2("gross").alias("revenue")))
     low = with_group_aggs(sold, ["outlet_id"], ave=avg_of("revenue")).filter(F.col("revenue") <= 0.1 * F.col("ave"))
     return (low.join(s.outlet.select("outlet_id", "outlet_name"), "outlet_id")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lakeloom.functions import avg_of, in_dates, ratio, sum2
+from lakeloom.functions import in_dates, ratio, sum2
 from lakeloom.operators.groups import with_group_aggs
-from lakeloom.operators.ranking import top_ranked, value_ranks
+from lakeloom.operators.ranking import ranked, top_ranked
 from lakeloom.operators.series import running, with_neighbours
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
@@ -39,10 +40,11 @@ def _lag_lead(s: Star, channel: str, keys: list[str]):
                .join(s.outlet.select("outlet_id", *sorted(outs)), "outlet_id")
                .groupBy(*keys, F.year("sold_on").cast("bigint").alias("y"), F.month("sold_on").cast("bigint").alias("m"))
                .agg(sum2("gross").alias("sum_sales")))
-    near = with_neighbours(monthly, keys, ["y", "m"], "sum_sales", "psum", "nsum")
-    yearly = monthly.groupBy(*keys, "y").agg(avg_of("sum_sales").alias("avg_monthly"))
-    return (near.join(yearly.filter("y = 1999"), [*keys, "y"])
-            .filter((F.col("avg_monthly") > 0)
+    # at most 14 months per group: both windows share one shuffle on the group
+    year = Window.partitionBy(*keys, "y")
+    mean = F.try_divide(F.round(F.sum("sum_sales").over(year), 2), F.count("sum_sales").over(year))
+    near = with_neighbours(monthly.withColumn("avg_monthly", mean), keys, ["y", "m"], "sum_sales", "psum", "nsum")
+    return (near.filter((F.col("y") == 1999) & (F.col("avg_monthly") > 0)
                     & (ratio(F.abs(F.col("sum_sales") - F.col("avg_monthly")), "avg_monthly") > 0.1))
             .select(*keys, "y", "m", F.round("avg_monthly", 6).alias("avg_monthly"), "sum_sales", "psum", "nsum"))
 
@@ -100,10 +102,11 @@ FROM up JOIN down ON up.rnk = down.rnk JOIN item i1 ON i1.item_id = up.item_id J
 WHERE up.rnk <= 10 AND down.rnk <= 10""")
 def best_worst(s: Star):
     """Ten best and ten worst items by mean value, paired by rank."""
-    lines = s.lines.filter("outlet_id < 50")
-    floor = lines.agg(avg_of("gross")).scalar()
-    means = (lines.groupBy("item_id").agg(avg_of("gross").alias("raw")).filter(F.col("raw") > 0.9 * floor)
-             .select("item_id", F.round("raw", 6).alias("mean")))
+    per_item = s.lines.filter("outlet_id < 50 AND item_id IS NOT NULL").groupBy("item_id").agg(
+        sum2("gross").alias("s"), F.count("gross").alias("n"))
+    floor = per_item.agg(F.try_divide(sum2("s"), F.sum("n"))).scalar()
+    raw = F.try_divide("s", "n")
+    means = per_item.filter(raw > 0.9 * floor).select("item_id", F.round(raw, 6).alias("mean"))
     names = s.item.select("item_id", "item_name")
 
     def side(ascending: bool, prefix: str):
@@ -128,22 +131,20 @@ WHERE return_rank <= 10 OR currency_rank <= 10"""
 @query("dual_rank", " UNION ".join(_DUAL.format(ch=ch) for ch in ("web", "catalog", "store")))
 def dual_rank(s: Star):
     """Items among the ten lowest by either of two return ratios, per channel. The
-    k-th value bounds the candidates, so no list is ranked as a whole."""
+    two ratios are ranked together as one long list of (channel, measure, value)."""
     orders = s.orders.filter(in_dates("sold_at", "2000-12-01", "2001-01-01"))
     gone = F.col("returned")
     by_item = (s.lines.filter("gross > 1000 AND quantity > 0").join(orders, "order_id").groupBy("channel", "item_id")
                .agg(F.sum(F.when(gone, F.col("quantity")).otherwise(0.0)).alias("rq"), F.sum("quantity").alias("q"),
                     F.round(F.sum(F.when(gone, F.col("gross")).otherwise(0.0)), 2).alias("rv"), sum2("gross").alias("v"),
                     F.count_if(gone).alias("n_back")).filter("n_back > 0")
-               .select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return_ratio"),
-                       F.round(ratio("rv", "v"), 9).alias("currency_ratio")))
-    either = [top_ranked(by_item, ["channel"], v, 10, ascending=True).select("channel", "item_id")
-              for v in ("return_ratio", "currency_ratio")]
-    listed = either[0].unionByName(either[1]).distinct()
-    kept = by_item.join(listed, ["channel", "item_id"], "left_semi")
-    for v, name in (("return_ratio", "return_rank"), ("currency_ratio", "currency_rank")):
-        kept = kept.join(value_ranks(by_item, ["channel"], v, ascending=True, name=name), ["channel", v])
-    return kept
+               .select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return"),
+                       F.round(ratio("rv", "v"), 9).alias("currency")))
+    both = by_item.unpivot(["channel", "item_id"], ["return", "currency"], "measure", "value")
+    placed = ranked(both, ["channel", "measure"], "value", ascending=True)
+    cols = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{n}")
+            for m in ("return", "currency") for c, n in (("value", "ratio"), ("rnk", "rank"))]
+    return placed.groupBy("channel", "item_id").agg(*cols).filter("return_rank <= 10 OR currency_rank <= 10")
 
 
 @query("group_share_running", """
