@@ -77,7 +77,9 @@ def silver_any_by_key(s: Star):
     return any_by_key(s.table("lineitem").select(*keys, "l_partkey"), keys).select(*keys)
 
 
-_TEXT_EVENTS = T.StructType.fromDDL("event_id BIGINT, user_id INT, ts TIMESTAMP_NTZ, value DOUBLE")
+_TEXT_EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.IntegerType()),
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("value", T.DoubleType())])
 
 
 def _as_text(s: Star):

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str, required: tuple[str, ...] = ()) -> T.StructType:
-    parsed = T.StructType.fromDDL(ddl)
-    return T.StructType([
-        T.StructField(f.name, f.dataType, f.name not in required) for f in parsed.fields
-    ])
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "DOUBLE": T.DoubleType(),
+    "FLOAT": T.FloatType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
+def flat(columns: str, required: tuple[str, ...] = ()) -> T.StructType:
+    """StructType of "name TYPE, name TYPE, ..."; needs no running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t], n not in required) for n, t in pairs])
 
 
 # The column names and types of the source tables, in source order.
@@ -63,7 +68,7 @@ PRIMARY_KEY = {
     "events": ["id"],
 }
 
-SOURCE = {name: _struct(ddl, tuple(PRIMARY_KEY[name])) for name, ddl in DDL.items()}
+SOURCE = {name: flat(ddl, tuple(PRIMARY_KEY[name])) for name, ddl in DDL.items()}
 
 # Stream payload: as `events`, but the creation time arrives as text.
 CLICK_PAYLOAD = T.StructType([
@@ -72,7 +77,7 @@ CLICK_PAYLOAD = T.StructType([
 ])
 
 # The nested position message.
-WAYPOINT = T.StructType.fromDDL(
+WAYPOINT = flat(
     "vehicle STRING, driver STRING, speed FLOAT, datetime INT, x DOUBLE, y DOUBLE, "
     "z FLOAT, heading FLOAT, ignition BOOLEAN, aircon BOOLEAN, door_up BOOLEAN, "
     "door_down BOOLEAN, sos BOOLEAN, working BOOLEAN, analog1 FLOAT, analog2 FLOAT"
@@ -90,19 +95,19 @@ GPS_PAYLOAD_TEXT = T.StructType([
 ])
 
 GOLD = {
-    "sales_performance": T.StructType.fromDDL(
+    "sales_performance": flat(
         "order_date TIMESTAMP, product_category STRING, total_revenue DOUBLE, "
         "total_items_sold BIGINT, updated_at TIMESTAMP"),
-    "user_statistics": T.StructType.fromDDL(
+    "user_statistics": flat(
         "user_id BIGINT, total_orders BIGINT, total_items_purchased BIGINT, "
         "total_spend DOUBLE, total_events BIGINT, last_order_at TIMESTAMP, "
         "last_event_at TIMESTAMP, updated_at TIMESTAMP"),
-    "user_engagement": T.StructType.fromDDL(
+    "user_engagement": flat(
         "user_id BIGINT, event_count BIGINT, last_event_at TIMESTAMP, "
         "updated_at TIMESTAMP"),
 }
 
-RUN_RECORD = T.StructType.fromDDL(
+RUN_RECORD = flat(
     "engine STRING, query_name STRING, run_type STRING, run_number INT, "
     "query_id STRING, status STRING, query_time_seconds DOUBLE, "
     "throughput_qps DOUBLE, peak_memory_bytes BIGINT, spill_bytes BIGINT, "

@@ -26,14 +26,12 @@ class Layout:
     ``day_of`` derives a date partition column ``<day_of>_day`` from a timestamp
     (the built-in catalog has no hidden day partitioning); ``partition_by`` are
     plain columns; ``sort_by`` orders rows inside each file; ``bloom`` columns get
-    a Parquet Bloom filter for point look-ups; ``spread`` is the number of writer
-    tasks a single hot partition value may be split into."""
+    a Parquet Bloom filter for point look-ups."""
 
     day_of: str | None = None
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     bloom: tuple[str, ...] = ()
-    spread: int = 1
 
     @property
     def day_column(self) -> str | None:
@@ -81,23 +79,23 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
 
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """Bring rows of one partition value together before the write (few files),
-    in at most ``spread`` tasks per value so a hot day or category does not end
-    in one task, then order rows inside each file."""
+    then order rows inside each file. REBALANCE lets AQE merge small values into
+    one task and split a hot day or category over several."""
     if layout.day_of:
         df = df.withColumn(layout.day_column, F.to_date(F.col(layout.day_of)))
     if layout.partitions:
-        keys = [F.col(c) for c in layout.partitions]
-        if layout.spread > 1:
-            rest = [c for c in df.columns if c not in layout.partitions]
-            keys.append(F.pmod(F.xxhash64(*rest), F.lit(layout.spread)))
-        df = df.repartition(*keys)
+        df = df.hint("rebalance", *layout.partitions)
     if layout.sort_by:
         df = df.sortWithinPartitions(*layout.partitions, *layout.sort_by)
     return df
 
 
 def append_rows(df: DataFrame, name: str, layout: Layout = Layout()) -> None:
-    arrange(df, layout).writeTo(name).append()
+    """Append by column name to an existing table of the session or a v2 catalog."""
+    writer = arrange(df, layout).write.mode("append")
+    if layout.partitions:
+        writer = writer.partitionBy(*layout.partitions)
+    writer.saveAsTable(name)
 
 
 def overwrite_table(df: DataFrame, name: str, layout: Layout = Layout(),
