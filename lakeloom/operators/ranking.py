@@ -22,18 +22,15 @@ def top_ranked(df: DataFrame, partition: Sequence[str], value: str, k: int,
                ascending: bool = False, name: str = "rnk") -> DataFrame:
     """All rows with rank() <= k in their group, ties included.
 
-    At most k distinct values per group can qualify. ``row_number() <= k`` over
-    distinct values is pruned to k rows per group and task before the shuffle;
-    rows that tie on a value are never gathered."""
+    The first k rows of a group by ``row_number()`` show every qualifying value
+    and its rank. Catalyst prunes that list to k rows per group and task before
+    the shuffle; the rows themselves are found again by value, so rows that tie
+    are never gathered."""
     part = list(partition)
-    order = _directed(value, ascending)
-    counts = df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy(order)
-    best = counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-    before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    best = (best.withColumn(name, F.coalesce(before, F.lit(0)) + 1)
-            .filter(F.col(name) <= k).drop("_n", "_rn"))
-    return _join_back(df, best, part + [value], name)
+    w = Window.partitionBy(*part).orderBy(_directed(value, ascending))
+    first = (df.select(*part, value).withColumns({"_rn": F.row_number().over(w), name: F.rank().over(w).cast("bigint")})
+             .filter(F.col("_rn") <= k).groupBy(*part, value).agg(F.first(name).alias(name)))
+    return _join_back(df, first, part + [value], name)
 
 
 def value_ranks(df: DataFrame, partition: Sequence[str], value: str, ascending: bool = False,

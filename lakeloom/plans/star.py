@@ -9,10 +9,28 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import in_dates
+from lakeloom.schemas import flat
+
+# Column types of the given tables. A scan with a stated schema opens no file
+# while the plan is built.
+_STAR_TYPES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+_STAR_SCHEMAS = {name: flat(columns) for name, columns in _STAR_TYPES.items()}
 
 
 class Star:
@@ -21,7 +39,7 @@ class Star:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(_STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -63,29 +81,33 @@ class Star:
             F.col("p_size").alias("item_size"), F.col("p_retailprice").alias("list_price"))
 
     @cached_property
-    def place(self) -> DataFrame:
-        region = self.table("region").select(F.col("r_regionkey").alias("_r"), F.col("r_name").alias("region"))
-        return (self.table("nation").select(F.col("n_nationkey").alias("nation_id"),
-                                            F.col("n_name").alias("nation"), F.col("n_regionkey").alias("_r"))
-                .join(region, "_r").drop("_r"))
+    def places(self) -> Column:
+        """Nation id -> (nation, region) as one map value. There are as many entries
+        as nations, so the map is small whatever the data. Names looked up in it
+        leave the size estimate of a dimension at its own file size; a join with
+        the two tiny tables would multiply the estimates and make Catalyst shuffle
+        the facts for a dimension that fits a broadcast."""
+        region = self.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+        entry = F.struct("n_nationkey", F.struct("n_name", "r_name"))
+        return (self.table("nation").join(region, "n_regionkey")
+                .agg(F.map_from_entries(F.collect_list(entry)))).scalar()
+
+    def _named(self, df: DataFrame, prefix: str) -> DataFrame:
+        place = F.try_element_at(self.places, F.col("nation_id"))
+        return df.withColumns({f"{prefix}_nation": place["n_name"], f"{prefix}_region": place["r_name"]}).drop("nation_id")
 
     @cached_property
     def buyer(self) -> DataFrame:
-        place = self.place.select("nation_id", F.col("nation").alias("buyer_nation"),
-                                  F.col("region").alias("buyer_region"))
-        return self.table("customer").select(
+        return self._named(self.table("customer").select(
             F.col("c_custkey").alias("buyer_id"), F.col("c_name").alias("buyer_name"),
             F.col("c_nationkey").alias("nation_id"), F.col("c_acctbal").alias("balance"),
-            F.col("c_mktsegment").alias("segment")).join(place, "nation_id").drop("nation_id")
+            F.col("c_mktsegment").alias("segment")), "buyer")
 
     @cached_property
     def outlet(self) -> DataFrame:
-        place = self.place.select("nation_id", F.col("nation").alias("outlet_nation"),
-                                  F.col("region").alias("outlet_region"))
-        return self.table("supplier").select(
+        return self._named(self.table("supplier").select(
             F.col("s_suppkey").alias("outlet_id"), F.col("s_name").alias("outlet_name"),
-            F.col("s_nationkey").alias("nation_id"), F.col("s_acctbal").alias("outlet_balance"),
-        ).join(place, "nation_id").drop("nation_id")
+            F.col("s_nationkey").alias("nation_id"), F.col("s_acctbal").alias("outlet_balance")), "outlet")
 
     @cached_property
     def stock(self) -> DataFrame:
@@ -122,11 +144,11 @@ item AS (
 buyer AS (
   SELECT c_custkey AS buyer_id, c_name AS buyer_name, c_acctbal AS balance, c_mktsegment AS segment,
          n_name AS buyer_nation, r_name AS buyer_region
-  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+  FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
 outlet AS (
   SELECT s_suppkey AS outlet_id, s_name AS outlet_name, s_acctbal AS outlet_balance,
          n_name AS outlet_nation, r_name AS outlet_region
-  FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey),
+  FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
 stock AS (
   SELECT item_id, outlet_nation, CAST(date_trunc('month', shipped_on) AS DATE) AS stock_month,
          sum(quantity) AS on_hand

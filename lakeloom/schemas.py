@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "DOUBLE": T.DoubleType(),
     "FLOAT": T.FloatType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
 }
 
 

@@ -20,6 +20,10 @@ RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Only for sessions built here: recording the Python line of every column
+# expression takes as long as building the plan.
+BUILD_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set the runtime settings above on an existing session."""
@@ -39,7 +43,7 @@ def build_session(app_name: str = "lakeloom", master: str | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME_DEFAULTS, **(extra or {})}.items():
+    for key, value in {**RUNTIME_DEFAULTS, **BUILD_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
