@@ -278,3 +278,17 @@ def null_key_counts(s: Star):
                             F.quarter("sold_on").cast("bigint").alias("qtr"))
             .agg(F.count(F.lit(1)).alias("n"), sum2("order_total").alias("amount"))
             .orderBy("channel", "sold_year", "qtr").limit(100))
+
+
+@query("union_distinct", """
+WITH u AS (
+  SELECT CAST(year(sold_on) AS BIGINT) AS sold_year, brand, quantity, gross FROM sales JOIN item USING (item_id) WHERE channel = 'catalog'
+  UNION SELECT CAST(year(sold_on) AS BIGINT), brand, quantity, gross FROM sales JOIN item USING (item_id) WHERE channel = 'store'
+  UNION SELECT CAST(year(sold_on) AS BIGINT), brand, quantity, gross FROM sales JOIN item USING (item_id) WHERE channel = 'web')
+SELECT sold_year, brand, sum(quantity) AS sales_cnt, round(sum(gross), 2) AS sales_amt FROM u GROUP BY 1, 2""")
+def union_distinct(s: Star):
+    """Equal sale records of any channel count once (UNION, not UNION ALL): the
+    distinct of one scan over all channels."""
+    rows = (s.sales.join(s.item.select("item_id", "brand"), "item_id")
+            .select(F.year("sold_on").cast("bigint").alias("sold_year"), "brand", "quantity", "gross").distinct())
+    return rows.groupBy("sold_year", "brand").agg(F.sum("quantity").alias("sales_cnt"), sum2("gross").alias("sales_amt"))

@@ -131,6 +131,32 @@ def repurchase_extremes(s: Star):
             .orderBy("item_id", "outlet_id").limit(100))
 
 
+@query("repurchase_quantities", """
+WITH sold AS (SELECT buyer_id, item_id, outlet_id, quantity AS q1 FROM sales
+              WHERE channel = 'store' AND sold_at >= TIMESTAMP '1996-01-01' AND sold_at < TIMESTAMP '1999-01-01'),
+back AS (SELECT buyer_id, item_id, quantity AS q2 FROM sales WHERE returned AND sold_at >= TIMESTAMP '1996-01-01'),
+again AS (SELECT buyer_id, item_id, quantity AS q3 FROM sales WHERE channel = 'catalog' AND sold_at >= TIMESTAMP '1997-01-01')
+SELECT item_id, outlet_id, sum(q1) AS sold_quantity, sum(q2) AS returned_quantity, sum(q3) AS again_quantity
+FROM sold JOIN back USING (buyer_id, item_id) JOIN again USING (buyer_id, item_id)
+GROUP BY 1, 2 ORDER BY item_id, outlet_id LIMIT 100""")
+def repurchase_quantities(s: Star):
+    """Quantities summed over all sale, return and repurchase pairs, each with its
+    own date range, from counts and sums per (buyer, item)."""
+    at = F.col("sold_at")
+    since = lambda d: at >= F.lit(d).cast("timestamp_ntz")
+    sides = {"sold": (F.col("channel") == "store") & in_dates("sold_at", "1996-01-01", "1999-01-01"),
+             "back": F.col("returned") & since("1996-01-01"), "again": (F.col("channel") == "catalog") & since("1997-01-01")}
+    per_outlet = s.sales.filter(since("1996-01-01")).groupBy("buyer_id", "item_id", "outlet_id").agg(*moments(sides, "quantity"))
+    pair = Window.partitionBy("buyer_id", "item_id")
+    j = per_outlet.withColumns({c: F.sum(c).over(pair) for c in ("back_n", "back_s", "again_n", "again_s")}).filter(
+        "sold_n > 0 AND back_n > 0 AND again_n > 0")
+    return (j.groupBy("item_id", "outlet_id").agg(
+        F.sum(F.col("sold_s") * F.col("back_n") * F.col("again_n")).alias("sold_quantity"),
+        F.sum(F.col("back_s") * F.col("sold_n") * F.col("again_n")).alias("returned_quantity"),
+        F.sum(F.col("again_s") * F.col("sold_n") * F.col("back_n")).alias("again_quantity"))
+        .orderBy("item_id", "outlet_id").limit(100))
+
+
 @query("returned_and_paid", """
 SELECT outlet_name, round(sum(CASE WHEN returned THEN gross ELSE 0.0 END), 2) AS returned_amount,
        round(sum(gross), 2) AS net_paid

@@ -22,19 +22,32 @@ def above_item_avg(s: Star):
                     F.round("avg_value", 6).alias("avg_value")))
 
 
-@query("excess_discount", """
-WITH w AS (SELECT * FROM sales WHERE sold_at >= TIMESTAMP '2000-01-27' AND sold_at < TIMESTAMP '2000-04-27'),
+_EXCESS = """
+WITH w AS (SELECT * FROM sales WHERE channel = '{channel}' AND sold_at >= TIMESTAMP '2000-01-27' AND sold_at < TIMESTAMP '2000-04-27'),
 a AS (SELECT item_id AS k, round(sum(discount), 2) / count(discount) AS avg_value FROM w GROUP BY 1)
 SELECT round(sum(gross * discount), 4) AS excess_discount
 FROM w JOIN a ON k = item_id JOIN item USING (item_id)
-WHERE discount > 1.3 * avg_value AND item_size BETWEEN 1 AND 20""")
-def excess_discount(s: Star):
-    items = s.item.filter(F.col("item_size").between(1, 20)).select("item_id")
-    sold = s.sold_between("2000-01-27", "2000-04-27").join(items, "item_id", "left_semi")
+WHERE discount > 1.3 * avg_value AND item_size BETWEEN 1 AND {size}"""
+
+
+def _excess(s: Star, channel: str, size: int):
+    items = s.item.filter(F.col("item_size").between(1, size)).select("item_id")
+    orders = s.orders.filter(in_dates("sold_at", "2000-01-27", "2000-04-27") & (F.col("channel") == channel))
+    sold = s.lines.join(items, "item_id", "left_semi").join(orders, "order_id")
     return (above_group_avg(sold.select("item_id", "gross", "discount"), ["item_id"], "discount", 1.3)
             .agg(F.round(F.sum(F.col("gross") * F.col("discount")), 4).alias("excess_discount")))
 
 
+@query("excess_discount", _EXCESS.format(channel="catalog", size=20))
+def excess_discount(s: Star):
+    return _excess(s, "catalog", 20)
+
+
+@query("excess_discount_web", _EXCESS.format(channel="web", size=35))
+def excess_discount_web(s: Star):
+    return _excess(s, "web", 35)
+
+
 @query("above_avg_returners", """
 WITH r AS (SELECT buyer_id, outlet_id, round(sum(gross), 2) AS refund FROM sales
            WHERE returned AND sold_at >= TIMESTAMP '2000-01-01' AND sold_at < TIMESTAMP '2001-01-01' GROUP BY 1, 2),

@@ -1,5 +1,5 @@
-"""Session defaults. Every value is a public Spark setting; nothing set by the
-user or the cluster is overridden."""
+"""Session defaults. Every value is a public Spark setting; what the user or the
+cluster sets at launch is kept."""
 
 from __future__ import annotations
 
@@ -26,9 +26,11 @@ BUILD_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings above on an existing session."""
+    """Set the runtime settings above on an existing session, but for those named
+    when the application was launched."""
+    launched = spark.sparkContext.getConf()
     for key, value in RUNTIME_DEFAULTS.items():
-        if spark.conf.get(key, None) != value:
+        if not launched.contains(key) and spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
@@ -54,3 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or fallback
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Checkpoint location of a stream inside the cluster's shared folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir is not set; give the stream's checkpoint location")
+    return f"{root.rstrip('/')}/streams/{name}"

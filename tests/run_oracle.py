@@ -17,6 +17,9 @@ def main():
              .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("NO_BROADCAST"):  # large dimensions: sort-merge joins only
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con, qs, sql = connect(folder), e.queries(), e.oracle_sql()
     names = sys.argv[1:] or list(qs)
     bad = 0

@@ -58,7 +58,8 @@ def test_flatten(spark):
     texts = [waypoint(), waypoint(when="soon"), waypoint(when="1704110400.9"), json.dumps({"msgBusWayPoint": {"vehicle": "v2", "x": {"a": 1}}}),
              json.dumps({"msgType": "P"}), waypoint(when=9e30)]
     rows = gps.flatten_gps(messages(spark, texts), F.lit("2024-01-01 13:00:00").cast("timestamp")).orderBy("timestamp").collect()
-    assert [r.datetime for r in rows] == ["2024-01-01 12:00:00", "soon", "2024-01-01 12:00:00", None, None, "9.0E30"] or rows[5].datetime
+    assert [r.datetime for r in rows[:5]] == ["2024-01-01 12:00:00", "soon", "2024-01-01 12:00:00", None, None]
+    assert float(rows[5].datetime) == 9e30  # no such time: the text stays
     assert rows[0].ingest_time == "2024-01-01 13:00:00" and rows[0].x == "1.5"
     assert rows[3].msgType == "Unknown" and json.loads(rows[3].x) == {"a": 1}
     assert rows[4].msgType == "P" and rows[4].vehicle is None
@@ -91,7 +92,7 @@ def test_latest_state(spark):
         got = {r.vehicle: (r.last_seen, r.speed, r.driver) for r in out.collect()}
         assert got == {"a": (at(100), 5.0, "y"), "b": (at(121), None, "new"), "d": (at(110), 2.0, "p")}
     later = gps.latest_state(df, "vehicle", "ts", ["speed"], tie="n", as_of=F.lit(at(230)).cast("timestamp"))
-    assert {r.vehicle for r in later.collect()} == {"b"} | ({"d"} if 230 - 110 < 120 else set())
+    assert {r.vehicle for r in later.collect()} == {"b"}
 
 
 def brute_state(rows, fields, ttl=7200):
