@@ -12,18 +12,23 @@ MISSING_TEXTS = ("NULL", "NONE", "")
 MISSING = "NULL"
 
 
+def _four_decimals(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.DecimalType):
+        return c.cast("decimal(38,4)").cast("string")
+    if not isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.concat(c.cast("string"), F.lit(".0000"))
+    # the narrow decimal is held as one long; -0.0 and 0.0 are the same number
+    size = F.abs(c)
+    return (F.when(c == 0, F.lit("0.0000")).when(size < 1e13, c.cast("decimal(18,4)").cast("string"))
+            .when(size < 1e30, c.cast("decimal(38,4)").cast("string")).otherwise(c.cast("string")))
+
+
 def normalized(name: str, dtype: T.DataType) -> Column:
     """Numbers (also numbers held as text) to four decimals, text trimmed,
     missing values and missing-value texts to ``NULL``."""
     c = F.col(name)
     if isinstance(dtype, _NUMERIC):
-        if isinstance(dtype, (T.FloatType, T.DoubleType)):
-            finite = ~F.isnan(c) & (F.abs(c) < F.lit(1e30))
-            text = F.when(finite, F.round(c, 4).cast("decimal(38,4)").cast("string")) \
-                .otherwise(c.cast("string"))
-            # -0.0 and 0.0 are the same number
-            return F.coalesce(F.when(c == 0, F.lit("0.0000")).otherwise(text), F.lit(MISSING))
-        return F.coalesce(F.round(c.cast("decimal(38,4)"), 4).cast("string"), F.lit(MISSING))
+        return F.coalesce(_four_decimals(c, dtype), F.lit(MISSING))
     text = F.trim(c.cast("string"))
     missing = text.isNull() | F.upper(text).isin(*MISSING_TEXTS)
     if isinstance(dtype, T.StringType):

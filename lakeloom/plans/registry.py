@@ -18,16 +18,16 @@ def query(name: str, sql: str | None = None, star: bool = True):
     star tables (`sales`, `item`, ...) as defined in `STAR_SQL` and may start
     with further CTEs."""
 
-    def add(plan: Callable[[Star], DataFrame]):
+    def add(build: Callable[[Star], DataFrame]):
         if name in _PLANS:
             raise ValueError(f"duplicate query name {name}")
-        _PLANS[name] = plan
+        _PLANS[name] = build
         if sql is not None:
             text = sql.strip()
             if star:
                 text = STAR_SQL + (",\n" + text[5:].lstrip() if text[:5].upper() == "WITH " else "\n" + text)
             _SQL[name] = text
-        return plan
+        return build
 
     return add
 
@@ -41,10 +41,17 @@ def _load() -> None:
 def plans() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
 
-    def bind(plan):
-        return lambda spark, sf_dir: plan(Star(apply_defaults(spark), sf_dir))
+    def bind(name: str):
+        return lambda spark, folder: plan(name, Star(spark, folder))
 
-    return {name: bind(plan) for name, plan in _PLANS.items()}
+    return {name: bind(name) for name in _PLANS}
+
+
+def plan(name: str, star: Star) -> DataFrame:
+    """One plan over given star tables, such as published catalog tables."""
+    _load()
+    apply_defaults(star.spark)
+    return _PLANS[name](star)
 
 
 def check_sql() -> dict[str, str]:

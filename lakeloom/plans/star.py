@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import in_dates
 from lakeloom.schemas import flat
+from lakeloom.sources import tables
 
 # Column types of the given tables. A scan with a stated schema opens no file
 # while the plan is built.
@@ -34,11 +35,17 @@ _STAR_SCHEMAS = {name: flat(columns) for name, columns in _STAR_TYPES.items()}
 
 
 class Star:
-    def __init__(self, spark: SparkSession, folder: str):
+    """The star tables over a folder of Parquet files or, with ``database``, over
+    catalog tables of the same names (see `publish`)."""
+
+    def __init__(self, spark: SparkSession, folder: str = "", database: str | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.database = database
 
     def table(self, name: str) -> DataFrame:
+        if self.database:
+            return self.spark.read.table(f"{self.database}.{name}")
         return self.spark.read.schema(_STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
@@ -122,6 +129,22 @@ class Star:
         return self.table("events")
 
 
+def publish(source: Star, database: str, buckets: int) -> Star:
+    """Write the tables to a database with orders and lines bucketed and sorted by
+    order, so that their join, the largest one of nearly every plan, and per-order
+    aggregates read co-located buckets and shuffle nothing. Dimensions are written
+    as they are. ``buckets`` should give files of some hundred megabytes."""
+    tables.initialize_namespaces(source.spark, [database])
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    for name in _STAR_SCHEMAS:
+        if name in keys:
+            tables.bucketed_table(source.table(name), f"{database}.{name}", buckets, keys[name])
+        else:
+            tables.overwrite_table(source.table(name), f"{database}.{name}")
+        tables.collect_statistics(source.spark, f"{database}.{name}")
+    return Star(source.spark, database=database)
+
+
 # The same tables for the SQL check.
 STAR_SQL = """WITH orders_v AS (
   SELECT o_orderkey AS order_id, o_custkey AS buyer_id, o_orderstatus AS status,

@@ -1,24 +1,14 @@
 """Shape of the physical plans."""
 
-import pytest
-
 import __spark_entry__ as entry_point
 
 QUERIES = entry_point.queries()
-PYTHON = {"kalman_smooth"}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_no_pairs_no_python_no_full_scan(spark, sf_dir, name):
-    p = plan_of(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert ("Python" in p or "Pandas" in p) == (name in PYTHON)
-
-
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     p = plan_of(QUERIES["star_topk_brand"](spark, sf_dir))
     assert "GreaterThanOrEqual(o_orderdate,2000-11-01T00:00)" in p
@@ -40,3 +30,28 @@ def test_without_broadcast_the_joins_are_sort_merge(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_published_tables_join_without_shuffling_facts(spark, sf_dir):
+    from lakeloom.plans.registry import plan
+    from lakeloom.plans.star import Star, publish
+
+    star = publish(Star(spark, "/root/testdata/sf0.001"), "published", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in plan_of(star.sales)
+        assert "SortMergeJoin" in plan_of(star.sales)
+        per_order = plan("basket_counts", star)
+        assert plan_of(per_order).count("Exchange hashpartitioning(order_id") == 0
+        got = sorted(map(str, per_order.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(str, QUERIES["basket_counts"](spark, "/root/testdata/sf0.001").collect()))
+
+
+def test_a_fact_is_scanned_once(spark, sf_dir):
+    """Variants of one fact are conditional sums of a single pass."""
+    for name in ("repurchase_chain", "multi_source_orders", "net_sales", "unreturned", "intersect_channels",
+                 "growth_compare", "lag_lead", "week_over_year", "cov_pairs", "cumulative_cross", "side_by_side"):
+        p = plan_of(QUERIES[name](spark, sf_dir))
+        assert p.count("lineitem.parquet") <= 1 and p.count("orders.parquet") <= 1, name
