@@ -39,6 +39,43 @@ def to_silver(spark: SparkSession, name: str, source: str | None = None, target:
     tables.overwrite_table(rows, target or f"silver.{name}", tables.SILVER_LAYOUT[name])
 
 
+def refresh_silver(spark: SparkSession, name: str, since, source: str | None = None, target: str | None = None) -> None:
+    """Bring bronze rows loaded from ``since`` on into a day-partitioned silver
+    table, rewriting only the days they touch. The newest version of a key wins,
+    also when it is already there, so a rerun changes nothing. Order items have no
+    such rule and are appended."""
+    source, target = source or f"bronze.{name}", target or f"silver.{name}"
+    layout = tables.SILVER_LAYOUT[name]
+    if not layout.day_of:
+        raise ValueError(f"{name} has no day partitions: use to_silver")
+    bronze = spark.read.table(source)
+    loaded = "load_at" if "load_at" in bronze.columns else "timestamp"
+    rows = with_audit(silver_rows(bronze.filter(F.col(loaded) >= F.lit(since)), name))
+    if name == "order_items":
+        tables.append_rows(rows, target, layout)
+        return
+    rows = rows.withColumn(layout.day_column, F.to_date(layout.day_of))
+    present = spark.read.table(target)
+    days = rows.select(layout.day_column).distinct()
+    both = (present.join(days, layout.day_column, "left_semi").select(present.columns).withColumn("_new", F.lit(0))
+            .unionByName(rows.select(present.columns).withColumn("_new", F.lit(1))))
+    order = [c for c in ("source_updated_at", "_new") if c in both.columns]
+    merged = latest_by_key(both, schemas.PRIMARY_KEY[name], [F.desc_nulls_last(c) for c in order]).drop("_new")
+    # a table cannot be overwritten while it is read: the new days go through a
+    # staging table, which also lets an interrupted run be repeated
+    staging = f"{target}_staging"
+    merged.write.mode("overwrite").saveAsTable(staging)
+    staged = tables.arrange(spark.read.table(staging).drop(layout.day_column), layout)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # replace the days written, keep the others
+    try:
+        staged.select(present.columns).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    spark.sql(f"DROP TABLE {staging}")
+
+
 def to_gold(spark: SparkSession, name: str, target: str | None = None, silver: str = "silver") -> None:
     t = lambda n: spark.read.table(f"{silver}.{n}")
     rows = {

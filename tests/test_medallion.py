@@ -123,6 +123,41 @@ def test_silver_takes_the_newest_snapshot(spark, shop):
     assert len(rows) == 3 and {r.status for r in rows} == {"Shipped"}
 
 
+def test_refresh_rewrites_only_touched_days(spark, shop):
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+    tables.initialize_namespaces(spark)
+
+    def snapshot(df, loaded):
+        rows = ingest_snapshot(df).withColumn("load_at", F.lit(loaded).cast("timestamp"))
+        rows.write.mode("append").saveAsTable("bronze.orders_inc")
+
+    old = shop["orders"]
+    snapshot(old, "2024-02-01")
+    tables.overwrite_table(medallion.with_audit(medallion.silver_rows(spark.table("bronze.orders_inc"), "orders")),
+                           "silver.orders_inc", tables.SILVER_LAYOUT["orders"])
+    place = spark.sql("DESCRIBE EXTENDED silver.orders_inc").filter("col_name = 'Location'").first().data_type.replace("file:", "")
+    stamp = lambda: {d: sorted(os.listdir(d)) for d in glob.glob(place + "/created_at_day=*")}
+    before = stamp()
+    changed = (old.filter("order_id = 10").withColumn("status", F.lit("Shipped"))
+               .withColumn("updated_at", F.lit("2024-01-09").cast("timestamp")))
+    added = old.filter("order_id = 10").withColumn("order_id", F.lit(13).cast("bigint"))
+    stale = old.filter("order_id = 11").withColumn("status", F.lit("Lost")).withColumn("updated_at", F.lit("2023-01-01").cast("timestamp"))
+    snapshot(changed.unionByName(added).unionByName(stale), "2024-02-02")
+    for _ in range(2):
+        medallion.refresh_silver(spark, "orders", "2024-02-02", "bronze.orders_inc", "silver.orders_inc")
+        spark.catalog.refreshTable("silver.orders_inc")
+        got = {r.order_id: r.status for r in spark.table("silver.orders_inc").collect()}
+        assert got == {10: "Shipped", 11: None, 12: None, 13: None}
+    after = stamp()
+    same = {os.path.basename(d) for d in before if before[d] == after[d]}
+    assert same == {"created_at_day=2024-01-05"}
+    with pytest.raises(ValueError):
+        medallion.refresh_silver(spark, "products", "2024-01-01", "bronze.orders_inc", "silver.orders_inc")
+
+
 def test_jdbc_options():
     whole = JdbcSource("jdbc:x", "t", "u", "p").options()
     assert "partitionColumn" not in whole and whole["dbtable"] == "t"
