@@ -10,6 +10,7 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 # Texts that count as missing, and the text written for them.
 MISSING_TEXTS = ("NULL", "NONE", "")
 MISSING = "NULL"
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _four_decimals(c: Column, dtype: T.DataType) -> Column:
@@ -32,7 +33,8 @@ def normalized(name: str, dtype: T.DataType) -> Column:
     text = F.trim(c.cast("string"))
     missing = text.isNull() | F.upper(text).isin(*MISSING_TEXTS)
     if isinstance(dtype, T.StringType):
-        number = text.try_cast("decimal(38,4)").cast("string")
+        # a failed cast costs an exception inside the JVM, so only numbers are cast
+        number = F.when(text.rlike(NUMBER), text.try_cast("decimal(38,4)").cast("string"))
         text = F.coalesce(number, text)
     return F.when(missing, F.lit(MISSING)).otherwise(text)
 

@@ -156,7 +156,7 @@ def except_tables(s: Star):
     return in_first_only({"all": s.buyer, "active": events, "recent": recent}, ["buyer_id"])
 
 
-# Two-letter nation suffixes the prefix list is made of.
+# Nation prefixes looked for.
 _PREFIXES = ("NATION_1", "NATION_2", "NATION_5")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +33,13 @@ def query(name: str, sql: str | None = None, star: bool = True):
     return add
 
 
+_MODULES = ("layers", "stars", "bands", "thresholds", "membership", "channels", "growth", "movement", "rollups",
+            "windows", "waypoints")
+
+
 def _load() -> None:
-    from lakeloom.plans import (  # noqa: F401
-        bands, channels, growth, layers, membership, movement, rollups, stars, thresholds, waypoints, windows,
-    )
+    for module in _MODULES:
+        import_module(f"lakeloom.plans.{module}")
 
 
 def plans() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

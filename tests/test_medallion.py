@@ -86,7 +86,6 @@ def test_latest_by_key_prunes_before_the_shuffle(spark):
 
 
 def test_conform_nulls_bad_values_and_lists_them(spark):
-    from pyspark.sql import types as T
     schema = schemas.flat("id BIGINT, at TIMESTAMP")
     df = spark.createDataFrame([("1", "2024-01-01 10:00:00"), ("x", "2024-01-02"), ("3", "soon"), ("4", None)], "id string, at string")
     out = conform(df, schema).collect()

@@ -11,7 +11,6 @@ from datetime import timedelta
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeloom import schemas
 from lakeloom.sources import streams

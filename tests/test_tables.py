@@ -6,7 +6,6 @@ from datetime import datetime as dt
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeloom import schemas
 from lakeloom.sources import seed, tables
