@@ -13,13 +13,12 @@ from lakeloom.plans.star import Star
 
 @query("above_group_avg", """
 WITH a AS (SELECT item_id, round(sum(discount), 2) / count(discount) AS avg_value FROM lines GROUP BY 1)
-SELECT order_id, line_no, l.item_id AS item_id, outlet_id, discount + 0.0 AS discount, round(avg_value, 6) AS avg_value
+SELECT order_id, line_no, l.item_id AS item_id, outlet_id, discount + 0.0 AS discount, avg_value
 FROM lines l JOIN a ON a.item_id = l.item_id WHERE discount > 1.3 * avg_value""")
 def above_item_avg(s: Star):
     lines = s.lines.select("order_id", "line_no", "item_id", "outlet_id", "discount")
     return (above_group_avg(lines, ["item_id"], "discount", 1.3)
-            .select("order_id", "line_no", "item_id", "outlet_id", (F.col("discount") + 0.0).alias("discount"),
-                    F.round("avg_value", 6).alias("avg_value")))
+            .select("order_id", "line_no", "item_id", "outlet_id", (F.col("discount") + 0.0).alias("discount"), "avg_value"))
 
 
 _EXCESS = """
