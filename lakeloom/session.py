@@ -3,6 +3,10 @@ cluster sets at launch is kept."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators count on.
@@ -35,6 +39,22 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application, for functions that run
+    in their Python workers. Needless where it is installed there or came with
+    ``--py-files``, and then without effect."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        _shipped.add(application)
+        root = Path(__file__).resolve().parent
+        archive = shutil.make_archive(tempfile.mkdtemp(prefix="run-") + "/lakeloom_package", "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+    return spark
+
+
 def build_session(app_name: str = "lakeloom", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
