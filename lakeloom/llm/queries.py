@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeloom.llm.circulant import op9_minhash
 from lakeloom.llm.decision_list import op5_quality_rules
 from lakeloom.llm.hmm import op2_hmm
+from lakeloom.llm.lattice import op4_sentencepiece
 from lakeloom.llm.mixing import OP3_SQL, op3_mixing
 from lakeloom.llm.sharding import op1_sharding, op1_sql
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_hmm": op2_hmm,
     "op3_mixing": op3_mixing,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
     "op9_minhash": op9_minhash,
 }
