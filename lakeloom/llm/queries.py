@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.llm.chat import OP6_SQL, op6_chat_rotation
 from lakeloom.llm.circulant import op9_minhash
 from lakeloom.llm.decision_list import op5_quality_rules
 from lakeloom.llm.hmm import op2_hmm
 from lakeloom.llm.lattice import op4_sentencepiece
 from lakeloom.llm.mixing import OP3_SQL, op3_mixing
 from lakeloom.llm.sharding import op1_sharding, op1_sql
+from lakeloom.llm.wordpiece import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
@@ -19,9 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_rotation": op6_chat_rotation,
     "op9_minhash": op9_minhash,
+    "op10_token_counts": op10_token_counts,
 }
 
 
 def check_sql() -> dict[str, str]:
-    return {"op1_sharding": op1_sql(), "op3_mixing": OP3_SQL}
+    return {"op1_sharding": op1_sql(), "op3_mixing": OP3_SQL, "op6_chat_rotation": OP6_SQL}
