@@ -12,6 +12,7 @@ from lakeloom.llm.decision_list import op5_quality_rules
 from lakeloom.llm.hmm import op2_hmm
 from lakeloom.llm.lattice import op4_sentencepiece
 from lakeloom.llm.mixing import OP3_SQL, op3_mixing
+from lakeloom.llm.pivots import op7_pivots
 from lakeloom.llm.sharding import op1_sharding, op1_sql
 from lakeloom.llm.wordpiece import op10_token_counts
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_rotation": op6_chat_rotation,
+    "op7_pivots": op7_pivots,
     "op9_minhash": op9_minhash,
     "op10_token_counts": op10_token_counts,
 }
