@@ -14,6 +14,7 @@ from lakeloom.llm.lattice import op4_sentencepiece
 from lakeloom.llm.mixing import OP3_SQL, op3_mixing
 from lakeloom.llm.pivots import op7_pivots
 from lakeloom.llm.sharding import op1_sharding, op1_sql
+from lakeloom.llm.template_html import op8_template_html
 from lakeloom.llm.wordpiece import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_rotation": op6_chat_rotation,
     "op7_pivots": op7_pivots,
+    "op8_template_html": op8_template_html,
     "op9_minhash": op9_minhash,
     "op10_token_counts": op10_token_counts,
 }
