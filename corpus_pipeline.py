@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.llm import decision_list, mixing
+from lakeloom.llm import circulant, decision_list, lattice, mixing
 from lakeloom.llm.tables import table, written
 
 
@@ -22,14 +23,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decision_list.judge(docs, rules).where("kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one of the smallest id."""
+    return circulant.drop_near_duplicates(docs).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources; a document taken twice is two rows."""
     return mixing.mix(docs)
 
 
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents as sampled pieces: doc_id, lang, source, n_pieces, ids."""
+    return lattice.encode(docs).select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_pieces"), "ids")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("mix_sources", mix_sources),
+    ("sentence_pieces", sentence_pieces),
 ]
 
 #: Sampled segmentations have no SQL form; tests compare `run` with brute force.
