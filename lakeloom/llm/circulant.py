@@ -38,7 +38,7 @@ SHARE = (75, 100)     # links: intersection / union of at least this
 BANDS, ROWS = 32, 5
 UNIVERSE = 1 << 20
 BLOCK = 256           # documents of a bucket compared in one group
-STAR = 2000           # members compared with one copy of a bucket's smallest document
+STAR = 200            # members compared with one copy of a bucket's smallest document
 _WORDS_KEPT = 1 << 20
 
 _SET = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
