@@ -14,14 +14,19 @@ NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _four_decimals(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.DecimalType):
-        return c.cast("decimal(38,4)").cast("string")
-    if not isinstance(dtype, (T.FloatType, T.DoubleType)):
+    """Four decimals for every value that a DECIMAL(38,4) can hold, whatever its type;
+    beyond it decimals keep their exact digits and floating values their own text."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return F.concat(c.cast("string"), F.lit(".0000"))
-    # the narrow decimal is held as one long; -0.0 and 0.0 are the same number
-    size = F.abs(c)
-    return (F.when(c == 0, F.lit("0.0000")).when(size < 1e13, c.cast("decimal(18,4)").cast("string"))
-            .when(size < 1e30, c.cast("decimal(38,4)").cast("string")).otherwise(c.cast("string")))
+    return F.coalesce(c.try_cast("decimal(38,4)").cast("string"), _digits(c.cast("string")))
+
+
+def _digits(text: Column) -> Column:
+    """A number as text without plus sign, leading zeros, or zeros after its last
+    decimal; with an exponent, the text of the double."""
+    plain = F.regexp_replace(F.regexp_replace(text, r"^[+]", ""), r"^(-?)0+(?=[0-9])", "$1")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"([.][0-9]*?)0+$", "$1"), r"[.]$", "")
+    return F.when(F.lower(text).contains("e"), text.try_cast("double").cast("string")).otherwise(plain)
 
 
 def normalized(name: str, dtype: T.DataType) -> Column:
@@ -34,20 +39,26 @@ def normalized(name: str, dtype: T.DataType) -> Column:
     missing = text.isNull() | F.upper(text).isin(*MISSING_TEXTS)
     if isinstance(dtype, T.StringType):
         # a failed cast costs an exception inside the JVM, so only numbers are cast
-        number = F.when(text.rlike(NUMBER), text.try_cast("decimal(38,4)").cast("string"))
+        number = F.when(text.rlike(NUMBER), F.coalesce(text.try_cast("decimal(38,4)").cast("string"), _digits(text)))
         text = F.coalesce(number, text)
     return F.when(missing, F.lit(MISSING)).otherwise(text)
 
 
-def row_hash(df: DataFrame, algorithm: str = "md5") -> Column:
-    """60-bit hash of a row's normalised cells, columns in given order.
+HASH_WORDS = 4
+
+
+def row_hash(df: DataFrame, algorithm: str = "md5") -> list[Column]:
+    """128-bit hash of a row's normalised cells (columns in given order), as four
+    32-bit words.
 
-    ``md5`` gives a value any engine can recompute; ``xxhash64`` is cheaper and
-    meant for Spark-to-Spark comparison."""
+    ``md5`` gives a value any engine can recompute; ``xxhash64`` (two seeds) is cheaper
+    and meant for Spark-to-Spark comparison."""
     cells = [normalized(f.name, f.dataType) for f in df.schema.fields]
     joined = F.concat_ws("\u001f", *cells)
     if algorithm == "xxhash64":
-        return F.xxhash64(joined)
+        halves = [F.xxhash64(joined), F.xxhash64(F.lit(1), joined)]
+        return [w for h in halves for w in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
     if algorithm != "md5":
         raise ValueError(f"unknown algorithm: {algorithm}")
-    return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
+    digest = F.md5(joined)
+    return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(HASH_WORDS)]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.normalize import normalized, row_hash
+from lakeloom.functions.normalize import HASH_WORDS, normalized, row_hash
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -15,21 +15,26 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.select([normalized(f.name, f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def _hashed(df: DataFrame, algorithm: str, keys: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
+    """Rows as their hash words, and the aggregates over them."""
+    words = [c.alias(f"_w{i}") for i, c in enumerate(row_hash(df, algorithm))]
+    sums = [F.sum(F.col(f"_w{i}").cast("decimal(38,0)")).alias(f"hash_sum_{i}") for i in range(HASH_WORDS)]
+    xors = [F.bit_xor(f"_w{i}").alias(f"hash_xor_{i}") for i in range(HASH_WORDS)]
+    return df.select(*keys, *words), [F.count(F.lit(1)).alias("row_count"), *sums, *xors]
+
+
 def fingerprint(df: DataFrame, algorithm: str = "md5") -> DataFrame:
-    """Row count, hash sum and hash xor as one row: one pass with map-side
-    partials, no sort and nothing collected. The sum is exact (decimal)."""
-    return df.select(row_hash(df, algorithm).alias("h")).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
-        F.bit_xor("h").alias("hash_xor"))
+    """Row count, and the sum and xor of each 32-bit word of the 128-bit row hash, as
+    one row: one pass with map-side partials, no sort and nothing collected. The sums
+    are exact (decimal)."""
+    rows, totals = _hashed(df, algorithm)
+    return rows.agg(*totals)
 
 
 def grouped_fingerprint(df: DataFrame, keys: Sequence[str], algorithm: str = "md5") -> DataFrame:
     """Fingerprint per key, to find where two tables differ."""
-    return df.select(*keys, row_hash(df, algorithm).alias("h")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
-        F.bit_xor("h").alias("hash_xor"))
+    rows, totals = _hashed(df, algorithm, keys)
+    return rows.groupBy(*keys).agg(*totals)
 
 
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:

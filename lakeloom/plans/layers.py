@@ -188,15 +188,21 @@ def trimmed_text(s: Star):
     return trimmed(padded)
 
 
-_CELLS = """CAST(CAST(o_orderkey AS DECIMAL(38,4)) AS VARCHAR) || chr(31) || trim(o_orderstatus) || chr(31)
-  || CAST(CAST(round(o_totalprice, 4) AS DECIMAL(38,4)) AS VARCHAR) || chr(31) || trim(o_orderpriority)"""
+_CELLS = """CAST(CAST(o_orderkey AS DECIMAL(38,4)) AS VARCHAR) || chr(31) || CAST(CAST(o_custkey AS DECIMAL(38,4)) AS VARCHAR) || chr(31)
+  || trim(o_orderstatus) || chr(31) || CAST(CAST(round(o_totalprice, 4) AS DECIMAL(38,4)) AS VARCHAR) || chr(31)
+  || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || chr(31) || trim(o_orderpriority)"""
+_WORDS = ", ".join(f"CAST(('0x' || substr(d, {8 * i + 1}, 8)) AS BIGINT) AS w{i}" for i in range(4))
+_TOTALS = ", ".join([f"CAST(sum(CAST(w{i} AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS hash_sum_{i}" for i in range(4)]
+                    + [f"bit_xor(w{i}) AS hash_xor_{i}" for i in range(4)])
 
 
 @query("table_fingerprint", f"""
-WITH h AS (SELECT CAST(('0x' || substr(md5({_CELLS}), 1, 15)) AS BIGINT) AS h FROM orders)
-SELECT count(*) AS row_count, CAST(sum(CAST(h AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS hash_sum, bit_xor(h) AS hash_xor FROM h""", star=False)
+WITH h AS (SELECT md5({_CELLS}) AS d FROM orders), w AS (SELECT {_WORDS} FROM h)
+SELECT count(*) AS row_count, {_TOTALS} FROM w""", star=False)
 def table_fingerprint(s: Star):
-    return compare.fingerprint(s.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
+    """Over all columns of orders, in the order of the table."""
+    return compare.fingerprint(s.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                        "o_orderdate", "o_orderpriority"))
 
 
 @query("table_diff", """

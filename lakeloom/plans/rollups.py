@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom.functions import in_dates, ratio, sum2
-from lakeloom.operators.ranking import ranked, top_ranked
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
 
@@ -81,30 +80,33 @@ def rollup_stock(s: Star):
             .orderBy("avg_stock", *[F.asc_nulls_last(k) for k in keys]).limit(100))
 
 
+# The three levels are grouped one by one and ranked by counting better rows.
 _RANK = """
-WITH r AS (
-  SELECT {a}, {b}, CAST(grouping({a}) + grouping({b}) AS BIGINT) AS lochierarchy, {measure} AS measure
-  FROM sales JOIN item USING (item_id) JOIN outlet USING (outlet_id)
-  WHERE {where}
-  GROUP BY ROLLUP ({a}, {b}))
-SELECT {a}, {b}, lochierarchy, measure,
-       rank() OVER (PARTITION BY lochierarchy, CASE WHEN lochierarchy = 0 THEN {a} END ORDER BY measure {dir}) AS rank_within_parent
-FROM r"""
+WITH base AS (SELECT * FROM sales JOIN item USING (item_id) JOIN outlet USING (outlet_id) WHERE {where}),
+level AS (
+  SELECT {a}, {b}, CAST(0 AS BIGINT) AS depth, {measure} AS measure FROM base GROUP BY 1, 2
+  UNION ALL SELECT {a}, NULL, 1, {measure} FROM base GROUP BY 1
+  UNION ALL SELECT NULL, NULL, 2, {measure} FROM base)
+SELECT l.{a} AS {a}, l.{b} AS {b}, l.depth AS depth, l.measure AS measure,
+  1 + (SELECT count(*) FROM level o WHERE o.depth = l.depth AND (l.depth > 0 OR o.{a} = l.{a}) AND o.measure {better} l.measure)
+    AS rank_in_level
+FROM level l"""
 
 
 def rank_in_level(levels, parent: str, measure: str, ascending: bool):
-    """rank() of a measure among the rows of one grouping level and parent."""
-    framed = levels.withColumn("_parent", F.when(F.col("lochierarchy") == 0, F.col(parent)))
-    return (ranked(framed, ["lochierarchy", "_parent"], measure, ascending=ascending, name="rank_within_parent")
-            .drop("_parent"))
+    """rank() of a measure among the rows of one level and parent. A level holds one
+    row per pair of dimension values, so its groups are small whatever the facts."""
+    order = F.col(measure).asc() if ascending else F.col(measure).desc()
+    inside = Window.partitionBy("depth", F.when(F.col("depth") == 0, F.col(parent))).orderBy(order)
+    return levels.withColumn("rank_in_level", F.rank().over(inside).cast("bigint"))
 
 
 def _levels(base, a: str, b: str, measure):
-    return base.rollup(a, b).agg((F.grouping(a) + F.grouping(b)).cast("bigint").alias("lochierarchy"),
+    return base.rollup(a, b).agg((F.grouping(a) + F.grouping(b)).cast("bigint").alias("depth"),
                                  measure.alias("measure"))
 
 
-@query("rollup_rank", _RANK.format(a="item_class", b="brand", dir="ASC", where="channel = 'store'",
+@query("rollup_rank", _RANK.format(a="item_class", b="brand", better="<", where="channel = 'store'",
                                    measure="round(round(sum(gross * discount), 4) / round(sum(gross), 2), 6)"))
 def rollup_rank(s: Star):
     rows = (s.lines.join(s.orders.filter("channel = 'store'"), "order_id")
@@ -115,7 +117,7 @@ def rollup_rank(s: Star):
     return rank_in_level(_levels(base, "item_class", "brand", margin), "item_class", "measure", True)
 
 
-@query("rollup_rank_web", _RANK.format(a="item_class", b="brand", dir="DESC", measure="round(sum(gross), 2)",
+@query("rollup_rank_web", _RANK.format(a="item_class", b="brand", better=">", measure="round(sum(gross), 2)",
                                        where="channel = 'web' AND sold_at >= TIMESTAMP '1999-01-01' AND sold_at < TIMESTAMP '2000-01-01'"))
 def rollup_rank_web(s: Star):
     orders = s.orders.filter((F.col("channel") == "web") & in_dates("sold_at", "1999-01-01", "2000-01-01"))
@@ -125,7 +127,7 @@ def rollup_rank_web(s: Star):
     return rank_in_level(_levels(base, "item_class", "brand", sum2("g")), "item_class", "measure", False)
 
 
-@query("rollup_rank_outlet", _RANK.format(a="outlet_region", b="outlet_nation", dir="DESC", measure="round(sum(gross), 2)",
+@query("rollup_rank_outlet", _RANK.format(a="outlet_region", b="outlet_nation", better=">", measure="round(sum(gross), 2)",
                                           where="""outlet_region IN (
     SELECT outlet_region FROM (
       SELECT outlet_region, rank() OVER (ORDER BY round(sum(gross), 2) DESC) AS ranking
@@ -166,4 +168,6 @@ def rollup_topn(s: Star):
                          b(F.quarter("sold_on")).alias("q"), b(F.month("sold_on")).alias("m"), "outlet_nation")
             .agg(sum2("gross").alias("g")))
     levels = base.rollup(*_EIGHT).agg(sum2("g").alias("sumsales"))
-    return top_ranked(levels, ["item_class"], "sumsales", 20, name="rk")
+    # one sum per row and a short list: the window group limit prunes each task's rows
+    best = Window.partitionBy("item_class").orderBy(F.desc("sumsales"))
+    return levels.withColumn("rk", F.rank().over(best).cast("bigint")).filter("rk <= 20")

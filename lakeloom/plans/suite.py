@@ -52,9 +52,9 @@ def record_runs(spark: SparkSession, plans: dict[str, Callable[[], DataFrame]],
             try:
                 row = fingerprint(plan(), algorithm).first()
                 record |= {"status": "success", "row_count": row.row_count,
-                           "result_hash": f"{row.row_count}:{row.hash_sum}:{row.hash_xor}"}
+                           "result_hash": ":".join(map(str, row))}
             except Exception as e:  # noqa: BLE001 - the failure is the record
-                record |= {"status": "failed", "error_message": str(e).splitlines()[0][:500]}
+                record |= {"status": "failed", "error_message": str(e)}
             record["query_time_seconds"] = round(time.perf_counter() - start, 3)
             if record["status"] == "success" and record["query_time_seconds"] > 0:
                 record["throughput_qps"] = 1.0 / record["query_time_seconds"]

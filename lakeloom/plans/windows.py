@@ -7,30 +7,32 @@ from pyspark.sql.window import Window
 
 from lakeloom.functions import in_dates, ratio, sum2
 from lakeloom.operators.groups import with_group_aggs
-from lakeloom.operators.ranking import ranked, top_ranked
+from lakeloom.operators.ranking import top_ranked
 from lakeloom.operators.series import running, with_neighbours
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
 
+# Months beside each other are looked up by lag() and lead(); the mean of a year is
+# joined from a grouping of its own.
 _LAG = """
-WITH v1 AS (
-  SELECT {keys}, CAST(year(sold_on) AS BIGINT) AS y, CAST(month(sold_on) AS BIGINT) AS m, round(sum(gross), 2) AS sum_sales
+WITH months AS (
+  SELECT {keys}, CAST(year(sold_on) AS BIGINT) AS sold_year, CAST(month(sold_on) AS BIGINT) AS sold_month,
+         round(sum(gross), 2) AS month_sales
   FROM sales JOIN item USING (item_id) JOIN outlet USING (outlet_id)
   WHERE channel = '{channel}' AND sold_at >= TIMESTAMP '1998-12-01' AND sold_at < TIMESTAMP '2000-02-01'
   GROUP BY ALL),
-v2 AS (SELECT *, round(sum(sum_sales) OVER w, 2) / count(*) OVER w AS avg_monthly,
-              rank() OVER (PARTITION BY {keys} ORDER BY y, m) AS rn
-       FROM v1 WINDOW w AS (PARTITION BY {keys}, y))
-SELECT {a_keys}, a.y AS y, a.m AS m, round(a.avg_monthly, 6) AS avg_monthly, a.sum_sales AS sum_sales,
-       p.sum_sales AS psum, n.sum_sales AS nsum
-FROM v2 a JOIN v2 p ON {p_on} AND p.rn = a.rn - 1 JOIN v2 n ON {n_on} AND n.rn = a.rn + 1
-WHERE a.y = 1999 AND a.avg_monthly > 0 AND abs(a.sum_sales - a.avg_monthly) / a.avg_monthly > 0.1"""
+means AS (SELECT {keys}, sold_year, round(sum(month_sales), 2) / count(*) AS mean_sales FROM months GROUP BY ALL),
+beside AS (
+  SELECT *, lag(month_sales) OVER seq AS previous_sales, lead(month_sales) OVER seq AS next_sales
+  FROM months WINDOW seq AS (PARTITION BY {keys} ORDER BY sold_year * 12 + sold_month))
+SELECT {keys}, sold_year, sold_month, round(mean_sales, 6) AS mean_sales, month_sales, previous_sales, next_sales
+FROM beside JOIN means USING ({keys}, sold_year)
+WHERE sold_year = 1999 AND previous_sales IS NOT NULL AND next_sales IS NOT NULL
+  AND mean_sales > 0 AND abs(month_sales - mean_sales) > 0.1 * mean_sales"""
 
 
 def _lag_sql(channel: str, *keys: str) -> str:
-    on = {t: " AND ".join(f"{t}.{k} = a.{k}" for k in keys) for t in "pn"}
-    return _LAG.format(keys=", ".join(keys), channel=channel, p_on=on["p"], n_on=on["n"],
-                       a_keys=", ".join(f"a.{k} AS {k}" for k in keys))
+    return _LAG.format(keys=", ".join(keys), channel=channel)
 
 
 def _lag_lead(s: Star, channel: str, keys: list[str]):
@@ -38,15 +40,18 @@ def _lag_lead(s: Star, channel: str, keys: list[str]):
     items, outs = {"brand", "item_class"} & set(keys), {"outlet_nation", "outlet_name"} & set(keys)
     monthly = (s.lines.join(orders, "order_id").join(s.item.select("item_id", *sorted(items)), "item_id")
                .join(s.outlet.select("outlet_id", *sorted(outs)), "outlet_id")
-               .groupBy(*keys, F.year("sold_on").cast("bigint").alias("y"), F.month("sold_on").cast("bigint").alias("m"))
-               .agg(sum2("gross").alias("sum_sales")))
+               .groupBy(*keys, F.year("sold_on").cast("bigint").alias("sold_year"),
+                        F.month("sold_on").cast("bigint").alias("sold_month"))
+               .agg(sum2("gross").alias("month_sales")))
     # at most 14 months per group: both windows share one shuffle on the group
-    year = Window.partitionBy(*keys, "y")
-    mean = F.try_divide(F.round(F.sum("sum_sales").over(year), 2), F.count("sum_sales").over(year))
-    near = with_neighbours(monthly.withColumn("avg_monthly", mean), keys, ["y", "m"], "sum_sales", "psum", "nsum")
-    return (near.filter((F.col("y") == 1999) & (F.col("avg_monthly") > 0)
-                    & (ratio(F.abs(F.col("sum_sales") - F.col("avg_monthly")), "avg_monthly") > 0.1))
-            .select(*keys, "y", "m", F.round("avg_monthly", 6).alias("avg_monthly"), "sum_sales", "psum", "nsum"))
+    year = Window.partitionBy(*keys, "sold_year")
+    mean = F.try_divide(F.round(F.sum("month_sales").over(year), 2), F.count("month_sales").over(year))
+    near = with_neighbours(monthly.withColumn("mean_sales", mean), keys, ["sold_year", "sold_month"], "month_sales",
+                           "previous_sales", "next_sales")
+    apart = F.abs(F.col("month_sales") - F.col("mean_sales")) > 0.1 * F.col("mean_sales")
+    return (near.filter((F.col("sold_year") == 1999) & (F.col("mean_sales") > 0) & apart)
+            .select(*keys, "sold_year", "sold_month", F.round("mean_sales", 6).alias("mean_sales"), "month_sales",
+                    "previous_sales", "next_sales"))
 
 
 @query("lag_lead", _lag_sql("store", "item_class", "brand", "outlet_nation"))
@@ -60,17 +65,19 @@ def lag_lead_catalog(s: Star):
 
 
 @query("cumulative_cross", """
-WITH w AS (SELECT item_id, sold_on, round(sum(sum(gross)) OVER (PARTITION BY item_id ORDER BY sold_on ROWS UNBOUNDED PRECEDING), 2) AS cume
-           FROM sales WHERE channel = 'web' AND sold_at >= TIMESTAMP '1999-01-01' AND sold_at < TIMESTAMP '2000-01-01' GROUP BY 1, 2),
-st AS (SELECT item_id, sold_on, round(sum(sum(gross)) OVER (PARTITION BY item_id ORDER BY sold_on ROWS UNBOUNDED PRECEDING), 2) AS cume
-           FROM sales WHERE channel = 'store' AND sold_at >= TIMESTAMP '1999-01-01' AND sold_at < TIMESTAMP '2000-01-01' GROUP BY 1, 2),
-x AS (
-  SELECT CASE WHEN w.item_id IS NOT NULL THEN w.item_id ELSE st.item_id END AS item_id,
-         CASE WHEN w.sold_on IS NOT NULL THEN w.sold_on ELSE st.sold_on END AS sold_on, w.cume AS web_sales, st.cume AS store_sales
-  FROM w FULL JOIN st ON w.item_id = st.item_id AND w.sold_on = st.sold_on),
-y AS (SELECT *, max(web_sales) OVER z AS web_cumulative, max(store_sales) OVER z AS store_cumulative FROM x
-      WINDOW z AS (PARTITION BY item_id ORDER BY sold_on ROWS UNBOUNDED PRECEDING))
-SELECT * FROM y WHERE web_cumulative > store_cumulative ORDER BY item_id, sold_on LIMIT 100""")
+WITH daily AS (
+  SELECT item_id, sold_on, sum(gross) FILTER (WHERE channel = 'web') AS web_day, sum(gross) FILTER (WHERE channel = 'store') AS store_day
+  FROM sales WHERE channel <> 'catalog' AND year(sold_on) = 1999 GROUP BY item_id, sold_on),
+summed AS (
+  SELECT item_id, sold_on,
+    CASE WHEN web_day IS NOT NULL THEN round(sum(web_day) OVER so_far, 2) END AS web_sales,
+    CASE WHEN store_day IS NOT NULL THEN round(sum(store_day) OVER so_far, 2) END AS store_sales
+  FROM daily WINDOW so_far AS (PARTITION BY item_id ORDER BY sold_on ROWS UNBOUNDED PRECEDING)),
+highest AS (
+  SELECT s.*, (SELECT max(e.web_sales) FROM summed e WHERE e.item_id = s.item_id AND e.sold_on <= s.sold_on) AS web_so_far,
+         (SELECT max(e.store_sales) FROM summed e WHERE e.item_id = s.item_id AND e.sold_on <= s.sold_on) AS store_so_far
+  FROM summed s)
+SELECT * FROM highest WHERE web_so_far > store_so_far ORDER BY item_id, sold_on LIMIT 100""")
 def cumulative_cross(s: Star):
     """Days on which an item's cumulative web sales exceed its cumulative store
     sales. Both channels are summed per (item, day) in one pass, which also is
@@ -85,9 +92,9 @@ def cumulative_cross(s: Star):
         days = running(days, ["item_id"], "sold_on", f"{ch}_day", f"{ch}_run")
         days = days.withColumn(f"{ch}_sales", F.when(F.col(f"{ch}_has"), F.round(f"{ch}_run", 2)))
     for ch in ("web", "store"):
-        days = running(days, ["item_id"], "sold_on", f"{ch}_sales", f"{ch}_cumulative", how="max")
-    return (days.filter("web_cumulative > store_cumulative")
-            .select("item_id", "sold_on", "web_sales", "store_sales", "web_cumulative", "store_cumulative")
+        days = running(days, ["item_id"], "sold_on", f"{ch}_sales", f"{ch}_so_far", how="max")
+    return (days.filter("web_so_far > store_so_far")
+            .select("item_id", "sold_on", "web_sales", "store_sales", "web_so_far", "store_so_far")
             .orderBy("item_id", "sold_on").limit(100))
 
 
@@ -116,35 +123,57 @@ def best_worst(s: Star):
     return side(True, "worst").join(side(False, "best"), "rnk")
 
 
-_DUAL = """
-SELECT '{ch}' AS channel, item_id, return_ratio, currency_ratio, return_rank, currency_rank FROM (
-  SELECT *, rank() OVER (ORDER BY return_ratio) AS return_rank, rank() OVER (ORDER BY currency_ratio) AS currency_rank FROM (
-    SELECT item_id,
-      round(CAST(sum(CASE WHEN returned THEN quantity ELSE 0 END) AS DOUBLE) / sum(quantity), 9) AS return_ratio,
-      round(round(sum(CASE WHEN returned THEN gross ELSE 0.0 END), 2) / round(sum(gross), 2), 9) AS currency_ratio
-    FROM sales WHERE channel = '{ch}' AND gross > 1000 AND quantity > 0
-      AND sold_at >= TIMESTAMP '2000-12-01' AND sold_at < TIMESTAMP '2001-01-01'
-    GROUP BY 1 HAVING count(*) FILTER (WHERE returned) > 0))
-WHERE return_rank <= 10 OR currency_rank <= 10"""
-
-
-@query("dual_rank", " UNION ".join(_DUAL.format(ch=ch) for ch in ("web", "catalog", "store")))
+@query("dual_rank", """
+WITH rates AS (
+  SELECT channel, item_id,
+    round(CAST(sum(quantity) FILTER (WHERE returned) AS DOUBLE) / sum(quantity), 9) AS return_ratio,
+    round(round(sum(gross) FILTER (WHERE returned), 2) / round(sum(gross), 2), 9) AS currency_ratio
+  FROM sales
+  WHERE gross > 1000 AND quantity > 0 AND sold_at >= TIMESTAMP '2000-12-01' AND sold_at < TIMESTAMP '2001-01-01'
+  GROUP BY channel, item_id HAVING bool_or(returned)),
+placed AS (
+  SELECT r.*, 1 + (SELECT count(*) FROM rates o WHERE o.channel = r.channel AND o.return_ratio < r.return_ratio) AS return_rank,
+    1 + (SELECT count(*) FROM rates o WHERE o.channel = r.channel AND o.currency_ratio < r.currency_ratio) AS currency_rank
+  FROM rates r)
+SELECT channel, item_id, return_ratio, currency_ratio, return_rank, currency_rank
+FROM placed WHERE least(return_rank, currency_rank) <= 10""")
 def dual_rank(s: Star):
-    """Items among the ten lowest by either of two return ratios, per channel. The
-    two ratios are ranked together as one long list of (channel, measure, value)."""
+    """Items among the ten lowest by either of two return ratios, per channel.
+
+    Each measure's own top list is pruned per task; only for the items on one of them
+    the rank by the other measure is found, by counting how many items lie between
+    two listed values and adding these counts up."""
     orders = s.orders.filter(in_dates("sold_at", "2000-12-01", "2001-01-01"))
     gone = F.col("returned")
     by_item = (s.lines.filter("gross > 1000 AND quantity > 0").join(orders, "order_id").groupBy("channel", "item_id")
                .agg(F.sum(F.when(gone, F.col("quantity")).otherwise(0.0)).alias("rq"), F.sum("quantity").alias("q"),
                     F.round(F.sum(F.when(gone, F.col("gross")).otherwise(0.0)), 2).alias("rv"), sum2("gross").alias("v"),
                     F.count_if(gone).alias("n_back")).filter("n_back > 0")
-               .select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return"),
-                       F.round(ratio("rv", "v"), 9).alias("currency")))
-    both = by_item.unpivot(["channel", "item_id"], ["return", "currency"], "measure", "value")
-    placed = ranked(both, ["channel", "measure"], "value", ascending=True)
-    cols = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{n}")
-            for m in ("return", "currency") for c, n in (("value", "ratio"), ("rnk", "rank"))]
-    return placed.groupBy("channel", "item_id").agg(*cols).filter("return_rank <= 10 OR currency_rank <= 10")
+               .select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return_ratio"),
+                       F.round(ratio("rv", "v"), 9).alias("currency_ratio")))
+    measures = ("return", "currency")
+
+    def lowest(m: str):
+        low = Window.partitionBy("channel").orderBy(F.col(f"{m}_ratio").asc())
+        return by_item.withColumn("_r", F.rank().over(low)).filter("_r <= 10").drop("_r")
+
+    listed = lowest("return").unionByName(lowest("currency")).distinct()
+    # at most ten values and their ties per measure, so one short array per channel
+    values = listed.groupBy("channel").agg(*[F.array_sort(F.collect_set(f"{m}_ratio")).alias(f"{m}_values") for m in measures])
+
+    def passed(m: str):
+        return F.size(F.filter(f"{m}_values", lambda x: x <= F.col(f"{m}_ratio"))).alias(f"{m}_passed")
+
+    def rank_by(m: str):
+        place = F.array_position(f"{m}_values", F.col(f"{m}_ratio"))
+        before = F.transform("counts", lambda c: F.when(c[f"{m}_passed"] < place, c["n"]).otherwise(0))
+        return (1 + F.aggregate(before, F.lit(0).cast("bigint"), lambda a, n: a + n)).alias(f"{m}_rank")
+
+    between = (by_item.join(values, "channel").select("channel", *map(passed, measures))
+               .groupBy("channel", *[f"{m}_passed" for m in measures]).agg(F.count("*").alias("n")))
+    lists = between.groupBy("channel").agg(F.collect_list(F.struct("return_passed", "currency_passed", "n")).alias("counts"))
+    placed = listed.join(values, "channel").join(lists, "channel")
+    return placed.select("channel", "item_id", "return_ratio", "currency_ratio", *map(rank_by, measures))
 
 
 @query("group_share_running", """
