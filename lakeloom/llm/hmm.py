@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.tables import table, written
 
-FREQUENT = 32_000     # words that are symbols of their own; ids fit 16 bits
+FREQUENT = 32_000     # most words that are symbols of their own; ids fit 16 bits
 STATES = 8
 ROUNDS = 3            # of Baum-Welch
 SMOOTH = 0.1          # added to each count
@@ -78,7 +78,17 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    # the most frequent words by sixteenths of an octave of their counts: as many of the
+    # upper steps as hold FREQUENT words at most
+    step = F.floor(F.log2("c") * 16)
+    sizes = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True)
+    held, low = 0, None
+    for row in sizes:
+        held += row["n"]
+        if held > FREQUENT:
+            break
+        low = row["step"]
+    top = sorted(counts.where(step >= low).collect(), key=lambda r: (-r["c"], r["word"])) if low is not None else []
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, distinct = n + ends, v + (1 if ends else 0)
     denominator = total + SMOOTH * (distinct + 1)
