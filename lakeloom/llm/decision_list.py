@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.tables import BLANK, table, words_of
+from lakeloom.llm.tables import BLANK, hash_sample, table, words_of
 
 MAX_LABELLED = 20_000
 MIN_WORDS = 50
@@ -188,9 +188,8 @@ def base_failed() -> Column:
 def labelled_statistics(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[dict]:
     """At most ``most`` labelled rows (by hash of the id) that pass the base rule, as
     the features and ``junk``. Ids and qualities that are null are not labels."""
-    chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-              .groupBy("doc_id").agg(F.max("quality").alias("_quality")))
+    usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
+    chosen = (hash_sample(usable, most, "doc_id", "quality").groupBy("doc_id").agg(F.max("quality").alias("_quality")))
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     values = [F.expr(e).cast("double").alias(name) for name, e in FEATURES.items()]
     rows = text_statistics(found).where(~base_failed()).select("doc_id", (F.col("_quality") == 0).alias("junk"), *values)

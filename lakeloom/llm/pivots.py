@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
-from lakeloom.llm.tables import runs_of, table, written
+from lakeloom.llm.tables import hash_sample, runs_of, table, written
 
 COSINE = 0.98
 PIVOTS = 128
@@ -59,7 +59,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> dict[int, np.ndarray]:
     """Per dimension, unit vectors far from each other, from at most ``sample`` rows
     (by hash of the id)."""
-    rows = vectors.select("embedding", "first").orderBy(F.xxhash64("first"), "first", "embedding").limit(sample)
+    rows = hash_sample(vectors.select("first", "embedding"), sample, "first", "embedding")
     by_size: dict[int, list] = {}
     for row in rows.select("embedding").collect():
         by_size.setdefault(len(row[0]), []).append(row[0])
