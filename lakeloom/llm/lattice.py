@@ -16,11 +16,12 @@ Broadcast: the vocabulary, whose size is that of the model file."""
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,18 +36,18 @@ SEED = 29
 EDGES = 3_000_000      # edges of chunk lattices that a task keeps
 CHUNKS = 400_000       # chunks sampled in step
 _CHUNK = re.compile(r"\n| ?[^ \n]+| ")
+_BYTE_WEIGHT = -32.0   # log weight of a character that is cut into bytes; it has no other way
 _NO_SCORE = -1e8       # user-defined pieces carry a score below this and are never drawn
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """``weight``: text (blank for the marker) -> (id, weight); ``byte``: id of each
-    byte piece; ``spelled``: bytes of each id; ``longest``: characters of a piece."""
+    """``weight``: text (blank for the marker) -> (id, log weight); ``byte``: id of
+    each byte piece; ``spelled``: bytes of each id."""
 
     weight: dict[str, tuple[int, float]]
     byte: list[int]
     spelled: list[bytes]
-    longest: int
 
 
 def load_pieces(path: str = MODEL, theta: float = THETA) -> Pieces:
@@ -66,74 +67,117 @@ def load_pieces(path: str = MODEL, theta: float = THETA) -> Pieces:
         if spelled[-1] and not model.is_unused(i) and model.get_score(i) > _NO_SCORE:
             if " " in text[1:] or "\n" in text:
                 raise ValueError(f"piece {piece!r} crosses a chunk border")
-            weight[text] = (i, math.exp(theta * model.get_score(i)))
-    return Pieces(weight, byte, spelled, max(map(len, weight)))
+            weight[text] = (i, theta * model.get_score(i))
+    return Pieces(weight, byte, spelled)
 
 
 class Lattices(dict):
-    """Chunk -> its last node. Edges lead back from a node: ``piece`` and ``source``
-    (-1: the chunk's start); ``until`` is the running share of a node's edges."""
+    """Chunk -> its last node. A node stands for the place after a character; its edges
+    are the pieces that end there: ``piece``, ``source`` (node that the piece begins
+    after, -1: the chunk's start) and ``until``, the running share of the node's
+    edges. ``first`` is a node's first edge."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
+        self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        texts = list(pieces.weight)
+        for at, text in enumerate(texts):
+            self.matcher.add_word(text, at)
+        self.matcher.make_automaton()
+        self.length = np.array([len(t) for t in texts])
+        self.id = np.array([pieces.weight[t][0] for t in texts], np.int32)
+        self.log = np.array([pieces.weight[t][1] for t in texts])
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.first, self.piece, self.source, self.until = [], [], [], []
-        self.arrays = [np.empty(0, t) for t in (np.int64, np.int32, np.int64, np.float64)]
-        self.nodes = self.edges = 0
+        self.first, self.piece, self.source, self.until = (np.empty(0, t) for t in (np.int64, np.int32, np.int32, np.float32))
 
     def __missing__(self, chunk: str) -> int:
-        weight, longest = self.pieces.weight, self.pieces.longest
-        alpha, node = [1.0], [-1]
-        for j in range(1, len(chunk) + 1):
-            found, total = [], 0.0
-            for i in range(max(0, j - longest), j):
-                hit = weight.get(chunk[i:j])
-                if hit and alpha[i]:
-                    total += alpha[i] * hit[1]
-                    found.append((hit[0], node[i], total))
-            if chunk[j - 1] not in weight:
-                # its bytes in a row, as nodes with one edge each; the cut before it is
-                # the only one that reaches them
-                spelled = [self.pieces.byte[b] for b in chunk[j - 1].encode()]
-                before = node[j - 1]
-                for b in spelled[:-1]:
-                    before = self._node([(b, before, 1.0)], 1.0)
-                total += alpha[j - 1] * 1e-14
-                found.append((spelled[-1], before, total))
-            node.append(self._node(found, total))
-            alpha.append(total)
-            if total < 1e-100:  # only ratios within the reach of a piece matter
-                for i in range(max(0, j - longest), j + 1):
-                    alpha[i] *= 1e100
-        self[chunk] = node[-1]
-        return node[-1]
-
-    def _node(self, found: list[tuple[int, int, float]], total: float) -> int:
-        self.first.append(self.edges)
-        for piece, source, until in found:
-            self.piece.append(piece)
-            self.source.append(source)
-            self.until.append(until / total)
-        self.until[-1] = 2.0  # the last edge takes what rounding leaves
-        self.edges += len(found)
-        self.nodes += 1
-        return self.nodes - 1
-
-    def tables(self) -> list[np.ndarray]:
-        if self.first:
-            new = (self.first, self.piece, self.source, self.until)
-            self.arrays = [np.concatenate([a, np.array(x, a.dtype)]) for a, x in zip(self.arrays, new)]
-            self.first, self.piece, self.source, self.until = [], [], [], []
-        return self.arrays
-
-
-def _uniform(key: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
-    """A number in [0, 1) from a row's key, a chunk's place and a step."""
-    x = key + place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(step * 0xD1342543DE82EF95 & (1 << 64) - 1)
+        self.add([chunk])
+        return self[chunk]
+
+    def add(self, chunks: list[str]) -> None:
+        """Filter new chunks, all of them in step. All pieces in them are found by one
+        pass over the chunks joined by line ends, which no piece holds."""
+        if not chunks:
+            return
+        sizes = np.array([len(c) for c in chunks])
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        joined = "\n".join(chunks)
+        chunk_of = np.repeat(np.arange(len(chunks)), sizes + 1)[: len(joined)]
+        found = np.fromiter(chain.from_iterable(self.matcher.iter(joined)), np.int64).reshape(-1, 2)
+        end, which = found[:, 0], found[:, 1]
+        length, piece, log = self.length[which], self.id[which], self.log[which]
+        # characters without a piece of their own are spelled in bytes
+        bare = np.ones(len(joined), bool)
+        bare[end[length == 1]] = False
+        bare[starts[1:] - 1] = False
+        spelled = np.flatnonzero(bare)
+        end = np.concatenate([end, spelled])
+        length = np.concatenate([length, np.ones(len(spelled), np.int64)])
+        piece = np.concatenate([piece, np.zeros(len(spelled), np.int32)])
+        log = np.concatenate([log, np.full(len(spelled), _BYTE_WEIGHT)])
+        order = np.argsort(end, kind="stable")
+        is_bytes = np.flatnonzero(order >= len(found))
+        end, length, piece, log = end[order], length[order], piece[order], log[order]
+        chunk = chunk_of[end]
+        node, start_of = end - chunk, starts[chunk]
+        source = np.where(end - length < start_of, -1, end - length - chunk)
+
+        share = self._filtered(end - start_of, node, source, log, int((sizes).sum()))
+        nodes, edges, at = len(self.first), len(self.piece), int(sizes.sum())
+        source[source >= 0] += nodes
+        counts = np.bincount(node, minlength=at)
+        first = np.cumsum(counts) - counts
+        until = share.astype(np.float32)
+        at_rank, rank = first, 1
+        while len(at_rank := at_rank[counts[node[at_rank]] > rank]):  # the node's edges alone decide its shares
+            until[at_rank + rank] += until[at_rank + rank - 1]
+            rank += 1
+        until[first + counts - 1] = 2.0  # the last edge takes what rounding leaves
+        # a spelled character: its last byte ends at the node, the others are nodes of
+        # their own with one edge each
+        more_first, more_piece, more_source = [], [], []
+        for e in is_bytes.tolist():
+            ids = [self.pieces.byte[x] for x in joined[end[e]].encode()]
+            before = int(source[e])
+            for x in ids[:-1]:
+                more_first.append(edges + len(node) + len(more_piece))
+                more_piece.append(x)
+                more_source.append(before)
+                before = nodes + at + len(more_piece) - 1
+            piece[e], source[e] = ids[-1], before
+        self.first = np.concatenate([self.first, first + edges, np.array(more_first, np.int64)])
+        self.piece = np.concatenate([self.piece, piece.astype(np.int32), np.array(more_piece, np.int32)])
+        self.source = np.concatenate([self.source, source.astype(np.int32), np.array(more_source, np.int32)])
+        self.until = np.concatenate([self.until, until.astype(np.float32), np.full(len(more_piece), 2.0, np.float32)])
+        self.update(zip(chunks, (nodes + starts + sizes - 1 - np.arange(len(chunks))).tolist()))
+
+    @staticmethod
+    def _filtered(depth: np.ndarray, node: np.ndarray, source: np.ndarray, log: np.ndarray, nodes: int) -> np.ndarray:
+        """Share of each edge among the weights of all cuts that end at its node: the
+        forward sums, in logs, for all chunks at once, one character after the other."""
+        alpha, share = np.zeros(nodes + 1), np.empty(len(log))  # the last place: the starts
+        order = np.argsort(depth, kind="stable")
+        borders = np.searchsorted(depth[order], np.arange(depth.max() + 2)) if len(depth) else [0]
+        for low, high in zip(borders[:-1], borders[1:]):
+            e = order[low:high]
+            t, n = alpha[source[e]] + log[e], node[e]
+            firsts = np.flatnonzero(np.concatenate([[True], n[1:] != n[:-1]]))
+            runs = np.diff(np.append(firsts, len(n)))
+            most = np.repeat(np.maximum.reduceat(t, firsts), runs)
+            weight = np.exp(t - most)
+            whole = np.add.reduceat(weight, firsts)
+            share[e] = weight / np.repeat(whole, runs)
+            alpha[n[firsts]] = most[firsts] + np.log(whole)
+        return share
+
+
+def _uniform(own: np.ndarray, step: int) -> np.ndarray:
+    """A number in [0, 1) from the number of a row's chunk and a step."""
+    x = own + np.uint64(step * 0xD1342543DE82EF95 & (1 << 64) - 1)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))) * 2.0**-64
@@ -141,11 +185,12 @@ def _uniform(key: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
 
 def sample(lattices: Lattices, ends: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of chunks with the given last nodes, in order, and how many each has."""
-    first, piece, source, until = lattices.tables()
+    first, piece, source, until = lattices.first, lattices.piece, lattices.source, lattices.until
     count = np.zeros(len(ends), np.int64)
+    own = key + place * np.uint64(0x9E3779B97F4A7C15)
     active, at, drawn, step = np.arange(len(ends)), ends, [], 0
     while len(active):
-        u = _uniform(key[active], place[active], step)
+        u = _uniform(own, step)
         edge = first[at]
         late = np.flatnonzero(u >= until[edge])
         while len(late):
@@ -155,7 +200,7 @@ def sample(lattices: Lattices, ends: np.ndarray, key: np.ndarray, place: np.ndar
         count[active] += 1
         at = source[edge]
         more = at >= 0
-        active, at, step = active[more], at[more], step + 1
+        active, at, own, step = active[more], at[more], own[more], step + 1
     last = np.cumsum(count) - 1
     ids = np.empty(int(count.sum()), np.int32)
     for step, (chunks, found) in enumerate(drawn):
@@ -165,12 +210,13 @@ def sample(lattices: Lattices, ends: np.ndarray, key: np.ndarray, place: np.ndar
 
 def _sampled(texts: list[str | None], keys: np.ndarray, lattices: Lattices) -> pa.Array:
     """Piece ids of each text; null for null."""
-    ends, numbers = [], []
+    chunks, numbers = [], []
     for text in texts:
-        chunks = _CHUNK.findall(" " + text) if text else []
-        ends.extend(map(lattices.__getitem__, chunks))
-        numbers.append(len(chunks))
-    numbers = np.array(numbers)
+        own = _CHUNK.findall(" " + text) if text else []
+        chunks += own
+        numbers.append(len(own))
+    lattices.add([c for c in set(chunks) if c not in lattices])
+    ends, numbers = list(map(lattices.__getitem__, chunks)), np.array(numbers)
     starts = np.cumsum(numbers) - numbers
     row = np.repeat(np.arange(len(texts)), numbers)
     place = (np.arange(len(row)) - starts[row]).astype(np.uint64)
@@ -192,7 +238,7 @@ def _encoder(shared, text_at: int, key_at: int, keep: int):
                 while at + len(taken) < batch.num_rows and size < CHUNKS * 6:
                     taken.append(texts[at + len(taken)].as_py())
                     size += len(taken[-1] or "")
-                if lattices.edges > EDGES:
+                if len(lattices.piece) > EDGES:
                     lattices.reset()
                 part = batch.slice(at, len(taken))
                 ids = _sampled(taken, keys[at: at + len(taken)], lattices)

@@ -18,12 +18,13 @@ def all_cuts(text, weight):
         if text[:n] in weight:
             i, w = weight[text[:n]]
             for rest, more in all_cuts(text[n:], weight):
-                yield (i, *rest), w * more
+                yield (i, *rest), math.exp(w) * more
 
 
 def test_shares_of_cuts_are_those_of_the_lattice():
     weight = {" ": (0, 0.2), "a": (1, 0.5), "b": (2, 0.3), " a": (3, 0.4), "ab": (4, 0.2), "ba": (5, 0.6), "aba": (6, 0.1)}
-    pieces = lattice.Pieces(weight, list(range(100, 356)), [], 3)
+    weight = {text: (i, math.log(w)) for text, (i, w) in weight.items()}
+    pieces = lattice.Pieces(weight, list(range(100, 356)), [])
     net = lattice.Lattices(pieces)
     n = 40_000
     ends = np.full(n, net[" abab"])
