@@ -37,7 +37,7 @@ EDGES = 3_000_000      # edges of chunk lattices that a task keeps
 CHUNKS = 400_000       # chunks sampled in step
 _CHUNK = re.compile(r"\n| ?[^ \n]+| ")
 _BYTE_WEIGHT = -32.0   # log weight of a character that is cut into bytes; it has no other way
-_NO_SCORE = -1e8       # user-defined pieces carry a score below this and are never drawn
+_NO_SCORE = -1e8       # user-defined pieces carry a score below this; runs of markers are never drawn
 
 
 @dataclass(frozen=True)
@@ -64,10 +64,15 @@ def load_pieces(path: str = MODEL, theta: float = THETA) -> Pieces:
             spelled.append(bytes([value]))
             continue
         spelled.append(b"" if model.is_control(i) or model.is_unknown(i) else text.encode())
-        if spelled[-1] and not model.is_unused(i) and model.get_score(i) > _NO_SCORE:
+        if spelled[-1] and not model.is_unused(i):
+            score = model.get_score(i)
+            if score <= _NO_SCORE:
+                if len(text) > 1:
+                    continue
+                score = -model.get_piece_size()  # a lone marker is the last resort, as other characters are
             if " " in text[1:] or "\n" in text:
                 raise ValueError(f"piece {piece!r} crosses a chunk border")
-            weight[text] = (i, theta * model.get_score(i))
+            weight[text] = (i, theta * score)
     return Pieces(weight, byte, spelled)
 
 
