@@ -129,7 +129,7 @@ def month_pivot(s: Star):
     size = s.outlet.groupBy("outlet_nation").agg(F.count(F.lit(1)).alias("n_suppliers"))
     rates = [F.round(ratio(f"sales_m{m}", "n_suppliers"), 6).alias(f"per_supplier_m{m}") for m in _MONTHS]
     return (pivoted.join(size, "outlet_nation")
-            .select(F.concat_ws(",", "outlet_region", "outlet_nation").alias("carriers"), "sold_year", "n_suppliers",
+            .select(F.concat("outlet_region", F.lit(","), "outlet_nation").alias("carriers"), "sold_year", "n_suppliers",
                     *[f"sales_m{m}" for m in _MONTHS], *rates)
             .orderBy("carriers").limit(100))
 

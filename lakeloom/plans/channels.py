@@ -12,9 +12,17 @@ from lakeloom.plans.star import Star
 CHANNELS = ("store", "catalog", "web")
 
 
-def returns_per_line(s: Star) -> DataFrame:
+def sold_lines(s: Star, orders: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Lines of the given orders (and items). The orders are joined first, so that what
+    is shuffled is filtered, and a grouping by order and item that follows finds the
+    rows of an order together and shuffles nothing more."""
+    lines = s.lines.join(orders, "order_id")
+    return lines if items is None else lines.join(items, "item_id")
+
+
+def returns_per_line(sold: DataFrame) -> DataFrame:
     """Returned quantity and value per (order, item): one row per key."""
-    return (s.lines.filter("returned").groupBy("order_id", "item_id")
+    return (sold.filter("returned").groupBy("order_id", "item_id")
             .agg(F.sum("quantity").alias("returned_quantity"), sum2("gross").alias("returned_value")))
 
 
@@ -31,15 +39,15 @@ ret AS (SELECT order_id, item_id, sum(quantity) AS returned_quantity, round(sum(
         FROM lines WHERE returned GROUP BY 1, 2)"""
 
 
-def per_line(s: Star, orders: DataFrame) -> DataFrame:
-    """Sold and returned quantity and value per (order, item) in one pass: sales
-    and returns share a table here, so the left join to the returns is not needed."""
+def per_line(s: Star, orders: DataFrame, *keep: str, items: DataFrame | None = None) -> DataFrame:
+    """Sold and returned quantity and value per (order, item) in one pass: sales and
+    returns share a table here, so the left join to the returns is not needed. ``keep``
+    are columns of the order or the item."""
     back = F.col("returned")
-    sold = s.lines.groupBy("order_id", "item_id").agg(
+    return sold_lines(s, orders, items).groupBy("order_id", "item_id", *keep).agg(
         sum2("gross").alias("gross"), F.sum("quantity").alias("quantity"),
         F.sum(F.when(back, F.col("quantity")).otherwise(0.0)).alias("returned_quantity"),
         sum2(F.when(back, F.col("gross")).otherwise(0.0)).alias("returned_value"))
-    return sold.join(orders, "order_id")
 
 
 @query("net_sales", f"""
@@ -57,7 +65,7 @@ WHERE c.sold_year = 2000 AND c.net_count / p.net_count < 0.9""")
 def net_sales(s: Star):
     items = s.item.filter(F.col("item_class").isin("PROMO", "LARGE")).select("item_id", "item_class", "brand")
     orders = s.orders.filter(in_dates("sold_at", "1999-01-01", "2001-01-01"))
-    lines = per_line(s, orders).join(items, "item_id")
+    lines = per_line(s, orders, "sold_on", "item_class", "brand", items=items)
     net_q = F.col("quantity") - F.col("returned_quantity")
     net_v = F.col("gross") - F.col("returned_value")
     year = F.year("sold_on")
@@ -80,7 +88,7 @@ WHERE sold_at >= TIMESTAMP '1997-01-01' AND sold_at < TIMESTAMP '1997-07-01'
 GROUP BY 1 ORDER BY actual_sales, buyer_id LIMIT 100""")
 def net_sales_buyer(s: Star):
     orders = s.orders.filter(in_dates("sold_at", "1997-01-01", "1997-07-01"))
-    lines = per_line(s, orders)
+    lines = per_line(s, orders, "buyer_id")
     kept = (F.col("quantity") - F.col("returned_quantity")) * F.col("gross")
     return (lines.groupBy("buyer_id").agg(F.round(F.sum(kept), 2).alias("actual_sales"))
             .orderBy("actual_sales", "buyer_id").limit(100))
@@ -88,16 +96,16 @@ def net_sales_buyer(s: Star):
 
 @query("web_brand_returns", f"""
 WITH {_LINES_SQL}
-SELECT brand, round(sum(gross), 2) AS web_sales, round(sum(returned_value), 2) AS web_returns
+SELECT brand, round(sum(gross), 2) AS web_sales, round(sum(coalesce(returned_value, 0.0)), 2) AS web_returns
 FROM per_line LEFT JOIN ret USING (order_id, item_id) JOIN item USING (item_id)
 WHERE channel = 'web' AND sold_at >= TIMESTAMP '2001-01-01' AND sold_at < TIMESTAMP '2002-01-01'
 GROUP BY 1 ORDER BY web_sales DESC, brand LIMIT 50""")
 def web_brand_returns(s: Star):
     orders = s.orders.filter(in_dates("sold_at", "2001-01-01", "2002-01-01") & (F.col("channel") == "web"))
-    sold = (s.lines.groupBy("order_id", "item_id").agg(sum2("gross").alias("gross")).join(orders, "order_id"))
-    returns = returns_per_line(s).select("order_id", "item_id", "returned_value")
-    return (sold.join(returns, ["order_id", "item_id"], "left")
-            .join(s.item.select("item_id", "brand"), "item_id")
+    lines = sold_lines(s, orders)
+    sold = lines.groupBy("order_id", "item_id").agg(sum2("gross").alias("gross"))
+    returns = returns_per_line(lines).select("order_id", "item_id", "returned_value")
+    return (with_returns(sold, returns).join(s.item.select("item_id", "brand"), "item_id")
             .groupBy("brand").agg(sum2("gross").alias("web_sales"), sum2("returned_value").alias("web_returns"))
             .orderBy(F.desc("web_sales"), "brand").limit(50))
 
@@ -122,9 +130,9 @@ def unreturned(s: Star):
     a tautology on the item)."""
     orders = s.orders.filter(in_dates("sold_at", "2000-01-01", "2001-01-01"))
     # the anti join with the returns of the same (order, item): no line came back
-    kept = (s.lines.groupBy("order_id", "item_id")
+    kept = (sold_lines(s, orders).groupBy("order_id", "item_id", "channel", "sold_on", "buyer_id")
             .agg(sum2("gross").alias("gross"), F.sum("quantity").alias("quantity"), F.bool_or("returned").alias("back"))
-            .filter("NOT back").join(orders, "order_id"))
+            .filter("NOT back"))
     in_ch = {ch: F.col("channel") == ch for ch in CHANNELS}
     q = {ch: F.sum(F.when(cond, F.col("quantity"))).alias(f"q_{ch}") for ch, cond in in_ch.items()}
     # three grouped frames and two joins become one grouping on the shared key
@@ -152,7 +160,7 @@ def channel_rollup(s: Star):
     gone = F.col("returned")
     profit = F.when(gone, -F.col("gross") * F.col("tax")).otherwise(F.col("gross") * (F.lit(1.0) - F.col("discount")))
     base = (s.sold_between("1998-08-04", "1998-09-03").join(s.outlet.select("outlet_id", "outlet_nation"), "outlet_id")
-            .groupBy("channel", F.concat_ws("-", "channel", "outlet_nation").alias("id"))
+            .groupBy("channel", F.concat("channel", F.lit("-"), "outlet_nation").alias("id"))
             .agg(sum2("gross").alias("s"), F.round(F.sum(F.when(gone, F.col("gross")).otherwise(0.0)), 2).alias("r"),
                  F.round(F.sum(profit), 4).alias("p")))
     return (base.rollup("channel", "id").agg(sum2("s").alias("sales"), sum2("r").alias("returns"),
@@ -173,7 +181,7 @@ FROM g GROUP BY ROLLUP (channel, id) ORDER BY channel NULLS LAST, id NULLS LAST
 def channel_rollup_net(s: Star):
     items = s.item.filter("list_price > 950").select("item_id", "brand")
     orders = s.orders.filter(in_dates("sold_at", "1998-08-04", "1998-09-03"))
-    lines = per_line(s, orders).join(items, "item_id")
+    lines = per_line(s, orders, "channel", "brand", items=items)
     base = lines.groupBy("channel", F.col("brand").alias("id")).agg(
         sum2("gross").alias("s"), sum2("returned_value").alias("r"),
         sum2(F.col("gross") - F.col("returned_value")).alias("p"))

@@ -165,7 +165,7 @@ WHERE returned AND buyer_nation = 'NATION_4' AND balance BETWEEN 0 AND 5000
 GROUP BY 1, 2 ORDER BY buyer_id LIMIT 100""")
 def name_lookup(s: Star):
     who = (s.buyer.filter((F.col("buyer_nation") == "NATION_4") & F.col("balance").between(0, 5000))
-           .select("buyer_id", F.concat_ws(", ", "buyer_name", "segment").alias("full_label")))
+           .select("buyer_id", F.concat("buyer_name", F.lit(", "), "segment").alias("full_label")))
     return (s.lines.filter("returned").join(s.orders.join(who, "buyer_id"), "order_id")
             .groupBy("buyer_id", "full_label").agg(F.count(F.lit(1)).alias("returned_lines"))
             .orderBy("buyer_id").limit(100))

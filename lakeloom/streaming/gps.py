@@ -127,41 +127,78 @@ def active_routes(df: DataFrame, ts: str, route: str = "route_no", ttl: int = ST
             .groupBy(route).agg(F.max("_last").alias("last_seen")))
 
 
-def retain_latest(df: DataFrame, ts: str, n: int = LOG_LENGTH, tie: str | None = None,
-                  slot_seconds: int = 1) -> DataFrame:
-    """The newest ``n`` rows, exactly. Whole slots are kept by a count per slot;
-    only the slot that crosses ``n`` is sorted, for the rows still missing."""
-    slotted = df.filter(F.col(ts).isNotNull()).withColumn("_slot", F.floor(_seconds(F.col(ts)) / slot_seconds))
-    hourly = F.floor(F.col("_slot") / 3600)
-    counts = slotted.groupBy(hourly.alias("_hour"), "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    # newer rows than each slot: hours before, then slots inside the hour
-    hours = counts.groupBy("_hour").agg(F.sum("_n").alias("_hn"))
-    w_h = Window.orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1)
-    newer_hours = hours.withColumn("_newer", F.coalesce(F.sum("_hn").over(w_h), F.lit(0))).drop("_hn")
-    w_s = Window.partitionBy("_hour").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
-    inside = counts.withColumn("_in", F.coalesce(F.sum("_n").over(w_s), F.lit(0)))
-    newer = F.col("_newer") + F.col("_in")
-    crossing = (inside.join(newer_hours, "_hour").filter((newer < n) & (newer + F.col("_n") >= n))
-                .select("_slot", (F.lit(n) - newer).alias("_missing")))
+def retain_latest(df: DataFrame, ts: str, n: int = LOG_LENGTH, tie: str | None = None) -> DataFrame:
+    """The newest ``n`` rows, exactly; rows without a time are the oldest.
+
+    The cut is found from counts, level by level: hour, second, then the time itself
+    (at most a million of them in a second). Rows newer than the cut are kept by a
+    comparison. Only rows that share the time of the cut are put in order, by ``tie``
+    and a hash of the row, in ranges of that hash or tie that are counted before one of
+    them is sorted, so a large batch with one time stamp is spread over tasks."""
+    timed = df.withColumn("_us", F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-(2**63))))
+    second = F.expr("_us div 1000000").alias("_second")
+    seconds = (timed.groupBy(second).agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_hour", F.expr("_second div 3600")))
+
+    def crossing(counts: DataFrame, level: str, left: Column) -> DataFrame:
+        """The one value of ``level`` at which the rows counted from the newest on reach
+        ``left``, and how many of its rows are still wanted."""
+        newer = Window.orderBy(F.desc(level)).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_n").over(newer), F.lit(0))
+        return (counts.withColumn("_before", before).withColumn("_left", left - F.col("_before"))
+                .filter((F.col("_left") > 0) & (F.col("_n") >= F.col("_left"))).select(level, F.col("_left").alias("_wanted")))
+
+    hour = crossing(seconds.groupBy("_hour").agg(F.sum("_n").alias("_n")), "_hour", F.lit(n))
+    in_hour = seconds.join(hour, "_hour")
+    at_second = crossing(in_hour, "_second", F.col("_wanted"))
+    times = (timed.withColumn("_second", second).join(at_second, "_second").groupBy("_us", "_wanted")
+             .agg(F.count(F.lit(1)).alias("_n")))
     # NULL where the whole frame has fewer than n rows
-    edge = crossing.agg(F.max("_slot")).scalar()
-    missing = crossing.agg(F.max("_missing")).scalar()
-    whole = slotted.filter(F.coalesce(F.col("_slot") > edge, F.lit(True)))
-    order = [F.desc(ts)] + ([F.desc(tie)] if tie else [])
-    at_edge = slotted.filter(F.col("_slot") == edge)
-    part = at_edge.withColumn("_rn", F.row_number().over(Window.partitionBy("_slot").orderBy(*order))) \
-        .filter(F.col("_rn") <= missing).drop("_rn")
-    return whole.unionByName(part).drop("_slot")
+    cut = crossing(times, "_us", F.col("_wanted")).agg(F.max(F.struct("_us", "_wanted"))).scalar()
+    newer_rows = timed.filter(F.coalesce(F.col("_us") > cut["_us"], F.lit(True)))
+    part = _first_rows(timed.filter(F.col("_us") == cut["_us"]), cut["_wanted"], tie)
+    return newer_rows.unionByName(part.select(newer_rows.columns)).drop("_us")
+
+
+def _first_rows(df: DataFrame, missing: Column, tie: str | None, ranges: int = 1024) -> DataFrame:
+    """``missing`` rows of ``df``, largest ``tie`` first. With a tie its ranges are cut
+    at its own quantiles; without, the hash of the row is its own uniform range."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    if tie:
+        cuts = [i / ranges for i in range(1, ranges)]
+        df = df.withColumn("_edges", df.agg(F.percentile_approx(tie, cuts, 10 * ranges)).scalar())
+        bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col(tie))), F.lit(-1))
+        order = [F.desc_nulls_last(tie), F.desc("_spread")]
+    else:
+        bucket, order = F.pmod(F.col("_spread"), F.lit(ranges)), [F.desc("_spread")]
+    placed = df.withColumn("_spread", spread).withColumn("_b", bucket.cast("int")).drop("_edges")
+    counts = placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+    cut = (before.filter((F.col("_before") < missing) & (F.col("_before") + F.col("_n") >= missing))
+           .agg(F.max(F.struct("_b", (missing - F.col("_before")).alias("_left")))).scalar())
+    whole = placed.filter(F.col("_b") > cut["_b"])
+    ordered = Window.partitionBy("_b").orderBy(*order)
+    some = (placed.filter(F.col("_b") == cut["_b"]).withColumn("_rn", F.row_number().over(ordered))
+            .filter(F.col("_rn") <= cut["_left"]).drop("_rn"))
+    return whole.unionByName(some)
 
 
 def _window_start(ts: str, minutes: int) -> Column:
-    return F.window(F.col(ts), f"{minutes} minutes")["start"]
+    """Start of the time window of each row; null for a row without a time, which
+    ``window()`` would drop."""
+    micros = minutes * 60_000_000
+    start = F.timestamp_micros(F.unix_micros(F.col(ts).cast("timestamp")) - F.pmod(F.unix_micros(F.col(ts).cast("timestamp")),
+                                                                                 F.lit(micros)))
+    return F.when(F.col(ts).isNotNull(), start)
 
 
 def route_density(df: DataFrame, ts: str, speed: str, minutes: int = 5, vehicle: str = "vehicle",
                   route: str = "route_no") -> DataFrame:
-    """Vehicles and mean speed per route and time window."""
-    per_vehicle = (df.groupBy(_window_start(ts, minutes).alias("window_start"), route, vehicle)
+    """Vehicles and mean speed per route and time window. Rows without a time are in a
+    window of their own, whose start is null."""
+    start = _window_start(ts, minutes).cast(df.schema[ts].dataType)
+    per_vehicle = (df.groupBy(start.alias("window_start"), route, vehicle)
                    .agg(F.sum(speed).alias("_s"), F.count(speed).alias("_n")))
     return per_vehicle.groupBy("window_start", route).agg(
         F.count(vehicle).alias("vehicles"),

@@ -26,56 +26,70 @@ def latest_per_vehicle(stream: DataFrame, key: str, ts: str, fields: Sequence[st
 def expiring_state(stream: DataFrame, key: str, ts: str, fields: Sequence[str], delay: str = "10 minutes",
                    ttl: int = STATE_TTL_SECONDS) -> DataFrame:
     """As `latest_per_vehicle`, but a vehicle silent for ``ttl`` of event time
-    loses its state and is reported once with ``expired`` true."""
+    loses its state and is reported once with ``expired`` true.
+
+    The state is that of the vehicle's last session: it keeps the session's start, and
+    a message that is at least ``ttl`` older than it belongs to an ended session and is
+    left out, as in the batch `gps.latest_state`. A late message less than ``ttl``
+    before the start joins the session. Messages without a time are left out."""
     fields = list(fields)
     text = [F.col(f).cast("string").alias(f) for f in fields]
-    known = (stream.filter(F.col(key).isNotNull() & (F.col(key) != UNKNOWN))
+    known = (stream.filter(F.col(key).isNotNull() & (F.col(key) != UNKNOWN) & F.col(ts).isNotNull())
              .select(F.col(key).cast("string").alias(key), F.col(ts).alias("_ts"), *text)
              .withWatermark("_ts", delay))
     out = T.StructType([T.StructField(key, T.StringType()), T.StructField("last_seen", T.TimestampType()),
                         T.StructField("expired", T.BooleanType())] + [T.StructField(f, T.StringType()) for f in fields])
-    state = T.StructType([T.StructField("last_ms", T.LongType())] + [
+    state = T.StructType([T.StructField("first_ms", T.LongType()), T.StructField("last_ms", T.LongType())] + [
         T.StructField(n, t) for f in fields for n, t in ((f, T.StringType()), (f + "_ms", T.LongType()))])
+    life = ttl * 1000
 
     def row(name: str, last_ms: int, expired: bool, values: Sequence) -> pd.DataFrame:
         data = {key: [name], "last_seen": [pd.Timestamp(last_ms, unit="ms")], "expired": [expired]}
         return pd.DataFrame(data | {f: [v] for f, v in zip(fields, values)})
 
+    def last_session(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Rows of one batch since its last silence, in order of time."""
+        ms = pdf["_ts"].astype("datetime64[ms]").astype("int64")
+        pdf = pdf.assign(_ms=ms).sort_values("_ms", kind="stable")
+        silent = (pdf["_ms"].diff() >= life).to_numpy()
+        return pdf.iloc[int(silent.nonzero()[0][-1]) if silent.any() else 0:]
+
     def update(k: tuple[Any, ...], batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
         if held.hasTimedOut:
-            last, *rest = held.get
+            _, last, *rest = held.get
             held.remove()
             yield row(k[0], last, True, rest[0::2])
             return
-        last, *rest = held.get if held.exists else (None, *([None, None] * len(fields)))
+        first, last, *rest = held.get if held.exists else (None, None, *([None, None] * len(fields)))
         now = {f: (rest[2 * i], rest[2 * i + 1]) for i, f in enumerate(fields)}
         for pdf in batches:
-            pdf = pdf.sort_values("_ts", kind="stable")
-            ms = pdf["_ts"].astype("datetime64[ms]").astype("int64")
-            for i, t in enumerate(ms):
-                if last is not None and t - last >= ttl * 1000:
-                    now = {f: (None, None) for f in fields}
-                last = t if last is None else max(last, t)
-                for f in fields:
-                    v = pdf[f].iloc[i]
-                    if v is not None and not pd.isna(v) and (now[f][1] is None or t >= now[f][1]):
-                        now[f] = (str(v), int(t))
-        held.update((int(last), *[x for f in fields for x in now[f]]))
-        expiry = max(int(last) + ttl * 1000, held.getCurrentWatermarkMs() + 1)
-        held.setTimeoutTimestamp(expiry)
-        yield row(k[0], int(last), False, [now[f][0] for f in fields])
+            if last is not None:  # what the held session connects with may be on either side
+                pdf = pd.concat([pdf, pd.DataFrame({"_ts": pd.to_datetime([first, last], unit="ms")})])
+            rows = last_session(pdf)
+            start, end = int(rows["_ms"].iloc[0]), int(rows["_ms"].iloc[-1])
+            if last is not None and start > last:
+                now = {f: (None, None) for f in fields}  # silence since the held session
+            first, last = start, end
+            for f in fields:
+                told = rows[rows[f].notna()]
+                if len(told) and (now[f][1] is None or told["_ms"].iloc[-1] >= now[f][1]):
+                    now[f] = (str(told[f].iloc[-1]), int(told["_ms"].iloc[-1]))
+        held.update((first, last, *[x for f in fields for x in now[f]]))
+        held.setTimeoutTimestamp(max(last + life, held.getCurrentWatermarkMs() + 1))
+        yield row(k[0], last, False, [now[f][0] for f in fields])
 
     return known.groupBy(key).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def route_windows(stream: DataFrame, ts: str, route: str, vehicle: str, speed: str, minutes: int = 5,
                   delay: str = "10 minutes") -> DataFrame:
-    """Messages, approximate vehicles and mean speed per route and window, final
-    once the watermark has passed (append mode)."""
+    """Messages, approximate number of vehicles and mean speed per route and window,
+    final once the watermark has passed (append mode). `gps.route_density` counts the
+    vehicles exactly."""
     return (stream.withWatermark(ts, delay).groupBy(F.window(ts, f"{minutes} minutes"), route)
-            .agg(F.count(F.lit(1)).alias("messages"), F.approx_count_distinct(vehicle).alias("vehicles"),
+            .agg(F.count(F.lit(1)).alias("messages"), F.approx_count_distinct(vehicle).alias("vehicles_approx"),
                  F.avg(speed).alias("avg_speed"))
-            .select(F.col("window.start").alias("window_start"), route, "messages", "vehicles", "avg_speed"))
+            .select(F.col("window.start").alias("window_start"), route, "messages", "vehicles_approx", "avg_speed"))
 
 
 def to_memory(df: DataFrame, name: str, mode: str, checkpoint: str) -> StreamingQuery:
