@@ -1,12 +1,15 @@
 """Layer jobs: read tables of one layer, write those of the next.
 
-Runs are repeatable: silver keeps the newest row per key and gold is rebuilt, so
-a second run gives the same tables instead of appended copies."""
+Runs are repeatable. Bronze appends snapshots, by load day and day of the rows. Silver
+keeps the newest row per key; order items, which may repeat inside a snapshot, keep
+the rows of the newest snapshot that holds their id. Gold is rebuilt. A second snapshot
+or a second run of any job leaves silver and gold with the same values."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakeloom import schemas
 from lakeloom.operators.conform import conform, latest_by_key, with_audit
@@ -17,20 +20,24 @@ from lakeloom.sources.snapshot import ingest_snapshot
 
 def to_bronze(source: DataFrame, name: str, target: str | None = None) -> None:
     """Append one snapshot of a source table."""
-    target = target or f"bronze.{name}"
-    tables.ensure_table(source.sparkSession, target, schemas.bronze_schema(name))
-    rows = ingest_snapshot(source)
-    tables.append_rows(rows.select([f.name for f in schemas.bronze_schema(name).fields]), target)
+    target, layout = target or f"bronze.{name}", tables.BRONZE_LAYOUT[name]
+    schema = schemas.bronze_schema(name)
+    rows = ingest_snapshot(source).select([f.name for f in schema.fields])
+    tables.ensure_table(source.sparkSession, target, schema, layout)
+    tables.append_rows(rows, target, layout)
 
 
 def silver_rows(bronze: DataFrame, name: str) -> DataFrame:
-    """Typed rows, the newest per key. Order items keep all rows, as they are not
-    deduplicated in this layer."""
+    """Typed rows, the newest per key. Of order items all rows of the newest snapshot
+    with their id are kept, as they are not deduplicated in this layer."""
     order = [c for c in ("source_updated_at", "load_at", "timestamp") if c in bronze.columns]
     schema = schemas.silver_schema(name)
     if name != "order_items":
         rest = [f.name for f in schema.fields if f.name not in schemas.PRIMARY_KEY[name] + order]
         bronze = latest_by_key(bronze, schemas.PRIMARY_KEY[name], [F.desc_nulls_last(c) for c in order + rest])
+    elif "load_at" in bronze.columns:
+        newest = Window.partitionBy(*schemas.PRIMARY_KEY[name]).orderBy(F.desc_nulls_last("load_at"))
+        bronze = bronze.withColumn("_snapshot", F.rank().over(newest)).filter("_snapshot = 1").drop("_snapshot")
     return conform(bronze, schema)
 
 
@@ -40,40 +47,54 @@ def to_silver(spark: SparkSession, name: str, source: str | None = None, target:
 
 
 def refresh_silver(spark: SparkSession, name: str, since, source: str | None = None, target: str | None = None) -> None:
-    """Bring bronze rows loaded from ``since`` on into a day-partitioned silver
-    table, rewriting only the days they touch. The newest version of a key wins,
-    also when it is already there, so a rerun changes nothing. Order items have no
-    such rule and are appended."""
+    """Bring bronze rows loaded from ``since`` on into a day-partitioned silver table.
+
+    Rewritten are the days of the new rows and the days in which their keys are now, so
+    a row whose day has changed leaves its old day. The newest version of a key wins,
+    also when it is already there; order items of an id are replaced by those of its
+    newest snapshot. A rerun changes nothing."""
     source, target = source or f"bronze.{name}", target or f"silver.{name}"
-    layout = tables.SILVER_LAYOUT[name]
+    layout, keys = tables.SILVER_LAYOUT[name], schemas.PRIMARY_KEY[name]
     if not layout.day_of:
         raise ValueError(f"{name} has no day partitions: use to_silver")
-    bronze = spark.read.table(source)
-    loaded = "load_at" if "load_at" in bronze.columns else "timestamp"
-    rows = with_audit(silver_rows(bronze.filter(F.col(loaded) >= F.lit(since)), name))
-    if name == "order_items":
-        tables.append_rows(rows, target, layout)
-        return
-    rows = rows.withColumn(layout.day_column, F.to_date(layout.day_of))
+    day = layout.day_column
+    rows = with_audit(silver_rows(loaded_since(spark.read.table(source), since), name))
+    rows = rows.withColumn(day, F.to_date(layout.day_of))
     present = spark.read.table(target)
-    days = rows.select(layout.day_column).distinct()
-    both = (present.join(days, layout.day_column, "left_semi").select(present.columns).withColumn("_new", F.lit(0))
-            .unionByName(rows.select(present.columns).withColumn("_new", F.lit(1))))
-    order = [c for c in ("source_updated_at", "_new") if c in both.columns]
-    merged = latest_by_key(both, schemas.PRIMARY_KEY[name], [F.desc_nulls_last(c) for c in order]).drop("_new")
-    # a table cannot be overwritten while it is read: the new days go through a
-    # staging table, which also lets an interrupted run be repeated
+    new_keys = rows.select(*keys).distinct()
+    days = rows.select(day).union(present.join(new_keys, keys, "left_semi").select(day)).distinct()
+    held = present.join(days, present[day].eqNullSafe(days[day]), "left_semi").select(present.columns)
+    if name == "order_items":
+        merged = held.join(new_keys, keys, "left_anti").unionByName(rows.select(present.columns))
+    else:
+        both = (held.withColumn("_new", F.lit(0))
+                .unionByName(rows.select(present.columns).withColumn("_new", F.lit(1))))
+        order = [c for c in ("source_updated_at", "_new") if c in both.columns]
+        merged = latest_by_key(both, keys, [F.desc_nulls_last(c) for c in order]).drop("_new")
+    # a table cannot be overwritten while it is read: the new days go through staging
+    # tables, which also lets an interrupted run be repeated
     staging = f"{target}_staging"
     merged.write.mode("overwrite").saveAsTable(staging)
-    staged = tables.arrange(spark.read.table(staging).drop(layout.day_column), layout)
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")  # replace the days written, keep the others
-    try:
-        staged.select(present.columns).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
-    spark.sql(f"DROP TABLE {staging}")
+    days.write.mode("overwrite").saveAsTable(f"{staging}_days")
+    own = spark.newSession()  # the mode below is set for this write alone
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged = own.read.table(staging)
+    arranged = tables.arrange(staged.drop(day), layout)
+    arranged.select(present.columns).write.insertInto(target, overwrite=True)
+    left = own.read.table(f"{staging}_days").join(staged, day, "left_anti").filter(F.col(day).isNotNull())
+    for emptied in left.collect():  # days that all rows have left, a part of the days touched
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({day} = DATE'{emptied[0]}')")
+    for table in (staging, f"{staging}_days"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def loaded_since(bronze: DataFrame, since) -> DataFrame:
+    """Bronze rows loaded from ``since`` on; reads only the load days from it on where
+    the table is partitioned by them."""
+    loaded = "load_at" if "load_at" in bronze.columns else "timestamp"
+    rows = bronze.filter(F.col(loaded) >= F.lit(since))
+    day = f"{loaded}_day"
+    return rows.filter(F.col(day) >= F.to_date(F.lit(since))) if day in bronze.columns else rows
 
 
 def to_gold(spark: SparkSession, name: str, target: str | None = None, silver: str = "silver") -> None:

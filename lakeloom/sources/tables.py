@@ -24,11 +24,13 @@ class Layout:
     """How a table is laid out on storage.
 
     ``day_of`` derives a date partition column ``<day_of>_day`` from a timestamp
-    (the built-in catalog has no hidden day partitioning); ``partition_by`` are
-    plain columns; ``sort_by`` orders rows inside each file; ``bloom`` columns get
-    a Parquet Bloom filter for point look-ups."""
+    (the built-in catalog has no hidden day partitioning), ``loaded_at`` another one
+    before it, by which increments are found; ``partition_by`` are plain columns;
+    ``sort_by`` orders rows inside each file; ``bloom`` columns get a Parquet Bloom
+    filter for point look-ups."""
 
     day_of: str | None = None
+    loaded_at: str | None = None
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     bloom: tuple[str, ...] = ()
@@ -37,12 +39,26 @@ class Layout:
     def day_column(self) -> str | None:
         return f"{self.day_of}_day" if self.day_of else None
 
+    @property
+    def days(self) -> dict[str, str]:
+        """Derived date columns and the timestamps they come from."""
+        return {f"{c}_day": c for c in (self.loaded_at, self.day_of) if c}
+
     @property
     def partitions(self) -> list[str]:
-        return ([self.day_column] if self.day_of else []) + list(self.partition_by)
+        return [*self.days, *self.partition_by]
 
 
 # Storage layout of the layer tables.
+BRONZE_LAYOUT = {
+    "users": Layout(day_of="created_at", loaded_at="load_at"),
+    "orders": Layout(day_of="created_at", loaded_at="load_at"),
+    "order_items": Layout(day_of="created_at", loaded_at="load_at"),
+    "products": Layout(loaded_at="load_at", partition_by=("category",)),
+    "inventory_items": Layout(day_of="created_at", loaded_at="load_at"),
+    "distribution_centers": Layout(loaded_at="load_at"),
+    "events": Layout(day_of="created_at", loaded_at="load_at"),
+}
 SILVER_LAYOUT = {
     "users": Layout(day_of="created_at", bloom=("email",)),
     "orders": Layout(day_of="created_at"),
@@ -64,8 +80,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
                  layout: Layout = Layout(), path: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS from a StructType (no spliced DDL text)."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    if layout.day_of:
-        columns += f", `{layout.day_column}` date"
+    columns += "".join(f", `{day}` date" for day in layout.days)
     sql = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
     if layout.bloom:
         sql += " OPTIONS (" + ", ".join(
@@ -81,8 +96,7 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """Bring rows of one partition value together before the write (few files),
     then order rows inside each file. REBALANCE lets AQE merge small values into
     one task and split a hot day or category over several."""
-    if layout.day_of:
-        df = df.withColumn(layout.day_column, F.to_date(F.col(layout.day_of)))
+    df = df.withColumns({day: F.to_date(F.col(c)) for day, c in layout.days.items()}) if layout.days else df
     if layout.partitions:
         df = df.hint("rebalance", *layout.partitions)
     if layout.sort_by:

@@ -97,20 +97,71 @@ def test_conform_nulls_bad_values_and_lists_them(spark):
 
 def test_jobs_are_repeatable(spark, shop):
     tables.initialize_namespaces(spark)
-    for name, df in shop.items():
-        medallion.to_bronze(df, name)
-        medallion.to_bronze(df, name)  # a second snapshot of the same rows
-        medallion.to_silver(spark, name)
-        medallion.to_silver(spark, name)
-    assert spark.read.table("bronze.orders").count() == 6
-    assert spark.read.table("silver.orders").count() == 3
-    assert spark.read.table("silver.order_items").count() == 8  # not deduplicated
-    for name in ("user_statistics", "user_engagement", "sales_performance"):
-        medallion.to_gold(spark, name)
-        first = spark.read.table(f"gold.{name}").count()
-        medallion.to_gold(spark, name)
-        assert spark.read.table(f"gold.{name}").count() == first > 0
-        assert set(schemas.GOLD[name].fieldNames()) <= set(spark.read.table(f"gold.{name}").columns)
+    golds = ("user_statistics", "user_engagement", "sales_performance")
+
+    def values(name):
+        kept = [c for c in schemas.GOLD[name].fieldNames() if c != "updated_at"]
+        return sorted(map(str, spark.read.table(f"gold.{name}").select(*kept).collect()))
+
+    seen = []
+    for snapshot in range(2):  # the second one loads the same rows again
+        for name, df in shop.items():
+            medallion.to_bronze(df, name)
+            medallion.to_silver(spark, name)
+            medallion.to_silver(spark, name)
+        for name in golds:
+            medallion.to_gold(spark, name)
+            medallion.to_gold(spark, name)
+            assert set(schemas.GOLD[name].fieldNames()) <= set(spark.read.table(f"gold.{name}").columns)
+        seen.append([values(name) for name in golds])
+        assert spark.read.table("bronze.orders").count() == 3 * (snapshot + 1)
+        assert spark.read.table("silver.orders").count() == 3
+        assert spark.read.table("silver.order_items").count() == 4  # repeats inside a snapshot stay
+    assert seen[0] == seen[1] and all(seen[0])
+    sales = {(r.order_date.day, r.product_category): (r.total_revenue, r.total_items_sold)
+             for r in spark.read.table("gold.sales_performance").collect()}
+    assert sales == {(3, "A"): (10.0, 1), (3, "B"): (5.255, 1), (4, "A"): (2.0, 2)}
+
+
+def test_bronze_is_partitioned_and_pruned_by_load_day(spark, shop):
+    tables.initialize_namespaces(spark)
+    medallion.to_bronze(shop["orders"], "orders", "bronze.orders_days")
+    medallion.to_bronze(shop["products"], "products", "bronze.products_days")
+    parts = lambda t: [r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
+    assert len(parts("bronze.orders_days")) == 3 and all(
+        p.startswith("load_at_day=") and "created_at_day=2024-01-0" in p for p in parts("bronze.orders_days"))
+    assert sorted(p.split("category=")[1] for p in parts("bronze.products_days")) == ["A", "B"]
+    rows = medallion.loaded_since(spark.read.table("bronze.orders_days"), "2024-02-02")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "load_at_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_refresh_moves_rows_between_days_and_replaces_order_items(spark, shop):
+    from pyspark.sql import functions as F
+    tables.initialize_namespaces(spark)
+
+    def load(name, df, loaded, first=False):
+        rows = ingest_snapshot(df).withColumn("load_at", F.lit(loaded).cast("timestamp"))
+        rows.write.mode("overwrite" if first else "append").saveAsTable(f"bronze.{name}_moved")
+        if first:
+            tables.overwrite_table(medallion.with_audit(medallion.silver_rows(spark.table(f"bronze.{name}_moved"), name)),
+                                   f"silver.{name}_moved", tables.SILVER_LAYOUT[name])
+        else:
+            for _ in range(2):
+                medallion.refresh_silver(spark, name, loaded, f"bronze.{name}_moved", f"silver.{name}_moved")
+                spark.catalog.refreshTable(f"silver.{name}_moved")
+
+    load("orders", shop["orders"], "2024-02-01", first=True)
+    moved = (shop["orders"].filter("order_id = 10").withColumn("created_at", F.lit("2024-01-20").cast("timestamp"))
+             .withColumn("updated_at", F.lit("2024-01-20").cast("timestamp")))
+    load("orders", moved, "2024-02-02")
+    got = {(r.order_id, r.created_at.day) for r in spark.table("silver.orders_moved").collect()}
+    assert got == {(10, 20), (11, 4), (12, 5)} and spark.table("silver.orders_moved").count() == 3
+    items = shop["order_items"].withColumn("created_at", F.lit("2024-01-03").cast("timestamp"))
+    load("order_items", items, "2024-02-01", first=True)
+    load("order_items", items.filter("id = 3").withColumn("sale_price", F.lit(2.0)), "2024-02-02")
+    assert sorted((r.id, r.sale_price) for r in spark.table("silver.order_items_moved").collect()) == [
+        (1, 10.0), (2, 5.255), (3, 2.0), (3, 2.0)]
 
 
 def test_silver_takes_the_newest_snapshot(spark, shop):
