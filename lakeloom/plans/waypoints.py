@@ -97,10 +97,40 @@ def gps_retain_latest(s: Star):
     return gps.retain_latest(s.events.select("event_id", "ts", "user_id"), "ts", 2500, tie="event_id")
 
 
-@query("kalman_smooth")
+# row after row of each vehicle
+@query("kalman_smooth", """
+WITH RECURSIVE p AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS vehicle, ts, CASE WHEN event_type <> 'error' THEN value END AS x,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS y, epoch_us(ts) / 1e6 AS t,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events),
+k AS (
+  SELECT p.*, x IS NOT NULL AND y IS NOT NULL AS begun, x AS sx, y AS sy,
+         CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 0e0 END AS vx, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 0e0 END AS vy,
+         1e0 AS a, 0e0 AS b, 1e0 AS c
+  FROM p WHERE rn = 1
+  UNION ALL
+  SELECT event_id, vehicle, ts, x, y, t, rn, was OR told,
+    CASE WHEN NOT was THEN x WHEN told THEN px + pa / (pa + 1) * (x - px) ELSE px END,
+    CASE WHEN NOT was THEN y WHEN told THEN py + pa / (pa + 1) * (y - py) ELSE py END,
+    CASE WHEN NOT was THEN CASE WHEN told THEN 0e0 END WHEN told THEN pvx + pb / (pa + 1) * (x - px) ELSE pvx END,
+    CASE WHEN NOT was THEN CASE WHEN told THEN 0e0 END WHEN told THEN pvy + pb / (pa + 1) * (y - py) ELSE pvy END,
+    CASE WHEN NOT was THEN 1e0 WHEN told THEN pa / (pa + 1) ELSE pa END,
+    CASE WHEN NOT was THEN 0e0 WHEN told THEN pb / (pa + 1) ELSE pb END,
+    CASE WHEN NOT was THEN 1e0 WHEN told THEN (pc + (pa * pc - pb * pb)) / (pa + 1) ELSE pc END
+  FROM (
+    SELECT n.*, n.x IS NOT NULL AND n.y IS NOT NULL AS told, k.begun AS was, k.vx AS pvx, k.vy AS pvy,
+      k.sx + (n.t - k.t) * k.vx AS px, k.sy + (n.t - k.t) * k.vy AS py,
+      k.a + (n.t - k.t) * (2 * k.b + (n.t - k.t) * k.c) + 1e-3 * (n.t - k.t) * (n.t - k.t) * (n.t - k.t) / 3 AS pa,
+      k.b + (n.t - k.t) * k.c + 1e-3 * (n.t - k.t) * (n.t - k.t) / 2 AS pb, k.c + 1e-3 * (n.t - k.t) AS pc
+    FROM k JOIN p n ON n.vehicle = k.vehicle AND n.rn = k.rn + 1))
+SELECT event_id, vehicle, ts, x, y, round(sx, 4) AS x_smooth, round(sy, 4) AS y_smooth, round(vx, 4) AS vx, round(vy, 4) AS vy FROM k
+""", star=False)
 def smoothed(s: Star):
     tracks = waypoints(s).select("event_id", "vehicle", "ts", F.col("speed").alias("x"), F.col("heading").alias("y"))
-    return kalman_smooth(tracks, ts="ts", tie="event_id", slice_seconds=86400)
+    out = kalman_smooth(tracks, ts="ts", tie="event_id", slice_seconds=86400)
+    names = ("x_smooth", "y_smooth", "vx", "vy")
+    return out.withColumns({c: F.round(F.nullif(F.col(c), F.lit(float("nan"))), 4) for c in names})
 
 
 _DENSITY = GPS_SQL + """,

@@ -1,6 +1,18 @@
-"""Per-vehicle smoothing of positions."""
+"""Per-vehicle smoothing of positions by a constant-velocity Kalman filter.
+
+A track is cut into time slices, which spreads a vehicle over many tasks, but the
+result does not depend on the cuts. A filter step is one of a family of maps that is
+closed under composition, so
+
+1. each slice is reduced to one composed map,
+2. the few slices of a vehicle are scanned for the exact state before each slice,
+3. each slice is filtered from that state.
+
+x and y share the model, so they share all matrices. Python sees many slices at a time
+and takes their rows in step, one NumPy operation for the next row of all of them."""
+
+from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,63 +21,219 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# a state is time, x, y, vx, vy, and the covariance: position, position-velocity, velocity
+_ROWS_AT_ONCE = 200_000
 
-class Track:
-    """Constant-velocity Kalman filter of one vehicle. x and y share the model, so
-    they share the covariance (a, b, c) = (var position, covariance, var velocity)."""
+
+class _Model:
+    """The filter's matrices, for many steps at a time."""
 
     def __init__(self, process_noise: float, measurement_noise: float, velocity_variance: float):
         self.q, self.r, self.v0 = process_noise, measurement_noise, velocity_variance
-        self.t = None
-
-    def step(self, t: float, x: float, y: float) -> tuple[float, float, float, float]:
-        if self.t is None:
-            if math.isnan(x) or math.isnan(y):  # no position yet
-                return x, y, math.nan, math.nan
-            self.t, self.x, self.y, self.vx, self.vy = t, x, y, 0.0, 0.0
-            self.a, self.b, self.c = self.r, 0.0, self.v0
-            return x, y, 0.0, 0.0
-        dt, self.t = t - self.t, t
-        q = self.q
-        a = self.a + dt * (2 * self.b + dt * self.c) + q * dt ** 3 / 3
-        b = self.b + dt * self.c + q * dt ** 2 / 2
-        c = self.c + q * dt
-        px, py = self.x + dt * self.vx, self.y + dt * self.vy
-        if math.isnan(x) or math.isnan(y):  # nothing measured: keep the prediction
-            self.a, self.b, self.c, self.x, self.y = a, b, c, px, py
-            return px, py, self.vx, self.vy
-        gain_p, gain_v = a / (a + self.r), b / (a + self.r)
-        ex, ey = x - px, y - py
-        self.x, self.y = px + gain_p * ex, py + gain_p * ey
-        self.vx, self.vy = self.vx + gain_v * ex, self.vy + gain_v * ey
-        self.a, self.b, self.c = (1 - gain_p) * a, (1 - gain_p) * b, c - gain_v * b
-        return self.x, self.y, self.vx, self.vy
+
+    def move(self, dt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Transition and its noise over time steps."""
+        f = np.broadcast_to(np.eye(2), (len(dt), 2, 2)).copy()
+        f[:, 0, 1] = dt
+        q = np.empty((len(dt), 2, 2))
+        q[:, 0, 0], q[:, 1, 1] = self.q * dt**3 / 3, self.q * dt
+        q[:, 0, 1] = q[:, 1, 0] = self.q * dt**2 / 2
+        return f, q
+
+    def step(self, state: np.ndarray, t: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States (n x 8, NaN time: not begun) after one row each, and what the rows show."""
+        new, begun, told = state.copy(), ~np.isnan(state[:, 0]), ~(np.isnan(x) | np.isnan(y))
+        dt = np.where(begun, t - state[:, 0], 0.0)
+        _, sx, sy, vx, vy, a, b, c = state.T
+        pa, pb, pc = (a + dt * (2 * b + dt * c) + self.q * dt**3 / 3, b + dt * c + self.q * dt**2 / 2, c + self.q * dt)
+        px, py = sx + dt * vx, sy + dt * vy
+        known = begun & told
+        gain_p, gain_v = np.where(known, pa / (pa + self.r), 0.0), np.where(known, pb / (pa + self.r), 0.0)
+        left = np.where(known, self.r / (pa + self.r), 1.0)  # 1 - gain_p
+        ex, ey = np.where(known, x - px, 0.0), np.where(known, y - py, 0.0)
+        moved = np.stack([t, px + gain_p * ex, py + gain_p * ey, vx + gain_v * ex, vy + gain_v * ey,
+                          pa * left, pb * left, np.where(known, (pc * self.r + (pa * pc - pb * pb)) / (pa + self.r), pc)], axis=1)
+        new[begun] = moved[begun]
+        first = ~begun & told
+        zero = np.zeros(int(first.sum()))
+        new[first] = np.stack([t[first], x[first], y[first], zero, zero, zero + self.r, zero, zero + self.v0], axis=1)
+        shown = new[:, 1:5].copy()
+        early = ~begun & ~told  # no position yet
+        shown[early] = np.stack([x[early], y[early], x[early] * np.nan, x[early] * np.nan], axis=1)
+        return new, shown
+
+    def element(self, dt: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+        """One row each as a map: mean -> A mean + b, covariance parts C and J, and the
+        information eta about the state before; b and eta for x and y side by side."""
+        told = ~(np.isnan(x) | np.isnan(y))
+        f, q = self.move(dt)
+        s = q[:, 0, 0] + self.r
+        gain = np.where(told[:, None], q[:, :, 0] / s[:, None], 0.0)
+        keep = np.broadcast_to(np.eye(2), f.shape).copy()
+        keep[:, :, 0] -= gain
+        z = np.where(told[:, None], np.stack([x, y], axis=1), 0.0)
+        b = gain[:, :, None] * z[:, None, :]
+        info = np.where(told[:, None], f[:, 0, :] / s[:, None], 0.0)
+        return keep @ f, b, keep @ q, info[:, :, None] * z[:, None, :], info[:, :, None] * f[:, 0, None, :]
+
+
+def _adjugate(m: np.ndarray) -> np.ndarray:
+    return np.stack([np.stack([m[:, 1, 1], -m[:, 0, 1]], 1), np.stack([-m[:, 1, 0], m[:, 0, 0]], 1)], 1)
+
+
+def _determinant(m: np.ndarray) -> np.ndarray:
+    return (m[:, 0, 0] * m[:, 1, 1] - m[:, 0, 1] * m[:, 1, 0])[:, None, None]
+
+
+def _joined(c: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a covariance c and an information matrix j: (1 + cj)^-1, (1 + cj)^-1 c and
+    (1 + jc)^-1 j. Written out for 2 x 2, where the large terms, which long gaps bring,
+    are all of one sign and do not cancel as they do in a general inverse."""
+    dc, dj = _determinant(c), _determinant(j)
+    whole = 1 + np.einsum("nij,nji->n", c, j)[:, None, None] + dc * dj
+    return ((np.eye(2) + _adjugate(j) @ _adjugate(c)) / whole, (c + dc * _adjugate(j)) / whole, (j + dj * _adjugate(c)) / whole)
+
+
+def _compose(first: tuple, then: tuple) -> tuple:
+    """The map of ``first`` followed by ``then``; associative."""
+    a1, b1, c1, e1, j1 = first
+    a2, b2, c2, e2, j2 = then
+    t = lambda m: np.swapaxes(m, 1, 2)
+    inverse, cov, info = _joined(c1, j2)
+    return (a2 @ inverse @ a1, a2 @ (inverse @ b1 + cov @ e2) + b2, a2 @ cov @ t(a2) + c2,
+            t(a1) @ (t(inverse) @ e2 - info @ b1) + e1, t(a1) @ info @ a1 + j1)
+
+
+def _apply(element: tuple, state: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """States (n x 8) after the maps, whose last rows are at times ``last``."""
+    a, b, c, eta, j = element
+    p = np.stack([np.stack([state[:, 5], state[:, 6]], 1), np.stack([state[:, 6], state[:, 7]], 1)], 1)
+    m = np.stack([np.stack([state[:, 1], state[:, 2]], 1), np.stack([state[:, 3], state[:, 4]], 1)], 1)
+    inverse, cov, _ = _joined(p, j)
+    mean = a @ (inverse @ m + cov @ eta) + b
+    cov = a @ cov @ np.swapaxes(a, 1, 2) + c
+    return np.stack([last, mean[:, 0, 0], mean[:, 0, 1], mean[:, 1, 0], mean[:, 1, 1], cov[:, 0, 0], cov[:, 0, 1],
+                     cov[:, 1, 1]], axis=1)
+
+
+def _in_step(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For slices that lie one after the other: at each step, which slices still have a
+    row and where that row is."""
+    starts, order = np.cumsum(sizes) - sizes, np.argsort(-sizes, kind="stable")
+    for k in range(int(sizes.max()) if len(sizes) else 0):
+        order = order[: np.searchsorted(-sizes[order], -k, side="left")]
+        yield order, starts[order] + k
+
+
+def _whole_slices(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray, bool]]:
+    """Sorted rows in pieces of some hundred thousand, the sizes of the slices in each,
+    and whether its first slice goes on from the piece before."""
+    held, last = [], None
+    for pdf in batches:
+        held.append(pdf)
+        if sum(map(len, held)) >= _ROWS_AT_ONCE:
+            yield (*_sized(rows := pd.concat(held, ignore_index=True), keys), tuple(rows[keys].iloc[0]) == last)
+            last, held = tuple(rows[keys].iloc[-1]), []
+    if held and sum(map(len, held)):
+        yield (*_sized(rows := pd.concat(held, ignore_index=True), keys), tuple(rows[keys].iloc[0]) == last)
+
+
+def _sized(rows: pd.DataFrame, keys: list[str]) -> tuple[pd.DataFrame, np.ndarray]:
+    new = np.ones(len(rows), bool)
+    new[1:] = np.any([(a := rows[k].to_numpy())[1:] != a[:-1] for k in keys], axis=0)
+    return rows, np.diff(np.append(np.flatnonzero(new), len(rows)))
+
+
+def _track(rows: pd.DataFrame, x: str, y: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(rows[c].to_numpy(dtype=float, na_value=np.nan) for c in ("_t", x, y))
 
 
 def kalman_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp", x: str = "x", y: str = "y",
                   tie: str | None = None, slice_seconds: int = 3600, process_noise: float = 1e-3,
                   measurement_noise: float = 1.0, velocity_variance: float = 1.0) -> DataFrame:
-    """Adds x_smooth, y_smooth, vx and vy. A track is cut into slices of
-    ``slice_seconds``; each is filtered on its own, which spreads a vehicle over
-    many tasks. Slices are brought together and sorted by Spark; Python sees one
-    stream of Arrow batches per task and starts a new filter where the slice
-    changes, so a slice need not fit in memory and short slices cost no call."""
+    """Adds x_smooth, y_smooth, vx and vy.
+
+    ``slice_seconds`` decides how the work is spread, not the result: a vehicle's rows
+    are dealt by slice, its slices (one row each) are scanned together. Rows of a
+    vehicle before its first position have no state. Rows without a vehicle are one
+    track; rows without a time come first and are shown as they are."""
+    model = _Model(process_noise, measurement_noise, velocity_variance)
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000.0)
-    keyed = df.withColumns({"_t": seconds, "_slice": F.floor(seconds / slice_seconds)})
-    ready = keyed.repartition(vehicle, "_slice").sortWithinPartitions(
-        vehicle, "_slice", "_t", *([tie] if tie else []))
-    schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in ("x_smooth", "y_smooth", "vx", "vy")])
+    keyed = df.withColumns({"_t": seconds, "_slice": F.coalesce(F.floor(seconds / slice_seconds), F.lit(-(2**62)))
+                            .cast("bigint"), "_vehicle": F.coalesce(F.concat(F.lit("v"), F.col(vehicle).cast("string")),
+                                                                    F.lit(""))})
+    order = ["_t", *([tie] if tie else [])]
+    keys = ["_vehicle", "_slice"]
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Per slice: its first position, and the composed map of the rows after it or,
+        where the track has begun before, of all rows (both are kept)."""
+        for rows, sizes, _ in _whole_slices(batches, keys):
+            t, px, py = _track(rows, x, y)
+            n, starts = len(sizes), np.cumsum(sizes) - sizes
+            state = np.full((n, 8), np.nan)
+            whole = [np.zeros((n, 2, 2)) for _ in range(5)]
+            whole[0][:] = np.eye(2)
+            last = np.full(n, np.nan)
+            for slices, at in _in_step(sizes):
+                state[slices], _ = model.step(state[slices], t[at], px[at], py[at])
+                dt = np.where(np.isnan(last[slices]), 0.0, t[at] - last[slices])
+                done = _compose(tuple(m[slices] for m in whole), model.element(dt, px[at], py[at]))
+                for m, d in zip(whole, done):
+                    m[slices] = d
+                last[slices] = t[at]
+            flat = np.concatenate([m.reshape(n, -1) for m in whole], axis=1)
+            out = {"_vehicle": rows["_vehicle"].to_numpy()[starts], "_slice": rows["_slice"].to_numpy()[starts],
+                   "_from": t[starts], "_to": last}
+            yield pd.DataFrame(out | {f"s{i}": state[:, i] for i in range(8)} | {f"m{i}": flat[:, i] for i in range(20)})
+
+    def scanned(slices: pd.DataFrame) -> pd.DataFrame:
+        """The state before each slice of one vehicle."""
+        slices = slices.sort_values(["_slice", "_from"])
+        state, found, nothing = np.full((1, 8), np.nan), [], np.array([np.nan])
+        maps, own = slices[[f"m{i}" for i in range(20)]].to_numpy(), slices[[f"s{i}" for i in range(8)]].to_numpy()
+        first, last = slices["_from"].to_numpy(), slices["_to"].to_numpy()
+        for i in range(len(slices)):
+            found.append(state[0])
+            if np.isnan(state[0, 0]):
+                state = own[i: i + 1]  # begun in this slice, or not yet
+                continue
+            # from the last row to the slice's first time without a measurement
+            state, _ = model.step(state, first[i: i + 1], nothing, nothing)
+            element = tuple(maps[i, 4 * k: 4 * k + 4].reshape(1, 2, 2) for k in range(5))
+            state = _apply(element, state, last[i: i + 1])
+        out = slices[["_vehicle", "_slice", "_from"]].copy()
+        for k in range(8):
+            out[f"s{k}"] = [s[k] for s in found]
+        return out.drop_duplicates("_slice")  # a slice reduced in two pieces begins with the first
+
+    begin = [T.StructField("_vehicle", T.StringType()), T.StructField("_slice", T.LongType()), T.StructField("_from", T.DoubleType())]
+    numbers = lambda names: [T.StructField(c, T.DoubleType()) for c in names]
+    states = [f"s{i}" for i in range(8)]
+    slices = (keyed.select(*keys, "_t", F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y),
+                           *([tie] if tie and tie not in (x, y) else []))
+              .repartition(*keys).sortWithinPartitions(*keys, *order)
+              .mapInPandas(reduced, T.StructType([*begin, *numbers(["_to", *states, *(f"m{i}" for i in range(20))])])))
+    before = slices.groupBy("_vehicle").applyInPandas(scanned, T.StructType([*begin, *numbers(states)])).drop("_from")
+    schema = T.StructType(df.schema.fields + numbers(["x_smooth", "y_smooth", "vx", "vy"]))
     names = [f.name for f in schema.fields]
+    return _filtered(keyed, before, keys, order, x, y, model, states, schema, names)
 
+
+def _filtered(keyed, before, keys, order, x, y, model, states, schema, names) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, track = None, None
-        for pdf in batches:
-            out = np.empty((len(pdf), 4))
-            points = zip(pdf[vehicle], pdf["_slice"], pdf["_t"], pdf[x].astype(float), pdf[y].astype(float))
-            for i, (name, part, t, px, py) in enumerate(points):
-                if (name, part) != current:
-                    current, track = (name, part), Track(process_noise, measurement_noise, velocity_variance)
-                out[i] = track.step(t, px, py)
-            yield pdf.assign(x_smooth=out[:, 0], y_smooth=out[:, 1], vx=out[:, 2], vy=out[:, 3])[names]
-
-    return ready.mapInPandas(run, schema)
+        ended = None
+        for rows, sizes, goes_on in _whole_slices(batches, keys):
+            t, px, py = _track(rows, x, y)
+            starts = np.cumsum(sizes) - sizes
+            state = rows[states].to_numpy(dtype=float)[starts]
+            if goes_on:
+                state[0] = ended
+            out = np.empty((len(rows), 4))
+            for slices, at in _in_step(sizes):
+                state[slices], out[at] = model.step(state[slices], t[at], px[at], py[at])
+            ended = state[-1].copy()
+            yield rows.assign(x_smooth=out[:, 0], y_smooth=out[:, 1], vx=out[:, 2], vy=out[:, 3])[names]
+
+    joined = keyed.join(before, keys, "left")
+    return joined.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)

@@ -14,8 +14,10 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-# The only plans with Python in a task.
-PYTHON = {"kalman_smooth"}
+# The plans with Python in a task; those of the optional subpackage are free to use it
+# but for the ones that are to be native.
+PYTHON = {"kalman_smooth"} | {n for n in QUERIES if n.startswith("op") or n == "pipeline"} - {
+    "op1_sharding", "op3_mixing", "op5_quality_rules", "op6_chat_rotation", "op7_pivots", "op9_minhash"}
 
 
 def check_shape(df, name):
