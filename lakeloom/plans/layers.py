@@ -14,7 +14,7 @@ from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
 from lakeloom.sources.seed import shift_dates
 from lakeloom.sources.snapshot import ingest_snapshot
-from lakeloom.sources.streams import parse_click_events
+from lakeloom.sources.streams import parse_click_events, parse_gps
 from lakeloom.sources.tables import trimmed
 
 
@@ -62,19 +62,29 @@ def user_statistics(s: Star):
     return gold.user_statistics(s.table("customer").select(F.col("c_custkey").alias("id")), orders, _order_items(s), events)
 
 
-@query("silver_latest_by_key", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+_LINE = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+         "l_linestatus"]
+
+
+@query("silver_latest_by_key", f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {" DESC, ".join(_LINE)} DESC) AS rn
   FROM lineitem) WHERE rn = 1""", star=False)
 def silver_latest_by_key(s: Star):
-    rows = s.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return latest_by_key(rows, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+    return latest_by_key(s.table("lineitem"), ["l_orderkey", "l_linenumber"], _LINE)
 
 
-@query("silver_any_by_key", "SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2", star=False)
+@query("silver_any_by_key", "SELECT l_orderkey, l_linenumber, TRUE AS is_a_row FROM lineitem GROUP BY 1, 2", star=False)
 def silver_any_by_key(s: Star):
+    """Any whole row per key: each is compared with the rows of the table."""
     keys = ["l_orderkey", "l_linenumber"]
-    return any_by_key(s.table("lineitem").select(*keys, "l_partkey"), keys).select(*keys)
+    lines = s.table("lineitem").select(*keys, *_LINE)
+    row = F.struct(*keys, *_LINE)
+    kept = any_by_key(lines, keys).select(row.alias("_row"), F.lit(1).alias("_kept"))
+    every = lines.select(row.alias("_row"), F.lit(0).alias("_kept"))
+    found = (kept.unionByName(every).groupBy("_row").agg(F.sum("_kept").alias("_kept"), F.count_if(F.col("_kept") == 0).alias("_n"))
+             .filter("_kept > 0"))
+    return found.select("_row.l_orderkey", "_row.l_linenumber", (F.col("_n") > 0).alias("is_a_row"))
 
 
 _TEXT_EVENTS = T.StructType([
@@ -103,13 +113,35 @@ def silver_rejects(s: Star):
 
 
 @query("bronze_snapshot", """
-SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderstatus AS status, o_orderdate AS source_updated_at FROM orders""", star=False)
+SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderstatus AS status, o_totalprice AS total, o_orderpriority AS priority,
+       o_orderdate AS source_updated_at FROM orders""", star=False)
 def bronze_snapshot(s: Star):
-    source = s.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-                                      F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("updated_at"))
+    source = s.table("orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("total"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("updated_at"))
     return ingest_snapshot(source).drop("load_at")
 
 
+@query("parse_waypoints", """
+SELECT event_id, event_type AS "msgType", CAST(user_id AS VARCHAR) AS vehicle, event_type <> 'error' AS working,
+       CAST(value AS FLOAT) AS speed, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x,
+       date_trunc('second', ts) AS "timestamp", CAST(ts AS DATE) AS date
+FROM events""", star=False)
+def parse_waypoints(s: Star):
+    """Events written as nested position messages and read back with the stream's
+    parser."""
+    point = F.struct(
+        F.col("user_id").cast("string").alias("vehicle"), F.col("event_id").cast("string").alias("driver"),
+        F.col("value").cast("float").alias("speed"), (F.col("event_type") != "error").alias("working"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).cast("int").alias("datetime"),
+        F.get_json_object("props", "$.k").cast("double").alias("x"))
+    messages = s.events.select(F.to_json(F.struct(F.col("event_type").alias("msgType"), point.alias("msgBusWayPoint")))
+                               .cast("binary").alias("value"))
+    return parse_gps(messages, stamp=False).select(
+        F.col("driver").cast("bigint").alias("event_id"), "msgType", "vehicle", "working", "speed", "x",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "date")
+
+
 @query("parse_json_events", """
 SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS sequence_number, event_type, ts AS created_at
@@ -181,10 +213,11 @@ def shift_order_dates(s: Star):
     return shift_dates(rows, 3).withColumn("shipped_at", F.col("shipped_at").cast("timestamp_ntz"))
 
 
-@query("trimmed_text", "SELECT c_custkey, trim(c_name) AS c_name, c_mktsegment FROM customer", star=False)
+@query("trimmed_text", "SELECT c_custkey, trim(c_name) AS c_name, c_nationkey, c_acctbal, trim(c_mktsegment) AS c_mktsegment FROM customer",
+       star=False)
 def trimmed_text(s: Star):
-    padded = s.table("customer").select("c_custkey", F.rpad("c_name", 30, " ").alias("c_name"),
-                                        F.concat(F.lit("  "), "c_mktsegment", F.lit(" ")).alias("c_mktsegment"))
+    padded = s.table("customer").withColumns({"c_name": F.rpad("c_name", 30, " "),
+                                              "c_mktsegment": F.concat(F.lit("  "), "c_mktsegment", F.lit(" "))})
     return trimmed(padded)
 
 
@@ -206,12 +239,20 @@ def table_fingerprint(s: Star):
 
 
 @query("table_diff", """
-WITH a AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1)
-SELECT CAST(CAST(coalesce(a.k, b.k) AS DECIMAL(38,4)) AS VARCHAR) AS c_nationkey, CAST(coalesce(a.n, 0) AS BIGINT) AS left_copies,
-       CAST(coalesce(b.n, 0) AS BIGINT) AS right_copies
-FROM a FULL JOIN b ON a.k = b.k WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""", star=False)
+WITH old AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+new AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders
+        WHERE o_orderstatus <> 'O'),
+every AS (SELECT *, 1 AS l, 0 AS r FROM old UNION ALL SELECT *, 0, 1 FROM new)
+SELECT CAST(CAST(o_orderkey AS DECIMAL(38,4)) AS VARCHAR) AS o_orderkey, CAST(CAST(o_custkey AS DECIMAL(38,4)) AS VARCHAR) AS o_custkey,
+  o_orderstatus, CAST(CAST(round(o_totalprice, 4) AS DECIMAL(38,4)) AS VARCHAR) AS o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority, CAST(sum(l) AS BIGINT) AS left_copies, CAST(sum(r) AS BIGINT) AS right_copies
+FROM every GROUP BY ALL HAVING sum(l) <> sum(r)""", star=False)
 def table_difference(s: Star):
-    return compare.table_diff(s.table("customer").select("c_nationkey"), s.table("supplier").select("s_nationkey"))
+    """Orders against a version of them with changed prices, over all columns."""
+    orders = s.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    dearer = F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return compare.table_diff(orders.filter("o_orderstatus <> 'P'"),
+                              orders.filter("o_orderstatus <> 'O'").withColumn("o_totalprice", dearer))
 
 
 @query("row_count", "SELECT count(*) AS row_count FROM sales WHERE channel = 'web'")

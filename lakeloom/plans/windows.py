@@ -99,9 +99,10 @@ def cumulative_cross(s: Star):
 
 
 @query("best_worst", """
-WITH v AS (SELECT item_id, round(round(sum(gross), 2) / count(gross), 6) AS mean FROM lines
-           WHERE outlet_id < 50 GROUP BY 1
-           HAVING round(sum(gross), 2) / count(gross) > 0.9 * (SELECT round(sum(gross), 2) / count(gross) FROM lines WHERE outlet_id < 50)),
+WITH v AS (SELECT item_id, round(round(sum(gross), 2) / count(gross), 6) AS mean FROM lines JOIN outlet USING (outlet_id)
+           WHERE outlet_region = 'ASIA' GROUP BY 1
+           HAVING round(sum(gross), 2) / count(gross) > 0.9 * (
+             SELECT round(sum(gross), 2) / count(gross) FROM lines JOIN outlet USING (outlet_id) WHERE outlet_region = 'ASIA')),
 up AS (SELECT item_id, rank() OVER (ORDER BY mean ASC) AS rnk FROM v),
 down AS (SELECT item_id, rank() OVER (ORDER BY mean DESC) AS rnk FROM v)
 SELECT up.rnk AS rnk, i1.item_name AS worst_name, up.item_id AS worst_id, i2.item_name AS best_name, down.item_id AS best_id
@@ -109,7 +110,8 @@ FROM up JOIN down ON up.rnk = down.rnk JOIN item i1 ON i1.item_id = up.item_id J
 WHERE up.rnk <= 10 AND down.rnk <= 10""")
 def best_worst(s: Star):
     """Ten best and ten worst items by mean value, paired by rank."""
-    per_item = s.lines.filter("outlet_id < 50 AND item_id IS NOT NULL").groupBy("item_id").agg(
+    asian = s.outlet.filter("outlet_region = 'ASIA'").select("outlet_id")
+    per_item = s.lines.filter("item_id IS NOT NULL").join(asian, "outlet_id", "left_semi").groupBy("item_id").agg(
         sum2("gross").alias("s"), F.count("gross").alias("n"))
     floor = per_item.agg(F.try_divide(sum2("s"), F.sum("n"))).scalar()
     raw = F.try_divide("s", "n")

@@ -70,14 +70,6 @@ def build_session(app_name: str = "lakeloom", master: str | None = None,
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Shared checkpoint folder: the one the cluster names in
-    ``spark.checkpoint.dir``, or ``fallback`` only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of a stream inside the cluster's shared folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A JDBC table. With ``partition_column`` and bounds the read is split into
-    ``num_partitions`` range queries; without them JDBC gives one partition."""
+    """A JDBC table, read by ``num_partitions`` range queries over ``partition_column``
+    between its bounds. A read in one task has to be asked for (``one_task``), as it does
+    not grow with the cluster."""
 
     url: str
     table: str
@@ -24,6 +25,7 @@ class JdbcSource:
     num_partitions: int | None = None
     fetch_size: int = 10_000
     custom_schema: str | None = None
+    one_task: bool = False
 
     def options(self) -> dict[str, str]:
         opts = {
@@ -34,9 +36,10 @@ class JdbcSource:
         if self.custom_schema:
             opts["customSchema"] = self.custom_schema
         split = (self.partition_column, self.lower_bound, self.upper_bound, self.num_partitions)
-        if any(v is not None for v in split):
+        if not self.one_task:
             if any(v is None for v in split):
-                raise ValueError("a split read needs partition_column, both bounds and num_partitions")
+                raise ValueError("a split read needs partition_column, both bounds and num_partitions; one_task reads "
+                                 "the table in one task")
             opts |= {
                 "partitionColumn": self.partition_column,
                 "lowerBound": str(self.lower_bound),

@@ -3,7 +3,7 @@ import tempfile
 
 import pytest
 
-from lakeloom.session import apply_defaults, ensure_checkpoint_dir
+from lakeloom.session import apply_defaults
 
 
 @pytest.fixture(scope="session")
@@ -16,7 +16,8 @@ def spark():
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(session, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield apply_defaults(session)
     session.stop()
 

@@ -209,9 +209,10 @@ def test_refresh_rewrites_only_touched_days(spark, shop):
 
 
 def test_jdbc_options():
-    whole = JdbcSource("jdbc:x", "t", "u", "p").options()
+    whole = JdbcSource("jdbc:x", "t", "u", "p", one_task=True).options()
     assert "partitionColumn" not in whole and whole["dbtable"] == "t"
     split = JdbcSource("jdbc:x", "t", "u", "p", partition_column="id", lower_bound=0, upper_bound=9, num_partitions=4).options()
     assert split["numPartitions"] == "4" and split["lowerBound"] == "0"
-    with pytest.raises(ValueError):
-        JdbcSource("jdbc:x", "t", "u", "p", partition_column="id").options()
+    for partial in ({"partition_column": "id"}, {}):
+        with pytest.raises(ValueError):
+            JdbcSource("jdbc:x", "t", "u", "p", **partial).options()
