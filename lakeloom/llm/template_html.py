@@ -66,8 +66,9 @@ _APART_ROLES = set("navigation banner contentinfo complementary search dialog al
 _APART_NAMES = set("""ad ads advert adverts advertisement advertisements advertising adsense banner banners breadcrumb
     breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu
     modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promotion
-    promoted recommended related respond replies reply reader search share sharing sidebar signup skip social sponsor
+    promoted recommended related respond replies reply search share sharing sidebar signup skip social sponsor
     sponsored subscribe subscription toolbar widget widgets""".split())
+_APART_OUTSIDE = {"header", "aside"}  # set apart unless they are inside an article
 
 
 def host_of(url: Column) -> Column:
@@ -98,7 +99,7 @@ def _token(text: str) -> int:
     return xxhash.xxh64_intdigest(text) >> 1
 
 
-def _set_apart(name: str, attributes: dict[str, str]) -> bool:
+def _set_apart(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     if name in _APART or attributes.get("role", "").lower() in _APART_ROLES:
         return True
     if name in ("html", "body", "main"):
@@ -108,7 +109,8 @@ def _set_apart(name: str, attributes: dict[str, str]) -> bool:
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
         return True
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(part.lower() in _APART_NAMES for part in _NAME_PARTS.findall(named))
+    parts = {part.lower() for part in _NAME_PARTS.findall(named)}
+    return bool(parts & _APART_NAMES) or not in_article and name != "article" and bool(parts & _APART_OUTSIDE)
 
 
 def parse(source: str) -> Page:
@@ -180,7 +182,7 @@ def parse(source: str) -> Page:
         page.tokens.append(_token(path))
         if name in _VOID:
             continue
-        apart = up.apart or _set_apart(name, found)
+        apart = up.apart or _set_apart(name, found, up.article)
         e = _Element(name, path, apart, up.article or name == "article", up.main or name == "main", up.link or name == "a")
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
