@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from lakeloom.plans import registry
 from tests.oracle import compare, connect
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+# those of the optional subpackage have tests beside its own
+QUERIES = {n: q for n, q in entry_point.queries().items() if n in registry.plans()}
+SQL = {n: q for n, q in entry_point.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +16,8 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-# The plans with Python in a task; those of the optional subpackage are free to use it
-# but for the ones that are to be native.
-PYTHON = {"kalman_smooth"} | {n for n in QUERIES if n.startswith("op") or n == "pipeline"} - {
-    "op1_sharding", "op3_mixing", "op5_quality_rules", "op6_chat_rotation", "op7_pivots", "op9_minhash"}
+# The only plans with Python in a task.
+PYTHON = {"kalman_smooth"}
 
 
 def check_shape(df, name):
