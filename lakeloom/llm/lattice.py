@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.001          # per unit of score; a score is minus the rank of the merge
 SEED = 29
 EDGES = 3_000_000      # edges of chunk lattices that a task keeps
-CHUNKS = 400_000       # chunks sampled in step
+CHUNKS = 200_000       # chunks, about, filtered and sampled in step
 _CHUNK = re.compile(r"\n| ?[^ \n]+| ")
 _BYTE_WEIGHT = -32.0   # log weight of a character that is cut into bytes; it has no other way
 _NO_SCORE = -1e8       # user-defined pieces carry a score below this; runs of markers are never drawn
