@@ -3,18 +3,22 @@
 A page is a sequence of tokens: start and end tags, told apart by their path, and
 text blocks, told apart by path and content. The occurrence vector of a token counts
 it in each page of its host. Tokens with equal vectors form an equivalence class;
-classes that occur in most pages, and in a number of them, make the template: the
-class of tokens that every page has once is its root, classes with other vectors
-(menus, lists, repeated cells) are nested in the root's slots.
+classes that occur in at least ``FREQUENT`` of the pages, and in a number of them,
+make the template: classes whose tokens a page has once are its root, classes with
+other vectors (menus, lists, repeated cells) are nested in the root's slots. Texts
+without a tag of their vector are copied content, unless ``ALONE`` of the pages have them.
 
 Vectors are never gathered: a task adds up, per host and token, pages, occurrences
 and two sums of count times page hash; Spark adds these up, and equal sums tell equal
 vectors (two 31-bit hashes per page). What passes a shuffle is one row per host,
 token and task, not one per token of a page, so a host with most pages is no hot key.
 
-A page is then cut by its host's template into slots. Text blocks that are template
-tokens themselves are dropped as long as most of the page's text remains (pages of a
-host that are all copies have no template text to tell). The remaining slots under
+A page is then cut by its host's template into slots. A class must come in its order
+on the page, each time it comes; what is out of order is no template there. That tags
+nest needs no check, as a token's path names what it is in. Text blocks that are
+template tokens, of the root or of a nested class, are dropped as long as most of the
+page's text remains (pages of a host that are all copies have no template text to
+tell). Which of the slots are the article is told by tags: those under
 menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments are
 dropped by the kind of their enclosing tokens, and the article's slots are joined in
 page order. A host with fewer than ``MIN_PAGES`` pages has no template; its pages are
@@ -24,8 +28,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -37,6 +43,7 @@ from lakeloom.llm.tables import table, written
 MIN_PAGES = 10         # of a host, for a template
 FREQUENT = 0.5         # share of a host's pages that a class must occur in
 LEAST_TOKENS = 2       # of a class
+ALONE = 0.9            # share of a host's pages for texts without a tag of the same vector
 FLUSH = 200_000        # tokens summed in a task before it emits them
 BROADCAST_BYTES = 32 << 20
 
@@ -88,7 +95,7 @@ class _Element:
 
 @dataclass
 class Page:
-    """``tokens`` in page order; ``blocks``: (place in tokens, text, in an article, in
+    """``tokens`` in page order, those of text below zero; ``blocks``: (place in tokens, text, in an article, in
     the main element, all in links) of the text that is not set apart."""
 
     tokens: list[int] = field(default_factory=list)
@@ -123,7 +130,7 @@ def parse(source: str) -> Page:
         words = html.unescape("".join(text)).split()
         if words:
             joined, top = " ".join(words), stack[-1]
-            page.tokens.append(_token(f"{top.path}|{joined}"))
+            page.tokens.append(-_token(f"{top.path}|{joined}"))
             page.blocks.append((len(page.tokens) - 1, joined, top.article, top.main, linked[0]))
         text.clear()
         linked[0] = True
@@ -193,44 +200,47 @@ def parse(source: str) -> Page:
     return page
 
 
-def main_text(page: Page, template: frozenset[int]) -> str:
+def main_text(page: Page, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks: inside article elements, else inside main, else all that is
-    not a list of links; without blocks that belong to the template."""
+    not a list of links; without blocks at ``template``, the template's places in the page."""
     blocks = [b for b in page.blocks if b[2]] or [b for b in page.blocks if b[3]] or [
         b for b in page.blocks if not b[4]] or page.blocks
-    free = [b for b in blocks if page.tokens[b[0]] not in template]
+    free = [b for b in blocks if b[0] not in template]
     size = lambda some: sum(len(b[1]) for b in some)
     return " ".join(b[1] for b in (free if 2 * size(free) >= size(blocks) else blocks))
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token: pages, occurrences and the two sums that stand for the
-    occurrence vector. Token 0 stands for a page with any token."""
+    """Per host and token: pages, occurrences, the two sums that stand for the
+    occurrence vector, and the sum of the token's places in its pages. Token 0 stands for a page with any token."""
     sums: dict[tuple[str, int], list[int]] = {}
 
     def rows() -> pa.RecordBatch:
         hosts, tokens = [k[0] for k in sums], [k[1] for k in sums]
-        columns = [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4)]
+        columns = [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(5)]
         sums.clear()
         return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()), *columns],
-                                          names=["host", "token", "pages", "times", "one", "two"])
+                                          names=["host", "token", "pages", "times", "one", "two", "place"])
 
     for batch in batches:
         for host, page_hash, source in zip(*(c.to_pylist() for c in batch.columns)):
             one, two = page_hash & 0x7FFFFFFF, page_hash >> 32 & 0x7FFFFFFF
             found = parse(source).tokens
             counts: dict[int, int] = {0: 1} if found else {}
-            for token in found:
+            places: dict[int, int] = {}
+            for place, token in enumerate(found):
                 counts[token] = counts.get(token, 0) + 1
+                places[token] = places.get(token, 0) + place
             for token, n in counts.items():
                 s = sums.get((host, token))
                 if s is None:
-                    sums[host, token] = [1, n, n * one, n * two]
+                    sums[host, token] = [1, n, n * one, n * two, places.get(token, 0)]
                 else:
                     s[0] += 1
                     s[1] += n
                     s[2] += n * one
                     s[3] += n * two
+                    s[4] += places.get(token, 0)
             if len(sums) >= FLUSH:
                 yield rows()
     yield rows()
@@ -242,25 +252,75 @@ def _prepared(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens, nested) of the hosts with a template: the tokens of its root class
-    and those of the classes nested in it."""
+    """(host, tokens, nested, classes) of the hosts with a template: the tokens of its
+    root classes, those of the classes nested in them, and all classes, each with its
+    tokens in the order of their mean places (the order on every page, if there is one)."""
     tokens = (_prepared(pages).mapInArrow(_summed, "host string, token bigint, pages bigint, times bigint, one bigint, "
-                                                   "two bigint")
-              .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "one", "two")]))
+                                                   "two bigint, place bigint")
+              .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "one", "two", "place")]))
     tokens = written(tokens, "tokens")
     hosts = tokens.where(F.col("token") == 0).where(F.col("pages") >= MIN_PAGES).select("host", F.col("pages").alias("_all"))
     frequent = (tokens.where(F.col("token") != 0).where(F.col("pages") >= FREQUENT * MIN_PAGES).join(hosts, "host")
                 .where(F.col("pages") >= FREQUENT * F.col("_all")))
-    classes = (frequent.groupBy("host", "_all", "pages", "times", "one", "two")
-               .agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS))
-    root = (F.col("pages") == F.col("_all")) & (F.col("times") == F.col("pages"))
+    root = F.col("times") == F.col("pages")
+    placed = F.array_sort(F.collect_list(F.struct((F.col("place") / F.col("times")).alias("place"), "token")))
+    classes = (frequent.groupBy("host", "_all", "pages", "times", "one", "two").agg(placed.alias("_placed"))
+               .withColumn("tokens", F.transform("_placed", lambda t: t["token"]))
+               .where((F.size("tokens") >= LEAST_TOKENS) & (F.array_max("tokens") > 0)
+                      | root & (F.col("pages") >= ALONE * F.col("_all"))))
     either = lambda is_root: F.flatten(F.collect_list(F.when(is_root, F.col("tokens"))))
-    return classes.groupBy("host").agg(either(root).alias("tokens"), either(~root).alias("nested"))
+    return classes.groupBy("host").agg(either(root).alias("tokens"), either(~root).alias("nested"),
+                                       F.collect_list(F.struct(root.alias("root"), "tokens")).alias("classes"))
+
+
+class Template:
+    """The classes of a host: (whether of the root, tokens in order)."""
+
+    def __init__(self, classes: Iterable[tuple[bool, list[int]]] = ()):
+        self.classes = list(classes)
+        self.tokens = {t: (k, i) for k, (_, tokens) in enumerate(self.classes) for i, t in enumerate(tokens)}
+
+    def on(self, page: Page) -> tuple[frozenset[int], int]:
+        """Places in the page of the tokens that come in the order of their class, and
+        how many of them are of the root."""
+        met: dict[int, list[tuple[int, int]]] = {}
+        for place, token in enumerate(page.tokens):
+            if token in self.tokens:
+                k, i = self.tokens[token]
+                met.setdefault(k, []).append((i, place))
+        found, of_root = set(), 0
+        for k, came in met.items():
+            in_root, tokens = self.classes[k]
+            if in_root:
+                came = _in_order(came)
+                of_root += len(came)
+            elif any(i != n % len(tokens) for n, (i, _) in enumerate(came)):
+                continue
+            found.update(place for _, place in came)
+        return frozenset(found), of_root
+
+
+def _in_order(came: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of (place in the class, place in the page) that rises in both."""
+    if all(a[0] < b[0] for a, b in pairwise(came)):
+        return came
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    for n, (i, _) in enumerate(came):
+        at = bisect_left(ends, i)
+        before.append(last[at - 1] if at else -1)
+        ends[at:at + 1], last[at:at + 1] = [i], [n]
+    kept, n = [], last[-1]
+    while n >= 0:
+        kept.append(came[n])
+        n = before[n]
+    return kept[::-1]
 
 
 def _extracted(at: int, keep: int):
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
+        known: dict[str, Template] = {}
         for batch in batches:
             texts, slots = [], []
             hosts = batch.column(at + 1).to_pylist()
@@ -268,10 +328,11 @@ def _extracted(at: int, keep: int):
                 if hosts[i] not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[hosts[i]] = frozenset(batch.column(at + 2)[i].as_py() or ())
+                    known[hosts[i]] = Template((c["root"], c["tokens"]) for c in batch.column(at + 2)[i].as_py() or ())
                 page = parse(source.as_py())
-                texts.append(main_text(page, known[hosts[i]]))
-                slots.append(sum(t in known[hosts[i]] for t in page.tokens) + 1)
+                places, of_root = known[hosts[i]].on(page)
+                texts.append(main_text(page, places))
+                slots.append(of_root + 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.array(texts, pa.string()), pa.array(slots, pa.int64())],
                                              names=[*batch.schema.names[:keep], "text", "n_slots"])
 
@@ -286,13 +347,14 @@ def extract(pages: DataFrame, columns: tuple[str, ...] = ("page_id", "url")) ->
     such pages; repeated rows are pages of their own with equal texts; other columns are
     not read; an empty table gives no rows. The templates are broadcast if together
     they are within ``BROADCAST_BYTES``, and joined by host beyond that."""
-    found = written(templates(pages).select("host", "tokens"), "templates")
-    size = found.agg(F.coalesce(F.sum(8 * F.size("tokens") + 64), F.lit(0))).first()[0]
-    wanted = found.select(F.col("host").alias("_host"), "tokens")
+    found = written(templates(pages).select("host", "classes"), "templates")
+    held = F.aggregate("classes", F.lit(64), lambda n, c: n + 8 * F.size(c["tokens"]) + 32)
+    size = found.agg(F.coalesce(F.sum(held), F.lit(0))).first()[0]
+    wanted = found.select(F.col("host").alias("_host"), "classes")
     rows = pages.select(*columns, host_of(F.col("url")).alias("_of"), F.coalesce("html", F.lit("")).alias("_html"))
     joined = rows.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, F.col("_of") == F.col("_host"), "left")
     kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in columns)
-    return (joined.select(*columns, "_html", "_of", "tokens")
+    return (joined.select(*columns, "_html", "_of", "classes")
             .mapInArrow(_extracted(len(columns), len(columns)), f"{kinds}, text string, n_slots bigint")
             .withColumn("n_chars", F.length("text").cast("bigint")))
 

@@ -68,3 +68,21 @@ def test_equal_vectors_make_classes(spark):
     row = t.templates(spark.createDataFrame(rows, SCHEMA)).collect()[0]
     name = lambda *paths: {t._token(p) for p in paths}
     assert set(row.tokens) == name("/ul", "/ul>", "/p", "/p>") and set(row.nested) == name("/ul/li", "/ul/li>")
+
+
+def test_one_odd_page_leaves_the_template(spark):
+    body = "<html><body><nav><p>Menu</p></nav><article><p>Share this page</p><p>{}</p><ul>{}</ul></article></body></html>"
+    items = lambda i: f"<li class=r>Reply</li><li>item {i}</li>" * (1 + i % 3)
+    rows = [(i, f"http://h.org/{i}", body.format(f"long story number {i} about things", items(i))) for i in range(40)]
+    rows += [(99, "http://h.org/x", "<p>gone"), (98, "http://h.org/y", body.replace("Share this page", "").format("other", ""))]
+    got = {r.page_id: r for r in t.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[3].text == "long story number 3 about things item 3" and got[98].text == "other" and got[99].text == "gone" and got[99].n_slots == 1
+    assert got[3].n_slots > got[99].n_slots
+
+
+def test_classes_count_in_their_order_only():
+    template = t.Template([(True, [1, 2, -3]), (False, [4, -5])])
+    page = lambda *tokens: t.Page(list(tokens))
+    assert template.on(page(1, 4, -5, 9, 4, -5, 2, -3)) == (frozenset({0, 1, 2, 4, 5, 6, 7}), 3)
+    assert template.on(page(-3, 1, -5, 4, 2)) == (frozenset({1, 4}), 2)
+    assert template.on(page(7)) == (frozenset(), 0)
