@@ -16,9 +16,9 @@ token and task, not one per token of a page, so a host with most pages is no hot
 A page is then cut by its host's template into slots. A class must come in its order
 on the page, each time it comes; what is out of order is no template there. That tags
 nest needs no check, as a token's path names what it is in. Text blocks that are
-template tokens, of the root or of a nested class, are dropped as long as most of the
-page's text remains (pages of a host that are all copies have no template text to
-tell). Which of the slots are the article is told by tags: those under
+template tokens, of the root or of a nested class, are dropped on all pages of the host,
+unless it is a host of copies: at least ``FREQUENT`` of its pages have the same article
+blocks, so no text of a template can be told from theirs. Which of the slots are the article is told by tags: those under
 menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments are
 dropped by the kind of their enclosing tokens, and the article's slots are joined in
 page order. A host with fewer than ``MIN_PAGES`` pages has no template; its pages are
@@ -200,19 +200,21 @@ def parse(source: str) -> Page:
     return page
 
 
+def _chosen(page: Page) -> list[tuple[int, str, bool, bool, bool]]:
+    return [b for b in page.blocks if b[2]] or [b for b in page.blocks if b[3]] or [
+        b for b in page.blocks if not b[4]] or page.blocks
+
+
 def main_text(page: Page, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks: inside article elements, else inside main, else all that is
     not a list of links; without blocks at ``template``, the template's places in the page."""
-    blocks = [b for b in page.blocks if b[2]] or [b for b in page.blocks if b[3]] or [
-        b for b in page.blocks if not b[4]] or page.blocks
-    free = [b for b in blocks if b[0] not in template]
-    size = lambda some: sum(len(b[1]) for b in some)
-    return " ".join(b[1] for b in (free if 2 * size(free) >= size(blocks) else blocks))
+    return " ".join(b[1] for b in _chosen(page) if b[0] not in template)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per host and token: pages, occurrences, the two sums that stand for the
-    occurrence vector, and the sum of the token's places in its pages. Token 0 stands for a page with any token."""
+    occurrence vector, and the sum of the token's places in its pages. Token 0 stands for
+    a page with any token; a token that occurs 0 times stands for the pages' article blocks."""
     sums: dict[tuple[str, int], list[int]] = {}
 
     def rows() -> pa.RecordBatch:
@@ -225,12 +227,15 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for host, page_hash, source in zip(*(c.to_pylist() for c in batch.columns)):
             one, two = page_hash & 0x7FFFFFFF, page_hash >> 32 & 0x7FFFFFFF
-            found = parse(source).tokens
+            page = parse(source)
+            found = page.tokens
             counts: dict[int, int] = {0: 1} if found else {}
             places: dict[int, int] = {}
             for place, token in enumerate(found):
                 counts[token] = counts.get(token, 0) + 1
                 places[token] = places.get(token, 0) + place
+            if whole := " ".join(b[1] for b in _chosen(page)):
+                counts[-_token(f"page|{whole}")] = 0
             for token, n in counts.items():
                 s = sums.get((host, token))
                 if s is None:
@@ -252,15 +257,17 @@ def _prepared(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens, nested, classes) of the hosts with a template: the tokens of its
+    """(host, tokens, nested, classes, copies) of the hosts with a template: the tokens of its
     root classes, those of the classes nested in them, and all classes, each with its
-    tokens in the order of their mean places (the order on every page, if there is one)."""
+    tokens in the order of their mean places (the order on every page, if there is one); whether it is a host of copies."""
     tokens = (_prepared(pages).mapInArrow(_summed, "host string, token bigint, pages bigint, times bigint, one bigint, "
                                                    "two bigint, place bigint")
               .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "one", "two", "place")]))
     tokens = written(tokens, "tokens")
     hosts = tokens.where(F.col("token") == 0).where(F.col("pages") >= MIN_PAGES).select("host", F.col("pages").alias("_all"))
-    frequent = (tokens.where(F.col("token") != 0).where(F.col("pages") >= FREQUENT * MIN_PAGES).join(hosts, "host")
+    copies = (tokens.where("times = 0").where(F.col("pages") >= FREQUENT * MIN_PAGES).groupBy(F.col("host").alias("_of"))
+              .agg(F.max("pages").alias("_same")))
+    frequent = (tokens.where((F.col("token") != 0) & (F.col("times") > 0)).where(F.col("pages") >= FREQUENT * MIN_PAGES).join(hosts, "host")
                 .where(F.col("pages") >= FREQUENT * F.col("_all")))
     root = F.col("times") == F.col("pages")
     placed = F.array_sort(F.collect_list(F.struct((F.col("place") / F.col("times")).alias("place"), "token")))
@@ -269,8 +276,11 @@ def templates(pages: DataFrame) -> DataFrame:
                .where((F.size("tokens") >= LEAST_TOKENS) & (F.array_max("tokens") > 0)
                       | root & (F.col("pages") >= ALONE * F.col("_all"))))
     either = lambda is_root: F.flatten(F.collect_list(F.when(is_root, F.col("tokens"))))
-    return classes.groupBy("host").agg(either(root).alias("tokens"), either(~root).alias("nested"),
-                                       F.collect_list(F.struct(root.alias("root"), "tokens")).alias("classes"))
+    found = classes.groupBy("host", "_all").agg(either(root).alias("tokens"), either(~root).alias("nested"),
+                                                F.collect_list(F.struct(root.alias("root"), "tokens")).alias("classes"))
+    same = F.coalesce(F.col("_same") >= FREQUENT * F.col("_all"), F.lit(False))
+    return found.join(copies, F.col("host") == F.col("_of"), "left").select(
+        "host", "tokens", "nested", "classes", same.alias("copies"))
 
 
 class Template:
@@ -331,7 +341,7 @@ def _extracted(at: int, keep: int):
                     known[hosts[i]] = Template((c["root"], c["tokens"]) for c in batch.column(at + 2)[i].as_py() or ())
                 page = parse(source.as_py())
                 places, of_root = known[hosts[i]].on(page)
-                texts.append(main_text(page, places))
+                texts.append(main_text(page, frozenset() if batch.column(at + 3)[i].as_py() else places))
                 slots.append(of_root + 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.array(texts, pa.string()), pa.array(slots, pa.int64())],
                                              names=[*batch.schema.names[:keep], "text", "n_slots"])
@@ -347,14 +357,14 @@ def extract(pages: DataFrame, columns: tuple[str, ...] = ("page_id", "url")) ->
     such pages; repeated rows are pages of their own with equal texts; other columns are
     not read; an empty table gives no rows. The templates are broadcast if together
     they are within ``BROADCAST_BYTES``, and joined by host beyond that."""
-    found = written(templates(pages).select("host", "classes"), "templates")
+    found = written(templates(pages).select("host", "classes", "copies"), "templates")
     held = F.aggregate("classes", F.lit(64), lambda n, c: n + 8 * F.size(c["tokens"]) + 32)
     size = found.agg(F.coalesce(F.sum(held), F.lit(0))).first()[0]
-    wanted = found.select(F.col("host").alias("_host"), "classes")
+    wanted = found.select(F.col("host").alias("_host"), "classes", "copies")
     rows = pages.select(*columns, host_of(F.col("url")).alias("_of"), F.coalesce("html", F.lit("")).alias("_html"))
     joined = rows.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, F.col("_of") == F.col("_host"), "left")
     kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in columns)
-    return (joined.select(*columns, "_html", "_of", "classes")
+    return (joined.select(*columns, "_html", "_of", "classes", "copies")
             .mapInArrow(_extracted(len(columns), len(columns)), f"{kinds}, text string, n_slots bigint")
             .withColumn("n_chars", F.length("text").cast("bigint")))
 

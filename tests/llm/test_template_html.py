@@ -86,3 +86,13 @@ def test_classes_count_in_their_order_only():
     assert template.on(page(1, 4, -5, 9, 4, -5, 2, -3)) == (frozenset({0, 1, 2, 4, 5, 6, 7}), 3)
     assert template.on(page(-3, 1, -5, 4, 2)) == (frozenset({1, 4}), 2)
     assert template.on(page(7)) == (frozenset(), 0)
+
+
+def test_template_text_is_dropped_however_short_the_story(spark):
+    long = "a notice that all pages of this host repeat " * 20
+    body = f"<html><body><article><p>{long}</p><p>{{}}</p></article></body></html>"
+    rows = [(i, f"http://h.org/{i}", body.format(f"s{i}" if i % 2 else f"story {i} " * 300)) for i in range(30)]
+    rows += [(100 + i, f"http://copies.org/{i}", body.format("same" if i % 4 else f"other {i}")) for i in range(30)]
+    got = {r.page_id: r.text for r in t.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[3] == "s3" and got[2].split() == ["story", "2"] * 300
+    assert got[101].split() == [*long.split(), "same"] and got[100].split() == [*long.split(), "other", "0"]
