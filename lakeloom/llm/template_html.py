@@ -20,7 +20,9 @@ template tokens, of the root or of a nested class, are dropped on all pages of t
 unless it is a host of copies: at least ``FREQUENT`` of its pages have the same article
 blocks, so no text of a template can be told from theirs. Which of the slots are the article is told by tags: those under
 menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments are
-dropped by the kind of their enclosing tokens, and the article's slots are joined in
+dropped by the kind of their enclosing tokens. A class or id name only makes an element
+a suspect; it is dropped if it is in the template and holds no more than half of the
+page's words, and never for the name of an article or main element. Then the article's slots are joined in
 page order. A host with fewer than ``MIN_PAGES`` pages has no template; its pages are
 cut by their own tags alone."""
 
@@ -71,7 +73,7 @@ _APART = set("""nav header footer aside form script style noscript template ifra
     textarea dialog menu head title search""".split())
 _APART_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 _APART_NAMES = set("""ad ads advert adverts advertisement advertisements advertising adsense banner banners breadcrumb
-    breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu
+    breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr login masthead menu
     modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promotion
     promoted recommended related respond replies reply search share sharing sidebar signup skip social sponsor
     sponsored subscribe subscription toolbar widget widgets""".split())
@@ -91,33 +93,39 @@ class _Element:
     article: bool
     main: bool
     link: bool
+    suspects: tuple[int, ...] = ()
 
 
 @dataclass
 class Page:
     """``tokens`` in page order, those of text below zero; ``blocks``: (place in tokens, text, in an article, in
-    the main element, all in links) of the text that is not set apart."""
+    the main element, all in links, places of the suspects it is in: elements named
+    like something apart) of the text that is not set apart."""
 
     tokens: list[int] = field(default_factory=list)
-    blocks: list[tuple[int, str, bool, bool, bool]] = field(default_factory=list)
+    blocks: list[tuple[int, str, bool, bool, bool, tuple[int, ...]]] = field(default_factory=list)
 
 
 def _token(text: str) -> int:
     return xxhash.xxh64_intdigest(text) >> 1
 
 
-def _set_apart(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _set_apart(name: str, attributes: dict[str, str]) -> bool:
     if name in _APART or attributes.get("role", "").lower() in _APART_ROLES:
         return True
     if name in ("html", "body", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
-        return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I))
+
+
+def _suspect(name: str, named: str, in_article: bool) -> bool:
+    """Whether a class or id names an element like what is no part of an article."""
+    if name in ("html", "body", "main", "article"):
+        return False
     parts = {part.lower() for part in _NAME_PARTS.findall(named)}
-    return bool(parts & _APART_NAMES) or not in_article and name != "article" and bool(parts & _APART_OUTSIDE)
+    return bool(parts & _APART_NAMES) or not in_article and bool(parts & _APART_OUTSIDE)
 
 
 def parse(source: str) -> Page:
@@ -131,7 +139,7 @@ def parse(source: str) -> Page:
         if words:
             joined, top = " ".join(words), stack[-1]
             page.tokens.append(-_token(f"{top.path}|{joined}"))
-            page.blocks.append((len(page.tokens) - 1, joined, top.article, top.main, linked[0]))
+            page.blocks.append((len(page.tokens) - 1, joined, top.article, top.main, linked[0], top.suspects))
         text.clear()
         linked[0] = True
 
@@ -189,8 +197,15 @@ def parse(source: str) -> Page:
         page.tokens.append(_token(path))
         if name in _VOID:
             continue
-        apart = up.apart or _set_apart(name, found, up.article)
-        e = _Element(name, path, apart, up.article or name == "article", up.main or name == "main", up.link or name == "a")
+        apart = up.apart or _set_apart(name, found)
+        suspects = up.suspects
+        if not apart and _suspect(name, found.get("class", ""), up.article):
+            suspects += (len(page.tokens) - 1,)
+        elif not apart and _suspect(name, found.get("id", ""), up.article):
+            page.tokens.append(_token(f"{path}#{found['id']}"))  # a path has no ids
+            suspects += (len(page.tokens) - 1,)
+        e = _Element(name, path, apart, up.article or name == "article", up.main or name == "main", up.link or name == "a",
+                     suspects)
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
             at = end.start() if end else len(source)
@@ -200,15 +215,32 @@ def parse(source: str) -> Page:
     return page
 
 
-def _chosen(page: Page) -> list[tuple[int, str, bool, bool, bool]]:
-    return [b for b in page.blocks if b[2]] or [b for b in page.blocks if b[3]] or [
-        b for b in page.blocks if not b[4]] or page.blocks
+def _cleared(page: Page, template: frozenset[int] | None) -> list[tuple[int, str, bool, bool, bool, tuple[int, ...]]]:
+    """Blocks without those in suspects that stay so: not those with most of the page's
+    words and, on a host with a template, not those that the template does not have."""
+    if not any(b[5] for b in page.blocks):
+        return page.blocks
+    words: dict[int, int] = {}
+    total = 0
+    for b in page.blocks:
+        n = len(b[1].split())
+        total += n
+        for place in b[5]:
+            words[place] = words.get(place, 0) + n
+    apart = {place for place, n in words.items() if 2 * n <= total and (template is None or place in template)}
+    return [b for b in page.blocks if not apart.intersection(b[5])]
+
+
+def _chosen(blocks: list) -> list:
+    return [b for b in blocks if b[2]] or [b for b in blocks if b[3]] or [b for b in blocks if not b[4]] or blocks
 
 
-def main_text(page: Page, template: frozenset[int] = frozenset()) -> str:
+def main_text(page: Page, template: frozenset[int] | None = None, copies: bool = False) -> str:
     """The article's blocks: inside article elements, else inside main, else all that is
-    not a list of links; without blocks at ``template``, the template's places in the page."""
-    return " ".join(b[1] for b in _chosen(page) if b[0] not in template)
+    not a list of links; without blocks at ``template``, the template's places in the page,
+    unless the host is one of ``copies``. Without a template names alone are believed."""
+    dropped = template if template and not copies else ()
+    return " ".join(b[1] for b in _chosen(_cleared(page, template or None)) if b[0] not in dropped)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +266,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for place, token in enumerate(found):
                 counts[token] = counts.get(token, 0) + 1
                 places[token] = places.get(token, 0) + place
-            if whole := " ".join(b[1] for b in _chosen(page)):
+            if whole := " ".join(b[1] for b in _chosen(_cleared(page, None))):
                 counts[-_token(f"page|{whole}")] = 0
             for token, n in counts.items():
                 s = sums.get((host, token))
@@ -341,7 +373,7 @@ def _extracted(at: int, keep: int):
                     known[hosts[i]] = Template((c["root"], c["tokens"]) for c in batch.column(at + 2)[i].as_py() or ())
                 page = parse(source.as_py())
                 places, of_root = known[hosts[i]].on(page)
-                texts.append(main_text(page, frozenset() if batch.column(at + 3)[i].as_py() else places))
+                texts.append(main_text(page, places, bool(batch.column(at + 3)[i].as_py())))
                 slots.append(of_root + 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.array(texts, pa.string()), pa.array(slots, pa.int64())],
                                              names=[*batch.schema.names[:keep], "text", "n_slots"])

@@ -96,3 +96,21 @@ def test_template_text_is_dropped_however_short_the_story(spark):
     got = {r.page_id: r.text for r in t.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got[3] == "s3" and got[2].split() == ["story", "2"] * 300
     assert got[101].split() == [*long.split(), "same"] and got[100].split() == [*long.split(), "other", "0"]
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<article class='post tag-search'><p>a story</p></article><div class=ad>x</div>", "a story"),
+    ("<body><div class='category-social'><article><p>a b c</p></article></div><p>d</p>", "a b c"),
+    ("<div class='notice-board-story'><p>a long story</p></div><div class=notice>x</div>", "a long story"),
+    ("<article><div class='post-header'><h1>T</h1><p>lead</p></div><p>b</p></article>", "T lead b")])
+def test_names_do_not_take_the_story(source, text):
+    assert text_of(source) == text
+
+
+def test_names_need_the_template(spark):
+    body = ("<html><body><article><p>{}</p><section id='{}'><p>some work {}</p></section>"
+            "<div class=comments><p>nice {}</p></div></article></body></html>")
+    rows = [(i, f"http://h.org/{i}", body.format(f"a long story {i} about this and that", "related-work" if i == 3 else f"s{i}", i, i))
+            for i in range(30)]
+    got = {r.page_id: r.text for r in t.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[3] == "a long story 3 about this and that some work 3"
