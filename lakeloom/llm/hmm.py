@@ -77,18 +77,45 @@ class Vocabulary:
     total: int             # training tokens
 
 
-def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    # the most frequent words by sixteenths of an octave of their counts: as many of the
-    # upper steps as hold FREQUENT words at most
+def _most_frequent(counts: DataFrame) -> list:
+    """The ``FREQUENT`` most frequent words (all, if there are no more), by count and
+    word; of the words with the last count those with the smallest hashes.
+
+    Whole sixteenths of an octave of counts are taken first, then whole counts of the
+    step that is too large, then words of one count under a hash bound, so that no task
+    sends words that are not taken, but for some of the last."""
     step = F.floor(F.log2("c") * 16)
-    sizes = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True)
-    held, low = 0, None
-    for row in sizes:
-        held += row["n"]
-        if held > FREQUENT:
-            break
-        low = row["step"]
-    top = sorted(counts.where(step >= low).collect(), key=lambda r: (-r["c"], r["word"])) if low is not None else []
+    top, held = [], 0
+
+    def whole(sizes: list) -> tuple:
+        """Least level whose words all fit, and the level that is too large."""
+        nonlocal held
+        low = None
+        for level, n in sorted(sizes, reverse=True):
+            if held + n > FREQUENT:
+                return low, level
+            held, low = held + n, level
+        return low, None
+
+    low, over = whole([tuple(r) for r in counts.groupBy(step.alias("step")).agg(F.count("*")).collect()])
+    if low is not None:
+        top += counts.where(step >= low).collect()
+    if over is not None and held < FREQUENT:
+        inside = counts.where(step == over)
+        sizes = {r[0]: r[1] for r in inside.groupBy("c").agg(F.count("*")).collect()}
+        low, over = whole(list(sizes.items()))
+        if low is not None:
+            top += inside.where(F.col("c") >= low).collect()
+        if over is not None and held < FREQUENT:
+            place, need = F.pmod(F.xxhash64("word"), F.lit(1 << 31)), FREQUENT - held
+            bound = min(1.0, (1.5 * need + 100) / sizes[over])
+            top += (inside.where((F.col("c") == over) & (place < int(bound * (1 << 31)))).orderBy(place, "word")
+                    .limit(need).collect())
+    return sorted(top, key=lambda r: (-r["c"], r["word"]))
+
+
+def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
+    top = _most_frequent(counts)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, distinct = n + ends, v + (1 if ends else 0)
     denominator = total + SMOOTH * (distinct + 1)

@@ -85,3 +85,14 @@ def test_states_help_on_held_out_texts(spark, sf_dir):
     assert 0 < len(held) < len(got) / 5
     assert held.score.sum() > held.base_score.sum()
     assert (got.score < 0).all()
+
+
+@pytest.mark.parametrize("most,above", [(5, 3), (13, 3), (2, 0), (100, 16)])
+def test_vocabulary_is_filled_up(spark, monkeypatch, most, above):
+    monkeypatch.setattr(hmm, "FREQUENT", most)
+    rows = [(f"many{k}".encode(), 10_000 + k) for k in range(3)] + [(f"few{k}".encode(), 2) for k in range(500)]
+    counts = spark.createDataFrame(rows if most < 100 else rows[:16], "word binary, c bigint")
+    words = hmm.vocabulary(counts, 7).words
+    assert len(words) == len(set(words)) == min(most, counts.count())
+    assert set(words) >= {w for w, _ in rows[:above]} and hmm.vocabulary(counts, 7).words == words
+    assert most > 2 or words == (b"many2", b"many1")
