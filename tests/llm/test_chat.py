@@ -63,3 +63,18 @@ def test_whole_table(spark, sf_dir):
             .select("conv_id", "turn", "role", "text").collect()]
     assert whole(chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet")).collect()) == brute(rows)
     assert set(check_sql()) <= set(QUERIES)
+
+
+def test_copies_are_rendered_in_their_place(spark, tmp_path):
+    rows = [(1, 0, "ann", "first"), (1, 2, "bob", "last")] + [(1, 1, "bob", "ok")] * 100 + [(1, 1, "bob", f"m{k:02}") for k in range(40)]
+    rows += [(None, None, "ann", "hi")] * 3
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    said = lambda out, conv: [m.content for r in sorted(out, key=lambda r: (r.part, r.piece))
+                              if (r.conv_id, r.speaker) == (conv, "ann") for m in r.messages for _ in range(m.times)]
+    out = chat.rotate(frame, copies=True).collect()
+    assert said(out, 1) == ["first", *(f"m{k:02}" for k in range(40)), *["ok"] * 100, "last"] and said(out, None) == ["hi"] * 3
+    assert all(sum(m.times for m in r.messages) <= chat.PART == 64 for r in out)
+    assert sum(r.text.count("ok<|im_end|>") for r in out if r.speaker == "ann") == 100
+    frame.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op6_chat_rotation"](spark, str(tmp_path)).collect()
+    assert sum(r.n_messages for r in got if r.conv_id == 1) == 2 * 142 and [r.n_messages for r in got if r.conv_id is None] == [3]
