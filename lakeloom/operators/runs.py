@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import ratio
+from lakeloom.operators.ranking import group_median
 
 
 def _measured(df: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def run_summary(df: DataFrame) -> DataFrame:
     ok_time = F.round(F.sum(F.when(ok, t)), 6)
     zero = F.lit(0).cast("bigint")
     measured = _measured(df)
-    # one pass; run records are few (queries x runs), so the exact median is kept by Spark
+    # one pass for the totals; the median from counts per distinct time
     totals = measured.groupBy("engine").agg(
         F.count(F.lit(1)).alias("total_queries"),
         F.count_if(ok).alias("success_count"),
@@ -30,9 +31,11 @@ def run_summary(df: DataFrame) -> DataFrame:
         F.round(F.coalesce(ratio(F.count_if(ok), ok_time), F.lit(0.0)), 6).alias("avg_throughput_qps"),
         F.coalesce(F.max(F.when(ok, F.col("peak_memory_bytes"))), zero).alias("max_peak_memory_bytes"),
         F.coalesce(F.sum(F.when(ok, F.col("spill_bytes"))), zero).alias("total_spill_bytes"),
-        F.coalesce(F.sum(F.when(ok, F.col("cpu_time_millis"))), zero).alias("total_cpu_time_millis"),
-        F.round(F.coalesce(F.median(F.when(ok, t)), F.lit(0.0)), 3).alias("median_query_time_seconds"))
-    return totals
+        F.coalesce(F.sum(F.when(ok, F.col("cpu_time_millis"))), zero).alias("total_cpu_time_millis"))
+    medians = group_median(measured.filter(ok), ["engine"], "query_time_seconds", "_median").withColumnRenamed(
+        "engine", "_engine")
+    return (totals.join(medians, F.col("engine").eqNullSafe(F.col("_engine")), "left")
+            .withColumn("median_query_time_seconds", F.round(F.coalesce("_median", F.lit(0.0)), 3)).drop("_engine", "_median"))
 
 
 def _per_engine(df: DataFrame, value: Column, first: str, second: str, prefix: str):

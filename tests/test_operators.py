@@ -191,6 +191,15 @@ def test_runs(spark):
     assert (none.median_query_time_seconds, none.avg_throughput_qps, none.max_peak_memory_bytes) == (0.0, 0.0, 0)
 
 
+def test_run_medians_are_taken_from_counts(spark):
+    df = spark.range(1001).selectExpr(
+        "if(id % 2 = 0, 'a', null) AS engine", "'measured' AS run_type", "if(id = 0, 'failed', 'success') AS status",
+        "id * 0.25D AS query_time_seconds", "1L AS peak_memory_bytes", "1L AS spill_bytes", "1L AS cpu_time_millis")
+    out = runs.run_summary(df)
+    assert {r.engine: r.median_query_time_seconds for r in out.collect()} == {"a": 125.25, None: 125.0}
+    assert "median(" not in out._jdf.queryExecution().analyzed().toString().lower()
+
+
 def test_event_log(spark, tmp_path):
     (tmp_path / "log").write_text("\n".join([
         '{"Event":"SparkListenerJobStart","Job ID":0}',
