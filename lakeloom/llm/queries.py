@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.llm.alignment import op13_alignment
 from lakeloom.llm.chat import OP6_SQL, op6_chat_rotation
 from lakeloom.llm.circulant import op9_minhash
 from lakeloom.llm.decision_list import op5_quality_rules
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_template_html": op8_template_html,
     "op9_minhash": op9_minhash,
     "op10_token_counts": op10_token_counts,
+    "op13_alignment": op13_alignment,
 }
 
 
