@@ -25,4 +25,4 @@ def test_native_queries_run_no_python(spark, sf_dir, name):
 def test_all_are_registered():
     named = entry_point.queries()
     assert set(QUERIES) <= set(named) and "pipeline" in named
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
