@@ -37,8 +37,8 @@ POSITIVES = 5
 NEGATIVES = 3
 SAMPLE = 4096
 FAN = 8
-LEAF = 512              # rows of a leaf that the tree aims at
-BLOCK = 1024            # rows of a leaf searched at once
+LEAF = 2048             # rows of a leaf that the tree aims at
+BLOCK = 2048            # rows of a leaf searched at once
 ANCHORS = 256           # anchors that search a block at once
 LARGEST = 1 << 25       # components from here on take no part: scores must fit a long
 
@@ -83,8 +83,9 @@ class Tree:
     def grow(self, x: np.ndarray, weight: float, leaf: int = LEAF) -> int:
         """Node or leaf over sample rows ``x``, of which each stands for ``weight`` rows."""
         if len(x) * weight > leaf and len(x) > 2 * FAN:
+            fan = min(FAN, max(2, round(len(x) * weight / leaf)))
             chosen, near = [0], _distances(x, x[:1])[:, 0]
-            while len(chosen) < FAN and near.max() > 0:
+            while len(chosen) < fan and near.max() > 0:
                 chosen.append(int(near.argmax()))
                 near = np.minimum(near, _distances(x, x[chosen[-1:]])[:, 0])
             if len(chosen) > 1:
@@ -164,21 +165,30 @@ def _placer(shared):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value.trees
         for batch in batches:
-            leaf = np.zeros(batch.num_rows, np.int64)
+            leaf, size_of, packed = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int32), [b""] * batch.num_rows
             for size, at, v in _by_size(batch, 3):
+                size_of[at] = size
+                for i, one in zip(at, v.astype(np.int32)):
+                    packed[i] = one.tobytes()
                 if size in trees:
                     leaf[at] = trees[size].place(trees[size].lift(v))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary()), pa.array(size_of), pa.array(leaf)],
+                                             names=["row", "vec_id", "label", "v", "size", "leaf"])
 
     return place
 
 
+def _unpacked(vectors: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors.to_pylist()), np.int32).reshape(len(vectors), size)
+
+
 def _ranger(shared):
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Smallest and largest distance per (size, node, split point, child)."""
         trees, found = shared.value.trees, {}
         for batch in batches:
-            for size, _, v in _by_size(batch, 0):
+            size_of = np.asarray(batch.column(0))
+            for size in map(int, np.unique(size_of)):
                 def seen(node, away, child, size=size):
                     k = away.shape[1]
                     low, high = found.setdefault((size, node), (np.full((k, k), np.inf), np.full((k, k), -np.inf)))
@@ -188,6 +198,7 @@ def _ranger(shared):
                         high[:, j] = np.maximum(high[:, j], part.max(axis=0))
 
                 if size in trees:
+                    v = _unpacked(batch.column(1).take(pa.array(np.flatnonzero(size_of == size))), size)
                     trees[size].place(trees[size].lift(v), seen)
         rows = [(size, node, i, j, low[i, j], high[i, j]) for (size, node), (low, high) in found.items()
                 for i in range(len(low)) for j in range(len(low)) if low[i, j] <= high[i, j]]
@@ -222,11 +233,11 @@ def build_index(rows: DataFrame, sample: int = SAMPLE, leaf: int = LEAF) -> tupl
             tree.grow(tree.lift(v), stats[size][1] / len(v), leaf)
             index.trees[size] = tree
     placed = written(kept.mapInArrow(_placer(spark.sparkContext.broadcast(index)),
-                                     "row bigint, vec_id bigint, label bigint, v array<bigint>, leaf bigint"), "placed")
+                                     "row bigint, vec_id bigint, label bigint, v binary, size int, leaf bigint"), "placed")
     for tree in index.trees.values():
         tree.low = [np.full((len(p), len(p)), np.inf) for p, _ in tree.nodes]
         tree.high = [np.full((len(p), len(p)), -np.inf) for p, _ in tree.nodes]
-    ranges = (placed.select("v").mapInArrow(_ranger(spark.sparkContext.broadcast(index)),
+    ranges = (placed.select("size", "v").mapInArrow(_ranger(spark.sparkContext.broadcast(index)),
                                             "size int, node int, point int, child int, low double, high double")
               .groupBy("size", "node", "point", "child").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     for r in ranges.collect():    # at most FAN for each row of the sample
@@ -237,9 +248,6 @@ def build_index(rows: DataFrame, sample: int = SAMPLE, leaf: int = LEAF) -> tupl
 
 def _best(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the ``k`` best allowed scores of each row, ties by column."""
-    scores = np.where(allowed, scores, -np.inf)
-    if scores.shape[1] > k:
-        allowed = allowed & (scores >= np.partition(scores, -k, axis=1)[:, -k, None])
     row, column = np.nonzero(allowed)
     order = np.lexsort((column, -scores[row, column], row))
     row, column = row[order], column[order]
@@ -253,13 +261,14 @@ def _within(scores: np.ndarray, positive: np.ndarray) -> np.ndarray:
 
 def _targets(shared):
     """From rows (row, vec_id, label, v, scores): leaves to search per anchor. No scores:
-    the positives; else the windows of these positive scores, numbered from 0."""
+    the positives; else the windows of these positive scores, numbered from 0. A window
+    comes with the smallest score that can still be among the best."""
     def targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             row, label = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             listed = batch.column(4).to_pylist()
-            at_all, leaf_all, windows = [], [], []
+            at_all, leaf_all, windows, bounds, packed, sizes = [], [], [], [], [], []
             for size, at, v in _by_size(batch, 3):
                 known_row, known_label, known = index.sample.get(size, (row[:0], label[:0], v[:0]))
                 tree = index.trees.get(size)
@@ -290,14 +299,21 @@ def _targets(shared):
                         query, leaf = tree.reached(tree.lift_query(q)[which], inner, outer)
                     # one row per anchor and leaf, with the numbers of the windows
                     order = np.lexsort((number[query], leaf, which[query]))
-                    who, leaf, number = which[query][order], leaf[order], number[query][order]
+                    who, leaf, number, least = which[query][order], leaf[order], number[query][order], least[query][order]
                     new = np.flatnonzero(np.diff(who, prepend=-1) | np.diff(leaf, prepend=-1))
                     at_all.extend(some[who[new]].tolist())
                     leaf_all.extend(leaf[new].tolist())
-                    windows.extend(x.tolist() for x in np.split(number, new[1:])) if len(new) else None
+                    raw = [x.tobytes() for x in v[begin:begin + ANCHORS].astype(np.int32)]
+                    packed.extend(raw[i] for i in who[new])
+                    sizes.extend([size] * len(new))
+                    for x, y in zip(new.tolist(), [*new[1:].tolist(), len(who)]):
+                        windows.append(number[x:y])
+                        bounds.append(least[x:y])
             part = batch.take(pa.array(at_all, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(leaf_all, pa.int64()), pa.array(windows, pa.list_(pa.int64()))],
-                                             names=[*batch.schema.names, "leaf", "windows"])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(packed, pa.binary()), part.column(4), pa.array(sizes, pa.int32()), pa.array(leaf_all, pa.int64()),
+                 pa.array(windows, pa.list_(pa.int64())), pa.array(bounds, pa.list_(pa.float64()))],
+                names=["row", "vec_id", "label", "v", "scores", "size", "leaf", "windows", "bounds"])
 
     return targets
 
@@ -306,25 +322,30 @@ def _searcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of one block of a leaf and the anchors that search it: the best rows
     per anchor and window."""
     keys = ["size", "leaf", "block", "part"]
-    for _, group in runs_of(batches, keys):
+    for key, group in runs_of(batches, keys):
         is_anchor = np.asarray(group.column("anchor"))
         split = int(is_anchor.sum())
         if not split or split == group.num_rows:
             continue
         asks, has = group.slice(group.num_rows - split), group.slice(0, group.num_rows - split)
-        v = [np.array(x.column("v").combine_chunks().flatten(), np.float64).reshape(x.num_rows, -1) for x in (asks, has)]
-        scores = v[0] @ v[1].T
+        asked, held = (_unpacked(x.column("v"), key[0]).astype(np.float64) for x in (asks, has))
+        scores = asked @ held.T
         row_a, row_b, label_a, label_b = (np.asarray(x.column(c)) for c in ("row", "label") for x in (asks, has))
         same = label_a[:, None] == label_b[None, :]
         positives, windows = asks.column("scores").to_pylist(), asks.column("windows").to_pylist()
+        which = np.repeat(np.arange(split), [len(w) for w in windows])
+        number = np.array([n for w in windows for n in w], np.int64)
+        least = np.array([x for w in asks.column("bounds").to_pylist() for x in w])
+        near = scores[which] >= least[:, None]
         if positives[0] is None:
-            which, number = np.arange(split), np.zeros(split, np.int64)
-            one, two = _best(scores, same & (row_a[:, None] != row_b[None, :]), POSITIVES)
+            one, two = _best(scores, near & same & (row_a[:, None] != row_b[None, :]), POSITIVES)
         else:
-            which = np.repeat(np.arange(split), [len(w) for w in windows])
-            number = np.array([n for w in windows for n in w], np.int64)
-            positive = np.array([p[n] for p, w in zip(positives, windows) for n in w], np.float64)
-            one, two = _best(scores[which], ~same[which] & _within(scores[which], positive[:, None]), NEGATIVES)
+            positive = np.array([p[n] for p, w in zip(positives, windows) for n in w], np.float64)[:, None]
+            row, column = np.nonzero(near & (scores[which] * 100 <= 95 * positive))
+            fits = ~same[which[row], column] & (scores[which[row], column] * 100 >= 50 * positive[row, 0])
+            allowed = np.zeros(near.shape, bool)
+            allowed[row[fits], column[fits]] = True
+            one, two = _best(scores[which], allowed, NEGATIVES)
         yield pa.RecordBatch.from_arrays(
             [pa.array(row_a[which[one]]), pa.array(number[one]), pa.array(scores[which[one], two].astype(np.int64)),
              has.column("vec_id").combine_chunks().take(pa.array(two)), pa.array(row_b[two])],
@@ -335,13 +356,12 @@ def search(placed: DataFrame, index: Index, anchors: DataFrame, k: int, name: st
     """(row, number, rank, score, found_id, found_row): the ``k`` best of each window of
     ``anchors`` (row, vec_id, label, v, scores)."""
     shared = placed.sparkSession.sparkContext.broadcast(index)
-    asked = written(anchors.mapInArrow(_targets(shared), "row bigint, vec_id bigint, label bigint, v array<bigint>, "
-                    "scores array<bigint>, leaf bigint, windows array<bigint>"), f"{name}_asked").withColumn("size", F.size("v"))
-    held = placed.withColumn("size", F.size("v"))
-    blocks = held.groupBy("size", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    asked = written(anchors.mapInArrow(_targets(shared), "row bigint, vec_id bigint, label bigint, v binary, scores array<bigint>, "
+                                       "size int, leaf bigint, windows array<bigint>, bounds array<double>"), f"{name}_asked")
+    blocks = placed.groupBy("size", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     parts = asked.groupBy("size", "leaf").agg(F.ceil(F.count("*") / ANCHORS).alias("parts"))
     shape = written(blocks.join(parts, ["size", "leaf"]), f"{name}_shape")
-    columns = ["size", "leaf", "block", "part", "anchor", "row", "vec_id", "label", "v", "scores", "windows"]
+    columns = ["size", "leaf", "block", "part", "anchor", "row", "vec_id", "label", "v", "scores", "windows", "bounds"]
     nothing = F.lit(None).cast("array<bigint>")
 
     def every(n: str) -> Column:
@@ -350,8 +370,9 @@ def search(placed: DataFrame, index: Index, anchors: DataFrame, k: int, name: st
     def own(n: str) -> Column:
         return F.pmod(F.xxhash64("row"), F.col(n))
 
-    dealt = (held.join(shape, ["size", "leaf"]).withColumn("block", own("blocks")).withColumn("part", every("parts"))
-             .withColumn("anchor", F.lit(0)).withColumn("scores", nothing).withColumn("windows", nothing).select(columns)
+    dealt = (placed.join(shape, ["size", "leaf"]).withColumn("block", own("blocks")).withColumn("part", every("parts"))
+             .withColumn("anchor", F.lit(0)).withColumn("scores", nothing).withColumn("windows", nothing)
+             .withColumn("bounds", F.lit(None).cast("array<double>")).select(columns)
              .unionByName(asked.join(shape, ["size", "leaf"]).withColumn("part", own("parts")).withColumn("block", every("blocks"))
                           .withColumn("anchor", F.lit(1)).select(columns)))
     found = (dealt.repartition("size", "leaf", "block", "part")
