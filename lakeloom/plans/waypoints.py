@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
 from lakeloom.streaming import gps
-from lakeloom.streaming.kalman import kalman_smooth
+from lakeloom.streaming.kalman import kalman_smooth, rts_smooth
 
 
 def routes(s: Star):
@@ -98,7 +98,7 @@ def gps_retain_latest(s: Star):
 
 
 # row after row of each vehicle
-@query("kalman_smooth", """
+_FILTER = """
 WITH RECURSIVE p AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS vehicle, ts, CASE WHEN event_type <> 'error' THEN value END AS x,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS y, epoch_us(ts) / 1e6 AS t,
@@ -123,14 +123,49 @@ k AS (
       k.sx + (n.t - k.t) * k.vx AS px, k.sy + (n.t - k.t) * k.vy AS py,
       k.a + (n.t - k.t) * (2 * k.b + (n.t - k.t) * k.c) + 1e-3 * (n.t - k.t) * (n.t - k.t) * (n.t - k.t) / 3 AS pa,
       k.b + (n.t - k.t) * k.c + 1e-3 * (n.t - k.t) * (n.t - k.t) / 2 AS pb, k.c + 1e-3 * (n.t - k.t) AS pc
-    FROM k JOIN p n ON n.vehicle = k.vehicle AND n.rn = k.rn + 1))
+    FROM k JOIN p n ON n.vehicle = k.vehicle AND n.rn = k.rn + 1))"""
+
+
+def _tracks(s: Star):
+    return waypoints(s).select("event_id", "vehicle", "ts", F.col("speed").alias("x"), F.col("heading").alias("y"))
+
+
+def _shown(out):
+    names = ("x_smooth", "y_smooth", "vx", "vy")
+    return out.select("event_id", "vehicle", "ts", "x", "y", *[F.round(F.nullif(F.col(c), F.lit(float("nan"))), 4).alias(c) for c in names])
+
+
+@query("kalman_smooth", _FILTER + """
 SELECT event_id, vehicle, ts, x, y, round(sx, 4) AS x_smooth, round(sy, 4) AS y_smooth, round(vx, 4) AS vx, round(vy, 4) AS vy FROM k
 """, star=False)
 def smoothed(s: Star):
-    tracks = waypoints(s).select("event_id", "vehicle", "ts", F.col("speed").alias("x"), F.col("heading").alias("y"))
-    out = kalman_smooth(tracks, ts="ts", tie="event_id", slice_seconds=86400)
-    names = ("x_smooth", "y_smooth", "vx", "vy")
-    return out.withColumns({c: F.round(F.nullif(F.col(c), F.lit(float("nan"))), 4) for c in names})
+    return _shown(kalman_smooth(_tracks(s), ts="ts", tie="event_id", slice_seconds=86400))
+
+
+# from the last row of each vehicle back: the mean of a row moves towards what the next
+# row's smoothed mean says, by covariance(row, next) / variance(next as foreseen)
+@query("kalman_rts", _FILTER + """,
+n AS (
+  SELECT k.*, lead(t) OVER (PARTITION BY vehicle ORDER BY rn) - t AS dt, count(*) OVER (PARTITION BY vehicle) AS n FROM k),
+f AS (
+  SELECT *, a + 2 * dt * b + dt * dt * c + 1e-3 * dt * dt * dt / 3 AS qa, b + dt * c + 1e-3 * dt * dt / 2 AS qb, c + 1e-3 * dt AS qc,
+         a + dt * b AS ca, b AS cb, b + dt * c AS cc, c AS cd FROM n),
+g AS (
+  SELECT *, (ca * qc - cb * qb) / (qa * qc - qb * qb) AS g11, (cb * qa - ca * qb) / (qa * qc - qb * qb) AS g12,
+         (cc * qc - cd * qb) / (qa * qc - qb * qb) AS g21, (cd * qa - cc * qb) / (qa * qc - qb * qb) AS g22 FROM f),
+r AS (
+  SELECT event_id, vehicle, ts, x, y, rn, sx AS rx, sy AS ry, vx AS rvx, vy AS rvy FROM g WHERE rn = n
+  UNION ALL
+  SELECT g.event_id, g.vehicle, g.ts, g.x, g.y, g.rn,
+    CASE WHEN begun THEN sx + g11 * (rx - sx - dt * vx) + g12 * (rvx - vx) ELSE sx END,
+    CASE WHEN begun THEN sy + g11 * (ry - sy - dt * vy) + g12 * (rvy - vy) ELSE sy END,
+    CASE WHEN begun THEN vx + g21 * (rx - sx - dt * vx) + g22 * (rvx - vx) END,
+    CASE WHEN begun THEN vy + g21 * (ry - sy - dt * vy) + g22 * (rvy - vy) END
+  FROM r JOIN g ON g.vehicle = r.vehicle AND g.rn = r.rn - 1)
+SELECT event_id, vehicle, ts, x, y, round(rx, 4) AS x_smooth, round(ry, 4) AS y_smooth, round(rvx, 4) AS vx, round(rvy, 4) AS vy FROM r
+""", star=False)
+def smoothed_both_ways(s: Star):
+    return _shown(rts_smooth(_tracks(s), ts="ts", tie="event_id", slice_seconds=86400))
 
 
 _DENSITY = GPS_SQL + """,

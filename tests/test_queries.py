@@ -17,7 +17,7 @@ def con(sf_dir):
 
 
 # The only plans with Python in a task.
-PYTHON = {"kalman_smooth"}
+PYTHON = {"kalman_smooth", "kalman_rts"}
 
 
 def check_shape(df, name):
