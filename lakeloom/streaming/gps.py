@@ -65,7 +65,7 @@ def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000.0)
 
 
-def _last_sessions(slots: DataFrame, keys: list[str], ttl: int) -> DataFrame:
+def last_sessions(slots: DataFrame, keys: list[str], ttl: int) -> DataFrame:
     """Slots since the last silence of at least ``ttl``. There is one row per key
     and ttl-long slot, so a window holds as many rows as there are slots."""
     w = Window.partitionBy(*keys).orderBy("_slot")
@@ -99,7 +99,7 @@ def latest_state(df: DataFrame, key: str, ts: str, fields: Sequence[str], tie: s
     known = df.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != UNKNOWN))
     slots = known.groupBy(key, _slot(ts, ttl)).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), *[last_set(f).alias(f) for f in fields])
-    live = _last_sessions(slots, [key], ttl)
+    live = last_sessions(slots, [key], ttl)
     state = live.groupBy(key).agg(F.max("_last").alias("last_seen"), *[F.max(f).alias(f) for f in fields])
     alive = _seconds(_as_of(df, ts, as_of)) - _seconds(F.col("last_seen")) < ttl
     return state.filter(alive).select(key, "last_seen", *[F.col(f)["_v"].alias(f) for f in fields])
@@ -118,9 +118,15 @@ def active_routes(df: DataFrame, ts: str, route: str = "route_no", ttl: int = ST
     if mode != "set":
         raise ValueError(f"unknown mode: {mode}")
     per_route = mapped.groupBy(route, _slot(ts, ttl)).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    return routes_of_last_session(per_route, route, now, ttl)
+
+
+def routes_of_last_session(per_route: DataFrame, route: str, now: Column, ttl: int) -> DataFrame:
+    """Routes heard of since the last silence of all routes together, unless that was
+    ``ttl`` ago at ``now``; from rows (route, _slot, _first, _last)."""
     slots = (per_route.groupBy("_slot").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
              .withColumn("_all", F.lit(1)))
-    live = _last_sessions(slots, ["_all"], ttl)
+    live = last_sessions(slots, ["_all"], ttl)
     bounds = live.agg(F.min("_first").alias("a"), F.max("_last").alias("b"))
     start, end = bounds.select("a").scalar(), bounds.select("b").scalar()
     return (per_route.filter((F.col("_last") >= start) & (now - _seconds(end) < ttl))

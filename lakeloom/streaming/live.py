@@ -39,19 +39,19 @@ def expiring_state(stream: DataFrame, key: str, ts: str, fields: Sequence[str],
              .withWatermark("_ts", delay))
     out = T.StructType([T.StructField(key, T.StringType()), T.StructField("last_seen", T.TimestampType()),
                         T.StructField("expired", T.BooleanType())] + [T.StructField(f, T.StringType()) for f in fields])
-    state = T.StructType([T.StructField("first_ms", T.LongType()), T.StructField("last_ms", T.LongType())] + [
-        T.StructField(n, t) for f in fields for n, t in ((f, T.StringType()), (f + "_ms", T.LongType()))])
-    life = ttl * 1000
+    state = T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())] + [
+        T.StructField(n, t) for f in fields for n, t in ((f, T.StringType()), (f + "_us", T.LongType()))])
+    life = ttl * 1_000_000
 
-    def row(name: str, last_ms: int, expired: bool, values: Sequence) -> pd.DataFrame:
-        data = {key: [name], "last_seen": [pd.Timestamp(last_ms, unit="ms")], "expired": [expired]}
+    def row(name: str, last_us: int, expired: bool, values: Sequence) -> pd.DataFrame:
+        data = {key: [name], "last_seen": [pd.Timestamp(last_us, unit="us")], "expired": [expired]}
         return pd.DataFrame(data | {f: [v] for f, v in zip(fields, values)})
 
     def last_session(pdf: pd.DataFrame) -> pd.DataFrame:
         """Rows of one batch since its last silence, in order of time."""
-        ms = pdf["_ts"].astype("datetime64[ms]").astype("int64")
-        pdf = pdf.assign(_ms=ms).sort_values("_ms", kind="stable")
-        silent = (pdf["_ms"].diff() >= life).to_numpy()
+        us = pdf["_ts"].astype("datetime64[us]").astype("int64")
+        pdf = pdf.assign(_us=us).sort_values("_us", kind="stable")
+        silent = (pdf["_us"].diff() >= life).to_numpy()
         return pdf.iloc[int(silent.nonzero()[0][-1]) if silent.any() else 0:]
 
     def update(k: tuple[Any, ...], batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
@@ -64,18 +64,18 @@ def expiring_state(stream: DataFrame, key: str, ts: str, fields: Sequence[str],
         now = {f: (rest[2 * i], rest[2 * i + 1]) for i, f in enumerate(fields)}
         for pdf in batches:
             if last is not None:  # what the held session connects with may be on either side
-                pdf = pd.concat([pdf, pd.DataFrame({"_ts": pd.to_datetime([first, last], unit="ms")})])
+                pdf = pd.concat([pdf, pd.DataFrame({"_ts": pd.to_datetime([first, last], unit="us")})])
             rows = last_session(pdf)
-            start, end = int(rows["_ms"].iloc[0]), int(rows["_ms"].iloc[-1])
+            start, end = int(rows["_us"].iloc[0]), int(rows["_us"].iloc[-1])
             if last is not None and start > last:
                 now = {f: (None, None) for f in fields}  # silence since the held session
             first, last = start, end
             for f in fields:
                 told = rows[rows[f].notna()]
-                if len(told) and (now[f][1] is None or told["_ms"].iloc[-1] >= now[f][1]):
-                    now[f] = (str(told[f].iloc[-1]), int(told["_ms"].iloc[-1]))
+                if len(told) and (now[f][1] is None or told["_us"].iloc[-1] >= now[f][1]):
+                    now[f] = (str(told[f].iloc[-1]), int(told["_us"].iloc[-1]))
         held.update((first, last, *[x for f in fields for x in now[f]]))
-        held.setTimeoutTimestamp(max(last + life, held.getCurrentWatermarkMs() + 1))
+        held.setTimeoutTimestamp(max(-(-(last + life) // 1000), held.getCurrentWatermarkMs() + 1))
         yield row(k[0], last, False, [now[f][0] for f in fields])
 
     return known.groupBy(key).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.EventTimeTimeout)
