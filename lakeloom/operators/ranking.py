@@ -8,16 +8,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeloom.sources.frames import written_once
+
 
 def _directed(name: str, ascending: bool):
     c = F.col(name)
     return c.asc_nulls_last() if ascending else c.desc_nulls_last()
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+    """All rows with their number in ``order``, from 1 on, as ``row_number()`` over one
+    window would give them, for any type of values and any number of equal ones.
+
+    Rows are sorted in ranges; equal rows are told apart by a hash and a number of their
+    own, so a value that many rows share is cut as well. The number of a row is its place
+    in its range plus the rows of the ranges before, of which there are as many as shuffle
+    partitions. The rows are written once; among equal ones the numbering is arbitrary."""
+    spark = df.sparkSession
+    own = df.withColumns({"_spread": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "_own": F.monotonically_increasing_id()})
+    by = [*order, F.desc("_spread"), F.desc("_own")]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_ = (own.repartitionByRange(ranges, *by).sortWithinPartitions(*by).drop("_spread", "_own")
+               .withColumns({"_range": F.spark_partition_id(), "_place": place}))
+    held = written_once(sorted_, "numbered")
+    before, offsets = 0, []
+    for row in held.groupBy("_range").count().orderBy("_range").collect():
+        offsets.append((row["_range"], before))
+        before += row["count"]
+    starts = spark.createDataFrame(offsets, "_range int, _before bigint")
+    return (held.join(starts, "_range").withColumn(name, F.col("_before") + F.col("_place") + 1)
+            .drop("_range", "_place", "_before"))
+
+
 def top_ranked(df: DataFrame, partition: Sequence[str], value: str, k: int,
                ascending: bool = False, name: str = "rnk") -> DataFrame:
     """All rows with rank() <= k in their group, ties included.

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom.operators.conform import latest_by_key
+from lakeloom.operators.ranking import numbered
 from lakeloom.schemas import GPS_PAYLOAD_TEXT
+from lakeloom.sources.frames import written_once
 
 # Default label, time format, state lifetime and log length.
 UNKNOWN = "Unknown"
@@ -136,58 +138,43 @@ def routes_of_last_session(per_route: DataFrame, route: str, now: Column, ttl: i
 def retain_latest(df: DataFrame, ts: str, n: int = LOG_LENGTH, tie: str | None = None) -> DataFrame:
     """The newest ``n`` rows, exactly; rows without a time are the oldest.
 
-    The cut is found from counts, level by level: hour, second, then the time itself
-    (at most a million of them in a second). Rows newer than the cut are kept by a
-    comparison. Only rows that share the time of the cut are put in order, by ``tie``
-    and a hash of the row, in ranges of that hash or tie that are counted before one of
-    them is sorted, so a large batch with one time stamp is spread over tasks."""
-    timed = df.withColumn("_us", F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-(2**63))))
-    second = F.expr("_us div 1000000").alias("_second")
-    seconds = (timed.groupBy(second).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_hour", F.expr("_second div 3600")))
-
-    def crossing(counts: DataFrame, level: str, left: Column) -> DataFrame:
-        """The one value of ``level`` at which the rows counted from the newest on reach
-        ``left``, and how many of its rows are still wanted."""
-        newer = Window.orderBy(F.desc(level)).rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("_n").over(newer), F.lit(0))
-        return (counts.withColumn("_before", before).withColumn("_left", left - F.col("_before"))
-                .filter((F.col("_left") > 0) & (F.col("_n") >= F.col("_left"))).select(level, F.col("_left").alias("_wanted")))
-
-    hour = crossing(seconds.groupBy("_hour").agg(F.sum("_n").alias("_n")), "_hour", F.lit(n))
-    in_hour = seconds.join(hour, "_hour")
-    at_second = crossing(in_hour, "_second", F.col("_wanted"))
-    times = (timed.withColumn("_second", second).join(at_second, "_second").groupBy("_us", "_wanted")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    # NULL where the whole frame has fewer than n rows
-    cut = crossing(times, "_us", F.col("_wanted")).agg(F.max(F.struct("_us", "_wanted"))).scalar()
-    newer_rows = timed.filter(F.coalesce(F.col("_us") > cut["_us"], F.lit(True)))
-    part = _first_rows(timed.filter(F.col("_us") == cut["_us"]), cut["_wanted"], tie)
-    return newer_rows.unionByName(part.select(newer_rows.columns)).drop("_us")
-
-
-def _first_rows(df: DataFrame, missing: Column, tie: str | None, ranges: int = 1024) -> DataFrame:
-    """``missing`` rows of ``df``, largest ``tie`` first. With a tie its ranges are cut
-    at its own quantiles; without, the hash of the row is its own uniform range."""
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    if tie:
-        cuts = [i / ranges for i in range(1, ranges)]
-        df = df.withColumn("_edges", df.agg(F.percentile_approx(tie, cuts, 10 * ranges)).scalar())
-        bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e < F.col(tie))), F.lit(-1))
-        order = [F.desc_nulls_last(tie), F.desc("_spread")]
-    else:
-        bucket, order = F.pmod(F.col("_spread"), F.lit(ranges)), [F.desc("_spread")]
-    placed = df.withColumn("_spread", spread).withColumn("_b", bucket.cast("int")).drop("_edges")
-    counts = placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    newer = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
-    cut = (before.filter((F.col("_before") < missing) & (F.col("_before") + F.col("_n") >= missing))
-           .agg(F.max(F.struct("_b", (missing - F.col("_before")).alias("_left")))).scalar())
-    whole = placed.filter(F.col("_b") > cut["_b"])
-    ordered = Window.partitionBy("_b").orderBy(*order)
-    some = (placed.filter(F.col("_b") == cut["_b"]).withColumn("_rn", F.row_number().over(ordered))
-            .filter(F.col("_rn") <= cut["_left"]).drop("_rn"))
-    return whole.unionByName(some)
+    Rows are counted per second, once. The hour, the second and at last the time of the
+    cut follow from those counts and from the rows of that second, which are written. Rows
+    newer than the cut are kept by a comparison that reaches the scan. Only rows that share
+    the time of the cut are put in order, by ``tie`` and a hash of the row, in ranges
+    (`ranking.numbered`), so a large batch with one time stamp is spread over tasks."""
+    if n < 1:
+        return df.limit(0)
+    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(_NO_TIME))
+    timed = df.withColumn("_us", micros)
+    counts = written_once(timed.groupBy(F.expr("_us div 1000000").alias("_second")).agg(F.count(F.lit(1)).alias("_n"))
+                          .withColumn("_hour", F.expr("_second div 3600")), "seconds")
+    hour = _crossing(counts.groupBy("_hour").agg(F.sum("_n").alias("_n")), "_hour", n)
+    if hour is None:
+        return df
+    second = _crossing(counts.filter(F.col("_hour") == hour[0]), "_second", hour[1])
+    edge = written_once(timed.filter(F.expr("_us div 1000000") == second[0]), "edge")
+    cut, wanted, there = _crossing(edge.groupBy("_us").agg(F.count(F.lit(1)).alias("_n")), "_us", second[1])
+    time = F.timestamp_micros(F.lit(cut)).cast(df.schema[ts].dataType)
+    if wanted == there:
+        return df if cut == _NO_TIME else df.filter(F.col(ts) >= time)
+    newer = df.filter(F.col(ts).isNotNull() if cut == _NO_TIME else F.col(ts) > time)
+    order = [F.desc_nulls_last(tie)] if tie else []
+    some = numbered(edge.filter(F.col("_us") == cut).drop("_us"), order, "_number").filter(F.col("_number") <= wanted)
+    return newer.unionByName(some.select(newer.columns))
+
+
+_NO_TIME = -(2**63)
+
+
+def _crossing(counts: DataFrame, level: str, left: int) -> tuple[int, int, int] | None:
+    """The value of ``level`` at which the rows counted from the newest on reach ``left``,
+    how many of its rows are still wanted and how many it has; None if there are fewer."""
+    newer = Window.orderBy(F.desc(level)).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.lit(left) - F.coalesce(F.sum("_n").over(newer), F.lit(0))
+    found = (counts.withColumn("_wanted", wanted).filter((F.col("_wanted") > 0) & (F.col("_n") >= F.col("_wanted")))
+             .select(level, "_wanted", "_n").first())
+    return None if found is None else tuple(found)
 
 
 def _window_start(ts: str, minutes: int) -> Column:
