@@ -61,40 +61,38 @@ def top_ranked(df: DataFrame, partition: Sequence[str], value: str, k: int,
 
 
 def value_ranks(df: DataFrame, partition: Sequence[str], value: str, ascending: bool = False,
-                name: str = "rnk", buckets: int = 64) -> DataFrame:
-    """The rank() of every distinct value of a group, one row per value.
+                name: str = "rnk") -> DataFrame:
+    """The rank() of every distinct value of a group, one row per value."""
+    counts = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("_n"))
+    return ranks_of_counts(counts, partition, value, ascending, name).drop("_n", "_total")
 
-    Distinct values of a group are cut into ``buckets`` ranges at its own
-    quantiles. A value's rank is the count in the ranges before its own plus the
-    count before it inside the range: two windows whose partitions hold about
-    1/buckets of a group's distinct values, and at most ``buckets`` rows."""
+
+def ranks_of_counts(counts: DataFrame, partition: Sequence[str], value: str, ascending: bool = False,
+                    name: str = "rnk") -> DataFrame:
+    """``counts`` (one row per group and value, with its rows as ``_n``) with the rank of
+    each value, for any type that sorts, and the rows of its group as ``_total``.
+
+    The values are dealt once in ranges of (group, value), as even as their own
+    distribution makes them, and written with the number of their range. A rank is the count
+    in the group's ranges before plus the count before it in its range: two windows, over
+    as many rows as there are ranges, and over the rows of one range."""
     part = list(partition)
-    counts = df.groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    quantiles = F.percentile_approx(value, cuts, 10 * buckets).alias("_edges")
-    if part:
-        edges = counts.groupBy(*part).agg(quantiles)
-        joined = _join_back(counts, edges, part, "_edges")
-    else:
-        joined = counts.withColumn("_edges", counts.agg(quantiles).scalar())
-    position = F.when(F.col(value).isNotNull(), F.size(F.filter("_edges", lambda e: e < F.col(value))))
-    binned = joined.withColumn("_b", position).drop("_edges")
-
-    per_bin = binned.groupBy(*part, "_b").agg(F.sum("_n").alias("_bn"))
-    over_bins = Window.partitionBy(*part).orderBy(_directed("_b", ascending))
-    earlier = F.sum("_bn").over(over_bins.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_bin.withColumn("_off", F.coalesce(earlier, F.lit(0))).drop("_bn")
-
-    inside = Window.partitionBy(*part, "_b").orderBy(_directed(value, ascending))
-    local = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    values = _join_back(binned.withColumn("_loc", local), offsets, part + ["_b"], "_off")
-    return values.select(*part, value, (F.col("_off") + F.col("_loc") + 1).alias(name))
+    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = written_once(counts.select(*part, value, "_n").repartitionByRange(ranges, *part, _directed(value, ascending))
+                        .withColumn("_b", F.spark_partition_id()), "counts")
+    per_range = held.groupBy(*part, "_b").agg(F.sum("_n").alias("_bn"))
+    earlier = F.sum("_bn").over(Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_range.withColumns({"_off": F.coalesce(earlier, F.lit(0)), "_total": F.sum("_bn").over(Window.partitionBy(*part))})
+    inside = Window.partitionBy(*part, "_b").orderBy(_directed(value, ascending)).rowsBetween(Window.unboundedPreceding, -1)
+    local = held.withColumn("_loc", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    values = _join_back(local, offsets, part + ["_b"], "_off", "_total")
+    return values.select(*part, value, "_n", "_total", (F.col("_off") + F.col("_loc") + 1).alias(name))
 
 
 def ranked(df: DataFrame, partition: Sequence[str], value: str, ascending: bool = False,
-           name: str = "rnk", buckets: int = 64) -> DataFrame:
+           name: str = "rnk") -> DataFrame:
     """rank() over (partition by ... order by value) for groups of any size."""
-    ranks = value_ranks(df, partition, value, ascending, name, buckets)
+    ranks = value_ranks(df, partition, value, ascending, name)
     return _join_back(df, ranks, [*partition, value], name)
 
 
@@ -102,12 +100,14 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     """Exact median per group, the mean of the two middle values for even counts.
     NULL values are left out. No group's values are gathered: a distinct value
     covers the positions from its rank on."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return median_of_counts(counts, keys, value, name)
+
+
+def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """`group_median` from rows (keys, value, _n) with one row per group and value."""
     part = list(keys)
-    values = df.filter(F.col(value).isNotNull())
-    counts = values.groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.groupBy(*part).agg(F.sum("_n").alias("_total"))
-    ranks = value_ranks(values, part, value, ascending=True, name="_rank")
-    placed = _join_back(_join_back(counts, ranks, part + [value], "_rank"), total, part, "_total")
+    placed = ranks_of_counts(counts, part, value, ascending=True, name="_rank")
 
     def at(position):
         covers = (F.col("_rank") <= position) & (position < F.col("_rank") + F.col("_n"))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import ratio
-from lakeloom.operators.ranking import group_median
+from lakeloom.operators.ranking import median_of_counts
+from lakeloom.sources.frames import written_once
 
 
 def _measured(df: DataFrame) -> DataFrame:
@@ -16,24 +17,29 @@ def _measured(df: DataFrame) -> DataFrame:
 def run_summary(df: DataFrame) -> DataFrame:
     """One row per engine over its measured runs. The median is exact over the
     successful runs; throughput is successes per second of successful run time."""
-    ok = F.col("status") == "success"
-    t = F.col("query_time_seconds")
-    ok_time = F.round(F.sum(F.when(ok, t)), 6)
+    n = F.col("_n")
+    good = F.col("_ok")
     zero = F.lit(0).cast("bigint")
-    measured = _measured(df)
-    # one pass for the totals; the median from counts per distinct time
-    totals = measured.groupBy("engine").agg(
-        F.count(F.lit(1)).alias("total_queries"),
-        F.count_if(ok).alias("success_count"),
-        F.count_if(~ok).alias("failure_count"),
-        F.round(ratio(F.count_if(ok), F.count(F.lit(1))), 4).alias("success_rate"),
-        F.round(F.sum(t), 3).alias("total_runtime_seconds"),
-        F.round(F.coalesce(ratio(F.count_if(ok), ok_time), F.lit(0.0)), 6).alias("avg_throughput_qps"),
-        F.coalesce(F.max(F.when(ok, F.col("peak_memory_bytes"))), zero).alias("max_peak_memory_bytes"),
-        F.coalesce(F.sum(F.when(ok, F.col("spill_bytes"))), zero).alias("total_spill_bytes"),
-        F.coalesce(F.sum(F.when(ok, F.col("cpu_time_millis"))), zero).alias("total_cpu_time_millis"))
-    medians = group_median(measured.filter(ok), ["engine"], "query_time_seconds", "_median").withColumnRenamed(
-        "engine", "_engine")
+    # the records are read once, for counts and sums per distinct time
+    t = F.col("query_time_seconds")
+    per_time = written_once(
+        _measured(df).groupBy("engine", F.coalesce(F.col("status") == "success", F.lit(False)).alias("_ok"), "query_time_seconds")
+        .agg(F.count(F.lit(1)).alias("_n"), F.count("status").alias("_told"), F.max("peak_memory_bytes").alias("_peak"),
+             F.sum("spill_bytes").alias("_spill"), F.sum("cpu_time_millis").alias("_cpu")), "per_time")
+    succeeded = F.sum(F.when(good, n).otherwise(zero))
+    ok_time = F.round(F.sum(F.when(good, t * n)), 6)
+    totals = per_time.groupBy("engine").agg(
+        F.sum(n).alias("total_queries"),
+        succeeded.alias("success_count"),
+        F.sum(F.when(good, zero).otherwise(F.col("_told"))).alias("failure_count"),
+        F.round(ratio(succeeded, F.sum(n)), 4).alias("success_rate"),
+        F.round(F.sum(t * n), 3).alias("total_runtime_seconds"),
+        F.round(F.coalesce(ratio(succeeded, ok_time), F.lit(0.0)), 6).alias("avg_throughput_qps"),
+        F.coalesce(F.max(F.when(good, F.col("_peak"))), zero).alias("max_peak_memory_bytes"),
+        F.coalesce(F.sum(F.when(good, F.col("_spill"))), zero).alias("total_spill_bytes"),
+        F.coalesce(F.sum(F.when(good, F.col("_cpu"))), zero).alias("total_cpu_time_millis"))
+    timed = per_time.filter(good & t.isNotNull()).select("engine", "query_time_seconds", "_n")
+    medians = median_of_counts(timed, ["engine"], "query_time_seconds", "_median").withColumnRenamed("engine", "_engine")
     return (totals.join(medians, F.col("engine").eqNullSafe(F.col("_engine")), "left")
             .withColumn("median_query_time_seconds", F.round(F.coalesce("_median", F.lit(0.0)), 3)).drop("_engine", "_median"))
 

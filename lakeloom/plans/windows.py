@@ -11,6 +11,7 @@ from lakeloom.operators.ranking import top_ranked
 from lakeloom.operators.series import running, with_neighbours
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
+from lakeloom.sources.frames import written_once
 
 # Months beside each other are looked up by lag() and lead(); the mean of a year is
 # joined from a grouping of its own.
@@ -111,8 +112,8 @@ WHERE up.rnk <= 10 AND down.rnk <= 10""")
 def best_worst(s: Star):
     """Ten best and ten worst items by mean value, paired by rank."""
     asian = s.outlet.filter("outlet_region = 'ASIA'").select("outlet_id")
-    per_item = s.lines.filter("item_id IS NOT NULL").join(asian, "outlet_id", "left_semi").groupBy("item_id").agg(
-        sum2("gross").alias("s"), F.count("gross").alias("n"))
+    per_item = written_once(s.lines.filter("item_id IS NOT NULL").join(asian, "outlet_id", "left_semi").groupBy("item_id").agg(
+        sum2("gross").alias("s"), F.count("gross").alias("n")), "per_item")
     floor = per_item.agg(F.try_divide(sum2("s"), F.sum("n"))).scalar()
     raw = F.try_divide("s", "n")
     means = per_item.filter(raw > 0.9 * floor).select("item_id", F.round(raw, 6).alias("mean"))
@@ -147,17 +148,17 @@ def dual_rank(s: Star):
     two listed values and adding these counts up."""
     orders = s.orders.filter(in_dates("sold_at", "2000-12-01", "2001-01-01"))
     gone = F.col("returned")
-    by_item = (s.lines.filter("gross > 1000 AND quantity > 0").join(orders, "order_id").groupBy("channel", "item_id")
-               .agg(F.sum(F.when(gone, F.col("quantity")).otherwise(0.0)).alias("rq"), F.sum("quantity").alias("q"),
-                    F.round(F.sum(F.when(gone, F.col("gross")).otherwise(0.0)), 2).alias("rv"), sum2("gross").alias("v"),
-                    F.count_if(gone).alias("n_back")).filter("n_back > 0")
-               .select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return_ratio"),
-                       F.round(ratio("rv", "v"), 9).alias("currency_ratio")))
+    sold = s.lines.filter("gross > 1000 AND quantity > 0").join(orders, "order_id").groupBy("channel", "item_id").agg(
+        F.sum(F.when(gone, F.col("quantity")).otherwise(0.0)).alias("rq"), F.sum("quantity").alias("q"),
+        F.round(F.sum(F.when(gone, F.col("gross")).otherwise(0.0)), 2).alias("rv"), sum2("gross").alias("v"),
+        F.count_if(gone).alias("n_back"))
+    by_item = written_once(
+        sold.filter("n_back > 0").select("channel", "item_id", F.round(ratio("rq", "q"), 9).alias("return_ratio"),
+                                         F.round(ratio("rv", "v"), 9).alias("currency_ratio")), "by_item")
     measures = ("return", "currency")
 
     def lowest(m: str):
-        low = Window.partitionBy("channel").orderBy(F.col(f"{m}_ratio").asc())
-        return by_item.withColumn("_r", F.rank().over(low)).filter("_r <= 10").drop("_r")
+        return top_ranked(by_item, ["channel"], f"{m}_ratio", 10, ascending=True, name="_r").drop("_r")
 
     listed = lowest("return").unionByName(lowest("currency")).distinct()
     # at most ten values and their ties per measure, so one short array per channel

@@ -1,5 +1,7 @@
 """Shape of the physical plans."""
 
+import pytest
+
 import __spark_entry__ as entry_point
 
 QUERIES = entry_point.queries()
@@ -55,3 +57,12 @@ def test_a_fact_is_scanned_once(spark, sf_dir):
                  "growth_compare", "lag_lead", "week_over_year", "cov_pairs", "cumulative_cross", "side_by_side"):
         p = plan_of(QUERIES[name](spark, sf_dir))
         assert p.count("lineitem.parquet") <= 1 and p.count("orders.parquet") <= 1, name
+
+
+@pytest.mark.parametrize("name, most", [("best_worst", 12), ("dual_rank", 12), ("run_summary", 8), ("gps_retain_latest", 3)])
+def test_branches_read_written_frames(spark, sf_dir, name, most):
+    """Plans with several branches over one aggregate do not repeat it: what is left reads
+    small frames, and no fact table but for the capped log's own rows."""
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") <= most
+    assert plan.count("lineitem.parquet") == plan.count("orders.parquet") == 0
