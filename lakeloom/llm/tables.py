@@ -3,7 +3,6 @@ folder reads and streams of grouped Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,22 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.sources.frames import shared_folder
+
 #: White space of all word definitions: space and the five controls from tab to
 #: carriage return, as a Java class body.
 BLANK = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANK}]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests, one
-    machine), the session's own checkpoint folder or a new temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts the
     lineage, survives lost executors and is pruned by column on each read."""
