@@ -238,7 +238,7 @@ def table_fingerprint(s: Star):
                                                         "o_orderdate", "o_orderpriority"))
 
 
-@query("table_diff", """
+_DIFF_SQL = """
 WITH old AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
 new AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders
         WHERE o_orderstatus <> 'O'),
@@ -246,13 +246,26 @@ every AS (SELECT *, 1 AS l, 0 AS r FROM old UNION ALL SELECT *, 0, 1 FROM new)
 SELECT CAST(CAST(o_orderkey AS DECIMAL(38,4)) AS VARCHAR) AS o_orderkey, CAST(CAST(o_custkey AS DECIMAL(38,4)) AS VARCHAR) AS o_custkey,
   o_orderstatus, CAST(CAST(round(o_totalprice, 4) AS DECIMAL(38,4)) AS VARCHAR) AS o_totalprice,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority, CAST(sum(l) AS BIGINT) AS left_copies, CAST(sum(r) AS BIGINT) AS right_copies
-FROM every GROUP BY ALL HAVING sum(l) <> sum(r)""", star=False)
-def table_difference(s: Star):
-    """Orders against a version of them with changed prices, over all columns."""
+FROM every GROUP BY ALL HAVING sum(l) <> sum(r)"""
+
+
+def _versions(s: Star):
+    """Orders, and a version of them with changed prices."""
     orders = s.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     dearer = F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return compare.table_diff(orders.filter("o_orderstatus <> 'P'"),
-                              orders.filter("o_orderstatus <> 'O'").withColumn("o_totalprice", dearer))
+    return orders.filter("o_orderstatus <> 'P'"), orders.filter("o_orderstatus <> 'O'").withColumn("o_totalprice", dearer)
+
+
+@query("table_diff", _DIFF_SQL, star=False)
+def table_difference(s: Star):
+    """Two versions of orders, over all columns."""
+    return compare.table_diff(*_versions(s))
+
+
+@query("table_diff_tree", _DIFF_SQL, star=False)
+def table_difference_by_tree(s: Star):
+    """The same through hash trees: rows are compared in differing leaves alone."""
+    return compare.tree_diff(*_versions(s), ["o_orderkey"])
 
 
 @query("row_count", "SELECT count(*) AS row_count FROM sales WHERE channel = 'web'")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators.compare import differing_leaves, fingerprint, hash_tree, key_leaf, table_diff, tree_diff
 from lakeloom.operators.ranking import numbered
 from lakeloom.operators.upsert import merge_into, store, upsert
 from lakeloom.sources import frames, streams
@@ -104,3 +105,31 @@ def test_frames_need_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         frames.shared_folder(Session())
+
+
+def test_one_changed_row_reads_one_leaf(spark):
+    old = spark.createDataFrame([(i, "ab"[i % 2], f"name{i}", i) for i in range(500)], TARGET)
+    new = old.withColumn("n", F.when(F.col("id") == 77, -1).otherwise(F.col("n")))
+    paths = [folder() + "/a", folder() + "/b"]
+    for df, path in zip((old, new), paths):
+        store(df, path, ["id"], 64)
+    a, b = (spark.read.parquet(p) for p in paths)
+    diff = tree_diff(a, b, ["id"], 64, 4, leaf="key_bucket")
+    assert rows_of(diff) == rows_of(table_diff(old, new.select(old.columns))) and diff.count() == 2
+    read = {f.split("key_bucket=")[1].split("/")[0] for f in diff.inputFiles()}
+    bucket = a.where("id = 77").first()["key_bucket"]
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert f"key_bucket#" in plan and f"= {bucket})" in plan and str(bucket) in read
+    trees = [hash_tree(df, key_leaf(df, ["id"], 64), 64, 4) for df in (old, new)]
+    assert len(differing_leaves(*trees, 64, 4)) == 1 and differing_leaves(trees[0], trees[0], 64, 4) == []
+    total = trees[0].where("level = 0").drop("level", "node").first()
+    assert total.asDict() == fingerprint(old).first().asDict()
+
+
+def test_tree_against_plain_difference(spark):
+    left = spark.createDataFrame([(i % 40, "x", str(i % 9), i % 3) for i in range(300)] + [(None, None, None, None)] * 2, TARGET)
+    right = spark.createDataFrame([(i % 41, "x", str(i % 9), i % 3) for i in range(290)] + [(None, None, None, None)], TARGET)
+    for leaves, fan in ((1, 2), (10, 3), (4096, 16)):
+        assert rows_of(tree_diff(left, right, ["id"], leaves, fan)) == rows_of(table_diff(left, right))
+        assert tree_diff(left, left.repartition(3), ["id"], leaves, fan).count() == 0
+        assert rows_of(tree_diff(left, left.limit(0), ["id"], leaves, fan)) == rows_of(table_diff(left, left.limit(0)))
