@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom.functions import in_dates, ratio
+from lakeloom.operators.moments import merged_beside, parts, weighted
 from lakeloom.operators.series import against_offset
 from lakeloom.plans.registry import query
 from lakeloom.plans.star import Star
@@ -53,20 +54,18 @@ def cov_pairs(s: Star):
 
 
 def moments(sides: dict[str, Column], value: str) -> list[Column]:
-    """Count, sum and sum of squares of a value per condition: what is needed to
-    get statistics of a many-to-many join without forming its pairs."""
+    """Count and sum of a value per condition: what is needed to get the sums of a
+    many-to-many join without forming its pairs."""
     out = []
     for name, cond in sides.items():
         v = F.when(cond, F.col(value))
-        out += [F.count(v).alias(f"{name}_n"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_s"),
-                F.coalesce(F.sum(v * v), F.lit(0.0)).alias(f"{name}_ss")]
+        out += [F.count(v).alias(f"{name}_n"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_s")]
     return out
 
 
-def _stats(n: Column, total: Column, squares: Column, prefix: str) -> list[Column]:
-    mean = ratio(total, n)
-    var = F.try_divide(squares - total * mean, (n - 1).cast("double"))
-    std = F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))
+def _stats(prefix: str) -> list[Column]:
+    n, mean = F.col(f"{prefix}_n"), F.col(f"{prefix}_mean")
+    std = F.sqrt(F.try_divide(f"{prefix}_m2", (n - 1).cast("double")))
     return [n.alias(f"{prefix}_count"), F.round(mean, 6).alias(f"{prefix}_avg"), F.round(std, 6).alias(f"{prefix}_std"),
             F.round(ratio(std, mean), 6).alias(f"{prefix}_cov")]
 
@@ -94,19 +93,16 @@ def repurchase_chain(s: Star):
     kept = ~F.col("returned")
     sides = {"sold": (F.col("channel") == "store") & kept, "back": F.col("returned"),
              "again": (F.col("channel") == "catalog") & kept}
-    per_outlet = s.sales.groupBy("buyer_id", "item_id", "outlet_id").agg(*moments(sides, "quantity"))
-    pair = Window.partitionBy("buyer_id", "item_id")
-    summed = [f"{p}_{m}" for p in ("back", "again") for m in ("n", "s", "ss")]
-    j = (per_outlet.withColumns({c: F.sum(c).over(pair) for c in summed})
-         .filter("sold_n > 0 AND back_n > 0 AND again_n > 0")
+    per_outlet = s.sales.groupBy("buyer_id", "item_id", "outlet_id").agg(*parts(sides, "quantity"))
+    for side in ("back", "again"):
+        per_outlet = merged_beside(per_outlet, ["buyer_id", "item_id"], side)
+    j = (per_outlet.filter("sold_n > 0 AND back_n > 0 AND again_n > 0")
          .join(s.item.select("item_id", "item_class"), "item_id")
          .join(s.outlet.select("outlet_id", "outlet_nation"), "outlet_id"))
     weight = {"sold": F.col("back_n") * F.col("again_n"), "back": F.col("sold_n") * F.col("again_n"),
               "again": F.col("sold_n") * F.col("back_n")}
-    totals = [F.sum(F.col(f"{p}_{m}") * weight[p]).alias(f"{p}_{m}") for p in sides for m in ("n", "s", "ss")]
-    g = j.groupBy("item_class", "outlet_nation").agg(*totals)
-    cols = [c for p in sides for c in _stats(F.col(f"{p}_n"), F.col(f"{p}_s"), F.col(f"{p}_ss"), p)]
-    return g.select("item_class", "outlet_nation", *cols)
+    g = weighted(j, ["item_class", "outlet_nation"], weight)
+    return g.select("item_class", "outlet_nation", *[c for side in sides for c in _stats(side)])
 
 
 @query("repurchase_extremes", """

@@ -207,3 +207,25 @@ def test_event_log(spark, tmp_path):
         '{"Event":"SparkListenerTaskEnd","Stage ID":1,"Task Metrics":{"Peak Execution Memory":5,"Executor CPU Time":3000000}}']))
     got = runs.task_metrics(runs.read_event_log(spark, str(tmp_path / "log"))).first().asDict()
     assert got == {"peak_memory_bytes": 7, "spill_bytes": 3, "cpu_time_millis": 4}
+
+
+def test_moments_of_large_values_with_a_small_spread(spark):
+    """Parts merged beside rows and over weighted groups, against the values written out."""
+    from lakeloom.operators.moments import merged_beside, parts, weighted
+
+    rows = [(k, part, 1e9 + ((i * 7) % 5) / 4, 1 + (k + part) % 3) for k in range(3) for part in range(4) for i in range(5 + part)]
+    df = spark.createDataFrame(rows, "k int, part int, v double, w int").repartition(4, "v")
+    small = df.groupBy("k", "part").agg(*parts({"a": F.lit(True), "b": F.col("v") > 1e9 + 0.3}, "v"), F.max("w").alias("w"))
+    got = {r.k: r for r in weighted(small, ["k"], {"a": F.col("w"), "b": F.lit(1)}).collect()}
+    for k in range(3):
+        a = [v for x, _, v, w in rows if x == k for _ in range(w)]
+        b = [v for x, _, v, _ in rows if x == k and v > 1e9 + 0.3]
+        for side, values in (("a", a), ("b", b)):
+            assert got[k][f"{side}_n"] == len(values)
+            assert got[k][f"{side}_mean"] == pytest.approx(statistics.fmean(values), rel=1e-15)
+            assert got[k][f"{side}_m2"] / (len(values) - 1) == pytest.approx(statistics.variance(values), rel=1e-6)
+    beside = merged_beside(small, ["k"], "a").collect()
+    assert len(beside) == 12
+    for r in beside:
+        values = [v for x, _, v, _ in rows if x == r.k]
+        assert r.a_n == len(values) and r.a_m2 == pytest.approx(statistics.variance(values) * (len(values) - 1), rel=1e-6)
