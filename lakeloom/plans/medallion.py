@@ -7,11 +7,14 @@ or a second run of any job leaves silver and gold with the same values."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom import schemas
+from lakeloom.operators import quality
 from lakeloom.operators.conform import conform, latest_by_key, with_audit
 from lakeloom.plans import gold
 from lakeloom.sources import tables
@@ -88,6 +91,47 @@ def refresh_silver(spark: SparkSession, name: str, since, source: str | None = N
         spark.sql(f"DROP TABLE {table}")
 
 
+def silver_findings(read: Callable[[str], DataFrame], name: str) -> DataFrame:
+    """What is wrong in a silver table: table_name, row_key, kind, detail, n.
+
+    Kinds are ``rule`` (a row breaks the rule named in detail), ``orphan`` (the key named in
+    detail has no parent) and ``duplicate`` (n rows share a key; none for order items, which
+    may). ``read`` gives a silver table by its name. Keys are text; several columns of a key
+    are joined by a slash. The table is read once per kind, no rows are collected."""
+    df, keys = read(name), schemas.PRIMARY_KEY[name]
+    key = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+
+    def found(rows: DataFrame, kind: str, detail: Column, n: Column = F.lit(1)) -> DataFrame:
+        return rows.select(F.lit(name).alias("table_name"), key.alias("row_key"), F.lit(kind).alias("kind"),
+                           detail.alias("detail"), n.cast("bigint").alias("n"))
+
+    kinds = []
+    if rules := quality.rules_for(name):
+        # in silver the source's own time has another name, ``updated_at`` is the audit stamp
+        source = df.withColumn("updated_at", F.col("source_updated_at")) if "source_updated_at" in df.columns else df
+        broken = quality.violating_rows(source, rules).withColumn("_rule", F.explode("broken_rules"))
+        kinds.append(found(broken, "rule", F.col("_rule")))
+    for column, parent, parent_key in quality.FOREIGN_KEYS.get(name, ()):
+        kinds.append(found(quality.orphans(df, read(parent), column, parent_key), "orphan", F.lit(column)))
+    if name != "order_items":
+        kinds.append(found(quality.duplicate_keys(df, keys, "_copies"), "duplicate", F.lit(", ".join(keys)), F.col("_copies")))
+    if not kinds:
+        return found(df.limit(0), "rule", F.lit(""))
+    out = kinds[0]
+    for more in kinds[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def check_silver(spark: SparkSession, name: str, silver: str = "silver", target: str | None = None) -> DataFrame:
+    """Writes the findings of a silver table to ``quality.{name}`` and gives back their
+    numbers per kind and detail. The table itself is left as it is: gold counts all rows."""
+    target = target or f"quality.{name}"
+    rows = silver_findings(lambda n: spark.read.table(f"{silver}.{n}"), name)
+    tables.overwrite_table(with_audit(rows), target, tables.Layout(sort_by=("kind", "detail")))
+    return spark.read.table(target).groupBy("kind", "detail").agg(F.count(F.lit(1)).alias("findings"))
+
+
 def loaded_since(bronze: DataFrame, since) -> DataFrame:
     """Bronze rows loaded from ``since`` on; reads only the load days from it on where
     the table is partitioned by them."""

@@ -216,3 +216,29 @@ def test_jdbc_options():
     for partial in ({"partition_column": "id"}, {}):
         with pytest.raises(ValueError):
             JdbcSource("jdbc:x", "t", "u", "p", **partial).options()
+
+
+def test_silver_findings(spark, shop):
+    held = dict(shop, inventory_items=frame(spark, "inventory_items"), distribution_centers=frame(spark, "distribution_centers"))
+    held["orders"] = held["orders"].unionByName(frame(
+        spark, "orders", {"order_id": 12, "user_id": 7, "num_of_item": 0, "status": "Lost", "created_at": dt(2024, 1, 9), "updated_at": dt(2024, 1, 8)},
+        {"order_id": 13, "user_id": None, "num_of_item": 1, "status": "Shipped"}))
+    read = lambda n: conform(held[n].withColumnRenamed("updated_at", "source_updated_at"), schemas.silver_schema(n))
+    found = lambda n: sorted(tuple(r) for r in medallion.silver_findings(read, n).collect())
+    rules = {"num_items_positive", "valid_status", "updated_after_created"}
+    assert found("orders") == sorted([("orders", "12", "rule", r, 1) for r in rules]
+                                     + [("orders", "12", "orphan", "user_id", 1), ("orders", "12", "duplicate", "order_id", 2)])
+    assert found("order_items") == [("order_items", "3", "orphan", "user_id", 1)] * 2   # may repeat, so no duplicate
+    assert found("distribution_centers") == [] and found("users") == [] and found("events") == []
+
+
+def test_check_silver_writes_its_findings(spark, shop):
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS checked")
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS quality")
+    young = frame(spark, "users", {"id": 1, "age": 3}, {"id": 2, "age": 40}, {"id": 2, "age": 200})
+    young = young.withColumnRenamed("updated_at", "source_updated_at")
+    conform(young, schemas.silver_schema("users")).write.mode("overwrite").saveAsTable("checked.users")
+    for _ in range(2):
+        got = {(r.kind, r.detail): r.findings for r in medallion.check_silver(spark, "users", "checked").collect()}
+        assert got == {("rule", "age_valid"): 2, ("duplicate", "id"): 1}
+    assert spark.table("quality.users").count() == 3
