@@ -52,16 +52,17 @@ def per_line(s: Star, orders: DataFrame, *keep: str, items: DataFrame | None = N
 
 @query("net_sales", f"""
 WITH {_LINES_SQL},
-n AS (
-  SELECT CAST(year(sold_on) AS BIGINT) AS sold_year, item_class, brand,
-         sum(quantity - coalesce(returned_quantity, 0)) AS net_count,
-         round(sum(gross - coalesce(returned_value, 0.0)), 2) AS net_amount
+kept AS (
+  SELECT item_class, brand, year(sold_on) = 2000 AS latest, quantity - coalesce(returned_quantity, 0) AS n,
+         gross - coalesce(returned_value, 0.0) AS amount
   FROM per_line JOIN item USING (item_id) LEFT JOIN ret USING (order_id, item_id)
-  WHERE item_class IN ('PROMO', 'LARGE') GROUP BY 1, 2, 3)
-SELECT p.sold_year AS prev_year, c.sold_year AS sold_year, c.item_class AS item_class, c.brand AS brand,
-       p.net_count AS prev_count, c.net_count AS curr_count, round(c.net_amount - p.net_amount, 2) AS amount_change
-FROM n c JOIN n p ON p.item_class = c.item_class AND p.brand = c.brand AND p.sold_year = c.sold_year - 1
-WHERE c.sold_year = 2000 AND c.net_count / p.net_count < 0.9""")
+  WHERE item_class IN ('PROMO', 'LARGE') AND year(sold_on) IN (1999, 2000)),
+both_years AS (
+  SELECT item_class, brand, sum(n) FILTER (WHERE NOT latest) AS prev_count, sum(n) FILTER (WHERE latest) AS curr_count,
+         round(round(sum(amount) FILTER (WHERE latest), 2) - round(sum(amount) FILTER (WHERE NOT latest), 2), 2) AS amount_change
+  FROM kept GROUP BY item_class, brand)
+SELECT CAST(1999 AS BIGINT) AS prev_year, CAST(2000 AS BIGINT) AS sold_year, both_years.*
+FROM both_years WHERE curr_count / prev_count < 0.9""")
 def net_sales(s: Star):
     items = s.item.filter(F.col("item_class").isin("PROMO", "LARGE")).select("item_id", "item_class", "brand")
     orders = s.orders.filter(in_dates("sold_at", "1999-01-01", "2001-01-01"))
@@ -110,20 +111,15 @@ def web_brand_returns(s: Star):
             .orderBy(F.desc("web_sales"), "brand").limit(50))
 
 
-@query("unreturned", """
-WITH u AS (
-  SELECT channel, CAST(year(sold_on) AS BIGINT) AS sold_year, item_id, buyer_id, sum(quantity) AS qty, round(sum(gross), 2) AS amt
-  FROM sales s WHERE NOT EXISTS (SELECT 1 FROM lines r WHERE r.returned AND r.order_id = s.order_id AND r.item_id = s.item_id)
-    AND sold_at >= TIMESTAMP '2000-01-01' AND sold_at < TIMESTAMP '2001-01-01'
-  GROUP BY 1, 2, 3, 4),
-st AS (SELECT * FROM u WHERE channel = 'store'), ca AS (SELECT * FROM u WHERE channel = 'catalog'),
-we AS (SELECT * FROM u WHERE channel = 'web')
-SELECT st.item_id AS item_id, st.buyer_id AS buyer_id, st.qty AS store_qty, st.amt AS store_amt,
-       coalesce(we.qty, 0.0) + coalesce(ca.qty, 0.0) AS other_qty,
-       round(st.qty / (coalesce(we.qty, 0.0) + coalesce(ca.qty, 0.0)), 2) AS qty_ratio
-FROM st LEFT JOIN we ON we.sold_year = st.sold_year AND we.item_id = st.item_id AND we.buyer_id = st.buyer_id
-  LEFT JOIN ca ON ca.sold_year = st.sold_year AND ca.item_id = st.item_id AND ca.buyer_id = st.buyer_id
-WHERE coalesce(we.qty, 0) > 0 OR coalesce(ca.qty, 0) > 0""")
+@query("unreturned", f"""
+WITH {_LINES_SQL},
+kept AS (
+  SELECT item_id, buyer_id, sum(quantity) FILTER (WHERE channel = 'store') AS store_qty,
+         round(sum(gross) FILTER (WHERE channel = 'store'), 2) AS store_amt,
+         coalesce(sum(quantity) FILTER (WHERE channel <> 'store'), 0.0) AS other_qty
+  FROM per_line LEFT JOIN ret USING (order_id, item_id)
+  WHERE returned_quantity IS NULL AND year(sold_on) = 2000 GROUP BY item_id, buyer_id)
+SELECT *, round(store_qty / other_qty, 2) AS qty_ratio FROM kept WHERE store_qty IS NOT NULL AND other_qty > 0""")
 def unreturned(s: Star):
     """Store quantities that were not returned against the other channels. The
     catalog side is joined on item too (a join on buyer and year alone would be
@@ -190,17 +186,20 @@ def channel_rollup_net(s: Star):
 
 
 @query("channel_rollup_outer", """
-WITH w AS (SELECT * FROM sales JOIN outlet USING (outlet_id)
-           WHERE sold_at >= TIMESTAMP '1998-08-04' AND sold_at < TIMESTAMP '1998-09-03'),
-ss AS (SELECT outlet_nation AS id, round(sum(gross), 2) AS sales FROM w WHERE channel = 'store' GROUP BY 1),
-sr AS (SELECT outlet_nation AS id, round(sum(gross), 2) AS returns FROM w WHERE channel = 'store' AND returned GROUP BY 1),
-cs AS (SELECT outlet_nation AS id, round(sum(gross), 2) AS sales FROM w WHERE channel = 'catalog' GROUP BY 1),
-cr AS (SELECT outlet_nation AS cr_id, round(sum(gross), 2) AS returns FROM w WHERE channel = 'catalog' AND returned GROUP BY 1),
-u AS (
-  SELECT 'store' AS channel, ss.id AS id, sales, coalesce(returns, 0.0) AS returns FROM ss LEFT JOIN sr ON ss.id = sr.id
-  UNION ALL SELECT 'catalog', id, sales, returns FROM cs, cr)
-SELECT channel, id, round(sum(sales), 2) AS sales, round(sum(returns), 2) AS returns
-FROM u GROUP BY ROLLUP (channel, id)""")
+WITH nations AS (
+  SELECT channel, outlet_nation AS id, round(sum(gross), 2) AS sold, round(sum(gross) FILTER (WHERE returned), 2) AS back
+  FROM sales JOIN outlet USING (outlet_id)
+  WHERE sold_at >= TIMESTAMP '1998-08-04' AND sold_at < TIMESTAMP '1998-09-03' GROUP BY ALL),
+met AS (
+  SELECT seller.channel, seller.id, seller.sold, coalesce(returner.back, 0.0) AS back
+  FROM nations seller JOIN nations returner
+    ON returner.channel = seller.channel AND CASE seller.channel WHEN 'store' THEN returner.id = seller.id
+                                                  WHEN 'catalog' THEN returner.back IS NOT NULL ELSE FALSE END),
+by_nation AS (SELECT channel, id, round(sum(sold), 2) AS sales, round(sum(back), 2) AS returns FROM met GROUP BY channel, id),
+by_channel AS (SELECT channel, round(sum(sales), 2) AS sales, round(sum(returns), 2) AS returns FROM by_nation GROUP BY channel)
+SELECT * FROM by_nation
+UNION ALL SELECT channel, NULL, sales, returns FROM by_channel
+UNION ALL SELECT NULL, NULL, round(sum(sales), 2), round(sum(returns), 2) FROM by_channel""")
 def channel_rollup_outer(s: Star):
     """Store sales keep their own returns; catalog sales pair every nation's sales
     with every nation's returns. The pairs are not formed: a nation's sales occur

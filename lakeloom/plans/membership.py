@@ -128,12 +128,13 @@ def except_channels(s: Star):
 
 
 @query("overlap_counts", """
-WITH a AS (SELECT DISTINCT buyer_id, item_id FROM sales WHERE channel = 'store'),
-b AS (SELECT DISTINCT buyer_id, item_id FROM sales WHERE channel = 'catalog')
-SELECT count(*) FILTER (WHERE a.buyer_id IS NOT NULL AND b.buyer_id IS NULL) AS store_only,
-       count(*) FILTER (WHERE a.buyer_id IS NULL AND b.buyer_id IS NOT NULL) AS catalog_only,
-       count(*) FILTER (WHERE a.buyer_id IS NOT NULL AND b.buyer_id IS NOT NULL) AS store_and_catalog
-FROM a FULL JOIN b ON a.buyer_id = b.buyer_id AND a.item_id = b.item_id""")
+WITH pairs AS (
+  SELECT bool_or(channel = 'store') AS in_store, bool_or(channel = 'catalog') AS in_catalog
+  FROM sales WHERE buyer_id IS NOT NULL AND item_id IS NOT NULL GROUP BY buyer_id, item_id)
+SELECT count(*) FILTER (WHERE in_store AND NOT in_catalog) AS store_only,
+       count(*) FILTER (WHERE in_catalog AND NOT in_store) AS catalog_only,
+       count(*) FILTER (WHERE in_store AND in_catalog) AS store_and_catalog
+FROM pairs""")
 def overlap(s: Star):
     flags = _by_channel(s.sales.select("channel", "buyer_id", "item_id"), ["buyer_id", "item_id"])
     return overlap_counts(flags, "store", "catalog").toDF("store_only", "catalog_only", "store_and_catalog")

@@ -100,15 +100,15 @@ def cumulative_cross(s: Star):
 
 
 @query("best_worst", """
-WITH v AS (SELECT item_id, round(round(sum(gross), 2) / count(gross), 6) AS mean FROM lines JOIN outlet USING (outlet_id)
-           WHERE outlet_region = 'ASIA' GROUP BY 1
-           HAVING round(sum(gross), 2) / count(gross) > 0.9 * (
-             SELECT round(sum(gross), 2) / count(gross) FROM lines JOIN outlet USING (outlet_id) WHERE outlet_region = 'ASIA')),
-up AS (SELECT item_id, rank() OVER (ORDER BY mean ASC) AS rnk FROM v),
-down AS (SELECT item_id, rank() OVER (ORDER BY mean DESC) AS rnk FROM v)
-SELECT up.rnk AS rnk, i1.item_name AS worst_name, up.item_id AS worst_id, i2.item_name AS best_name, down.item_id AS best_id
-FROM up JOIN down ON up.rnk = down.rnk JOIN item i1 ON i1.item_id = up.item_id JOIN item i2 ON i2.item_id = down.item_id
-WHERE up.rnk <= 10 AND down.rnk <= 10""")
+WITH asian AS (SELECT item_id, gross FROM lines JOIN outlet USING (outlet_id) WHERE outlet_region = 'ASIA'),
+means AS (SELECT item_id, round(sum(gross), 2) / count(gross) AS raw FROM asian GROUP BY item_id),
+enough AS (SELECT item_id, round(raw, 6) AS mean FROM means WHERE raw > (SELECT 0.9 * (round(sum(gross), 2) / count(gross)) FROM asian)),
+placed AS (
+  SELECT item_id, item_name, (SELECT count(*) FROM enough o WHERE o.mean < e.mean) AS n_lower,
+         (SELECT count(*) FROM enough o WHERE o.mean > e.mean) AS n_higher
+  FROM enough e JOIN item USING (item_id))
+SELECT 1 + low.n_lower AS rnk, low.item_name AS worst_name, low.item_id AS worst_id, high.item_name AS best_name, high.item_id AS best_id
+FROM placed low JOIN placed high ON high.n_higher = low.n_lower WHERE low.n_lower < 10""")
 def best_worst(s: Star):
     """Ten best and ten worst items by mean value, paired by rank."""
     asian = s.outlet.filter("outlet_region = 'ASIA'").select("outlet_id")
