@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom import schemas
-from lakeloom.operators import quality
+from lakeloom.operators import increments, quality
 from lakeloom.operators.conform import conform, latest_by_key, with_audit
 from lakeloom.plans import gold
 from lakeloom.sources import tables
@@ -49,13 +49,18 @@ def to_silver(spark: SparkSession, name: str, source: str | None = None, target:
     tables.overwrite_table(rows, target or f"silver.{name}", tables.SILVER_LAYOUT[name])
 
 
-def refresh_silver(spark: SparkSession, name: str, since, source: str | None = None, target: str | None = None) -> None:
+def refresh_silver(spark: SparkSession, name: str, since, source: str | None = None, target: str | None = None,
+                   changes: str | None = None) -> None:
     """Bring bronze rows loaded from ``since`` on into a day-partitioned silver table.
 
     Rewritten are the days of the new rows and the days in which their keys are now, so
     a row whose day has changed leaves its old day. The newest version of a key wins,
     also when it is already there; order items of an id are replaced by those of its
-    newest snapshot. A rerun changes nothing."""
+    newest snapshot. A rerun changes nothing.
+
+    ``changes`` names a table for what came and went (signed rows, see
+    `operators.increments`), one per refresh. It is written before silver is, and a rerun
+    leaves it as the first attempt found it."""
     source, target = source or f"bronze.{name}", target or f"silver.{name}"
     layout, keys = tables.SILVER_LAYOUT[name], schemas.PRIMARY_KEY[name]
     if not layout.day_of:
@@ -79,6 +84,9 @@ def refresh_silver(spark: SparkSession, name: str, since, source: str | None = N
     staging = f"{target}_staging"
     merged.write.mode("overwrite").saveAsTable(staging)
     days.write.mode("overwrite").saveAsTable(f"{staging}_days")
+    if changes and not spark.catalog.tableExists(changes):
+        business = [f.name for f in schemas.silver_schema(name).fields]
+        increments.changes(held.select(business), spark.read.table(staging).select(business)).write.saveAsTable(changes)
     own = spark.newSession()  # the mode below is set for this write alone
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     staged = own.read.table(staging)

@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None, star: bool = True):
 
 
 _MODULES = ("layers", "stars", "bands", "thresholds", "membership", "channels", "growth", "movement", "rollups",
-            "windows", "waypoints")
+            "windows", "waypoints", "kept")
 
 
 def _load() -> None:
