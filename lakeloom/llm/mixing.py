@@ -132,9 +132,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     without words has target 0. Rows equal in id and text are taken together. Other
     columns, whatever their names, are carried along; an empty table gives none."""
     cuts = cut_points(written(sized_rows(docs, seed).select("source", "key", "size"), "sized"), weights, share, ceiling)
-    keyed = docs.withColumn("_key", mix_key(F.col("doc_id"), F.col("text"), seed))
+    # the row goes along as one struct, so that no name of its columns meets one used here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document")
+    keyed = docs.select(row, "source", mix_key(F.col("doc_id"), F.col("text"), seed).alias("_key"))
     taken = _joined(keyed, written(cuts, "cuts")).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return taken.select("_document", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_document.*")
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
