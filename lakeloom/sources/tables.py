@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,28 @@ def initialize_namespaces(spark: SparkSession, names: Sequence[str] = LAYERS) ->
     return [r[0] for r in spark.sql("SHOW NAMESPACES").collect()]  # a handful of names
 
 
+@dataclass(frozen=True)
+class Transform:
+    """Hidden partitioning by a function of a column, for catalogs that have it: years,
+    months, days, hours, or bucket with a number of buckets."""
+
+    kind: str
+    column: str
+    buckets: int = 0
+
+    def __post_init__(self):
+        if self.kind not in ("years", "months", "days", "hours", "bucket") or (self.kind == "bucket") != (self.buckets > 0):
+            raise ValueError(f"no partition transform: {self}")
+
+    @property
+    def sql(self) -> str:
+        return f"{self.kind}({f'{self.buckets}, ' if self.buckets else ''}`{self.column}`)"
+
+    def expression(self) -> Column:
+        make = getattr(F.partitioning, self.kind)
+        return make(self.buckets, self.column) if self.buckets else make(self.column)
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a table is laid out on storage.
@@ -27,13 +49,32 @@ class Layout:
     (the built-in catalog has no hidden day partitioning), ``loaded_at`` another one
     before it, by which increments are found; ``partition_by`` are plain columns;
     ``sort_by`` orders rows inside each file; ``bloom`` columns get a Parquet Bloom
-    filter for point look-ups."""
+    filter for point look-ups.
+
+    ``provider`` is the table format. ``transforms`` are hidden partitions of a v2 catalog;
+    they stand in place of derived day columns, and such tables are written through the v2
+    writer, which lets the catalog ask for its own distribution. ``properties`` go to the
+    table as they are."""
 
     day_of: str | None = None
     loaded_at: str | None = None
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     bloom: tuple[str, ...] = ()
+    provider: str = "parquet"
+    transforms: tuple[Transform, ...] = ()
+    properties: tuple[tuple[str, str], ...] = ()
+
+    def __post_init__(self):
+        if self.transforms and (self.day_of or self.loaded_at):
+            raise ValueError("transforms take the place of derived day columns")
+
+    def hidden(self, provider: str, buckets: tuple[tuple[int, str], ...] = (), **properties: str) -> Layout:
+        """This layout for a v2 catalog: days of the timestamps in place of derived columns,
+        and buckets."""
+        days = tuple(Transform("days", c) for c in self.days.values())
+        return replace(self, day_of=None, loaded_at=None, provider=provider, properties=tuple(sorted(properties.items())),
+                       transforms=days + tuple(Transform("bucket", c, n) for n, c in buckets))
 
     @property
     def day_column(self) -> str | None:
@@ -76,20 +117,33 @@ GOLD_LAYOUT = {
 }
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
-                 layout: Layout = Layout(), path: str | None = None) -> None:
-    """CREATE TABLE IF NOT EXISTS from a StructType (no spliced DDL text)."""
+def create_statement(name: str, schema: T.StructType, layout: Layout = Layout(), path: str | None = None) -> str:
+    """CREATE TABLE IF NOT EXISTS of a StructType and a layout."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     columns += "".join(f", `{day}` date" for day in layout.days)
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+    pairs = lambda given: ", ".join(f"'{k}' '{v}'" for k, v in given)
+    sql = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {layout.provider}"
     if layout.bloom:
-        sql += " OPTIONS (" + ", ".join(
-            f"'parquet.bloom.filter.enabled#{c}' 'true'" for c in layout.bloom) + ")"
-    if layout.partitions:
-        sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in layout.partitions) + ")"
+        sql += f" OPTIONS ({pairs((f'parquet.bloom.filter.enabled#{c}', 'true') for c in layout.bloom)})"
+    if layout.partitions or layout.transforms:
+        sql += " PARTITIONED BY (" + ", ".join([*[f"`{c}`" for c in layout.partitions], *[t.sql for t in layout.transforms]]) + ")"
     if path:
         sql += f" LOCATION '{path}'"
-    spark.sql(sql)
+    if layout.properties:
+        sql += f" TBLPROPERTIES ({pairs(layout.properties)})"
+    return sql
+
+
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
+                 layout: Layout = Layout(), path: str | None = None) -> None:
+    spark.sql(create_statement(name, schema, layout, path))
+
+
+def _v2_writer(df: DataFrame, name: str, layout: Layout):
+    writer = df.writeTo(name).using(layout.provider)
+    for key, value in layout.properties:
+        writer = writer.tableProperty(key, value)
+    return writer.partitionedBy(*map(F.col, layout.partition_by), *[t.expression() for t in layout.transforms])
 
 
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
@@ -106,6 +160,8 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
 
 def append_rows(df: DataFrame, name: str, layout: Layout = Layout()) -> None:
     """Append by column name to an existing table of the session or a v2 catalog."""
+    if layout.transforms:
+        return df.writeTo(name).append()
     writer = arrange(df, layout).write.mode("append")
     if layout.partitions:
         writer = writer.partitionBy(*layout.partitions)
@@ -114,7 +170,11 @@ def append_rows(df: DataFrame, name: str, layout: Layout = Layout()) -> None:
 
 def overwrite_table(df: DataFrame, name: str, layout: Layout = Layout(),
                     path: str | None = None) -> None:
-    writer = arrange(df, layout).write.mode("overwrite").format("parquet")
+    if layout.transforms:
+        if path:
+            raise ValueError("a table with partition transforms lies where its catalog puts it")
+        return _v2_writer(df, name, layout).createOrReplace()
+    writer = arrange(df, layout).write.mode("overwrite").format(layout.provider)
     for c in layout.bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if layout.partitions:

@@ -5,6 +5,7 @@ import tempfile
 from datetime import datetime as dt
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom import schemas
@@ -109,3 +110,33 @@ def test_read_seed_keeps_rows_with_bad_dates(spark):
         f.write("id,created_at\n1,2020-01-01\n2,bad\n")
     got = seed.shift_dates(seed.read_seed(spark, path + "2", schemas.flat("id BIGINT, created_at TIMESTAMP")), 1)
     assert [r.created_at for r in got.orderBy("id").collect()] == [dt(2021, 1, 1), None]
+
+
+def test_hidden_partitions_of_a_v2_catalog(spark):
+    plain = tables.SILVER_LAYOUT["events"]
+    layout = plain.hidden("orc", ((16, "user_id"),), team="shop")
+    assert layout.partitions == [] and layout.days == {} and layout.sort_by == plain.sort_by
+    sql = tables.create_statement("lake.events", schemas.SOURCE["events"], layout)
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    parts = plan.partitioning()
+    assert parts.mkString(" ") == "days(created_at) bucket(16, user_id)"
+    spec = plan.tableSpec()
+    assert spec.provider().get() == "orc" and "team -> shop" in spec.properties().toString()
+    rows = spark.createDataFrame([], schemas.SOURCE["events"])
+    # the built-in catalog is no v2 catalog and says so
+    with pytest.raises(Exception, match="REPLACE TABLE"):
+        tables.overwrite_table(rows, "hidden_events", layout)
+    with pytest.raises(ValueError):
+        tables.overwrite_table(rows, "hidden_events", layout, "/tmp/x")
+    with pytest.raises(ValueError):
+        tables.Transform("bucket", "user_id")
+    with pytest.raises(ValueError):
+        tables.Layout(day_of="created_at", transforms=layout.transforms)
+
+
+def test_provider_of_a_layout(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, part string")
+    tables.overwrite_table(df, "orc_rows", tables.Layout(provider="orc", partition_by=("part",)))
+    assert spark.table("orc_rows").collect() == [(1, "a")]
+    found = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED orc_rows").collect()}
+    assert found["Provider"] == "orc"
