@@ -3,7 +3,8 @@
 Each function takes the silver tables as they are now and their changes (signed rows of
 `operators.increments.changes`; a table that is not named has not changed) and gives what is to be added to
 the sums of the touched keys. The change of a join is a sum of joins, in each of which one side is a
-change: a table already handled is taken as it is now, one still to come as it was before."""
+change: a table already handled is taken as it is now, one still to come as it was before. Joins with a
+table that was empty give nothing and are left out, as at a first load. Prices stay as given up to the sums."""
 
 from __future__ import annotations
 
@@ -20,17 +21,33 @@ from lakeloom.sources.frames import written_once
 Tables = Mapping[str, DataFrame]
 
 
+def _some(rows: DataFrame) -> DataFrame | None:
+    return None if rows.isEmpty() else rows
+
+
 def _narrow(now: Tables, change: Tables, name: str, *columns: Column) -> tuple[DataFrame, DataFrame | None]:
     """The wanted columns of a table and of its net changes; None where these have not changed."""
     table = now[name].select(*columns)
     if name not in change:
         return table, None
-    moved = written_once(netted(change[name].select(*columns, SIGN)), f"{name}_changes")
-    return table, None if moved.isEmpty() else moved
+    return table, _some(written_once(netted(change[name].select(*columns, SIGN)), f"{name}_changes"))
 
 
-def _was(now: DataFrame, change: DataFrame | None) -> DataFrame:
-    return signed(now) if change is None else before(now, change)
+def _slim(now: Tables, change: Tables, name: str, *columns: Column) -> tuple[DataFrame, DataFrame | None]:
+    """As `_narrow`, for changes that are read once, into sums: these cancel there, so the changes of a
+    large table are neither shuffled nor written beforehand."""
+    return now[name].select(*columns), _some(change[name].select(*columns, SIGN)) if name in change else None
+
+
+def _was(now: DataFrame, change: DataFrame | None, net: bool = False) -> DataFrame | None:
+    """The table before its change; None if it was empty, which two counts tell. With ``net`` a row that
+    has come is taken out before it can meet others, once as now and once as a change."""
+    if change is None:
+        return signed(now)
+    came = change.agg(F.sum(SIGN)).first()[0]  # one number
+    if now.count() == came:
+        return None
+    return netted(before(now, change)) if net else before(now, change)
 
 
 def _total(value: Column) -> Column:
@@ -44,6 +61,10 @@ def _united(parts: list[DataFrame]) -> DataFrame | None:
     return out
 
 
+def _old(now: DataFrame, change: DataFrame | None) -> DataFrame:
+    return signed(now) if change is None else before(now, change)
+
+
 def sales_performance_changes(now: Tables, change: Tables) -> DataFrame | None:
     """Per touched (order_date, product_category): revenue, priced and items to be added."""
     c = F.col
@@ -52,9 +73,9 @@ def sales_performance_changes(now: Tables, change: Tables) -> DataFrame | None:
     products, d_products = _narrow(now, change, "products", c("id").alias("product_id"), c("category").alias("product_category"))
     parts = []
     if d_items is not None:
-        parts.append(met(met(d_items, _was(orders, d_orders), "order_id"), _was(products, d_products), "product_id"))
+        parts.append(met(met(d_items, _old(orders, d_orders), "order_id"), _old(products, d_products), "product_id"))
     if d_orders is not None:
-        parts.append(met(met(d_orders, signed(items), "order_id"), _was(products, d_products), "product_id"))
+        parts.append(met(met(d_orders, signed(items), "order_id"), _old(products, d_products), "product_id"))
     if d_products is not None:
         parts.append(met(met(d_products, signed(items), "product_id"), signed(orders), "order_id"))
     rows = _united(parts)
@@ -78,7 +99,7 @@ def _with_newest(touched: DataFrame, **found: DataFrame) -> DataFrame:
 
 def user_engagement_changes(now: Tables, change: Tables) -> DataFrame | None:
     """Per touched user (NULL is one): events to be added and the newest event."""
-    _, d_events = _narrow(now, change, "events", F.col("user_id"), F.col("created_at"))
+    _, d_events = _slim(now, change, "events", F.col("user_id"), F.col("created_at"))
     if d_events is None:
         return None
     touched = written_once(d_events.groupBy("user_id").agg(F.sum(SIGN).alias("events")), "touched")
@@ -91,8 +112,12 @@ def user_statistics_changes(now: Tables, change: Tables) -> DataFrame | None:
     c = F.col
     _, d_users = _narrow(now, change, "users", c("id").alias("user_id"))
     orders, d_orders = _narrow(now, change, "orders", c("order_id"), c("user_id"), c("num_of_item"), c("created_at"))
-    items, d_items = _narrow(now, change, "order_items", c("order_id"), exact("sale_price").alias("price"))
-    _, d_events = _narrow(now, change, "events", c("user_id"), c("created_at"))
+    items, d_items = _slim(now, change, "order_items", c("order_id"), c("sale_price"))
+    _, d_events = _slim(now, change, "events", c("user_id"), c("created_at"))
+    # spend follows the order's user alone: an order that has another day or number of items meets no items
+    owners, d_owners = orders.select("order_id", "user_id"), None
+    if d_orders is not None:
+        d_owners = _some(written_once(netted(d_orders.select("order_id", "user_id", SIGN)), "owner_changes"))
 
     def summed(rows: DataFrame, **sums: Column) -> DataFrame:
         return rows.filter("user_id IS NOT NULL").groupBy("user_id").agg(*[v.alias(n) for n, v in sums.items()])
@@ -102,11 +127,12 @@ def user_statistics_changes(now: Tables, change: Tables) -> DataFrame | None:
         parts.append(summed(d_users, users=F.sum(SIGN)))
     if d_orders is not None:
         parts.append(summed(d_orders, orders=_total(c("order_id").isNotNull().cast("int")), items=_total(c("num_of_item"))))
-        parts.append(summed(met(d_orders, signed(items), "order_id"), spend=_total(c("price"))))
-    if d_items is not None:
+    if d_owners is not None:
+        parts.append(summed(met(d_owners, signed(items), "order_id"), spend=_total(exact("sale_price"))))
+    if d_items is not None and (old_owners := _was(owners, d_owners)) is not None:
         # sums of an order meet it as one row
-        per_order = d_items.groupBy("order_id").agg(_total(c("price")).alias("price"))
-        parts.append(summed(met(signed(per_order), _was(orders, d_orders), "order_id"), spend=_total(c("price"))))
+        per_order = d_items.groupBy("order_id").agg(_total(exact("sale_price")).alias("price")).filter("price <> 0")
+        parts.append(summed(met(signed(per_order), old_owners, "order_id"), spend=_total(c("price"))))
     if d_events is not None:
         parts.append(summed(d_events, events=F.sum(SIGN)))
     rows = _united(parts)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.increments import SIGN, SumTable, before, changes, netted
-from lakeloom.plans import gold, medallion
+from lakeloom.plans import gold, increments, kept, medallion, registry
 from lakeloom.plans.increments import KeptGold, refresh_gold
 from lakeloom.sources import tables
 from lakeloom.sources.snapshot import ingest_snapshot
@@ -93,6 +93,32 @@ def test_only_touched_keys_are_added(spark):
     assert {r.user_id: r.event_count for r in kept.table().collect()} == {u: 10 - (u == 7) for u in range(50)}
 
 
+def joins_of(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
+def test_orders_that_keep_their_user_meet_no_items(spark):
+    now = {n: spark.createDataFrame(rows, TYPES[n]).coalesce(1) for n, rows in world(3)(TYPES).items()}
+    was = now["orders"].withColumn("num_of_item", F.lit(77)).withColumn("created_at", F.lit(dt(2023, 1, 1)))
+    change = {"orders": changes(was, now["orders"])}
+    assert joins_of(increments.user_statistics_changes(now, change)) == joins_of(increments.user_statistics_changes(now, {"users": changes(now["users"].limit(0), now["users"])}))
+
+
+@pytest.mark.parametrize("name", ["sales_performance_kept", "user_statistics_kept", "user_engagement_kept"])
+def test_the_history_is_told_row_by_row(spark, sf_dir, name, monkeypatch):
+    """The signed rows fed in are the net difference of two times, and nothing else."""
+    fed = []
+    monkeypatch.setattr(kept.KeptGold, "apply", lambda self, number, now, change: fed.append((now, change)))
+    registry.plans()[name](spark, sf_dir.replace("sf0.01", "sf0.001"))
+    assert len(fed) == 3
+    for k, (now, change) in enumerate(fed):
+        for n, table in now.items():
+            want = changes(fed[k - 1][0][n] if k else table.limit(0), table)
+            got = change.get(n, table.limit(0).withColumn(SIGN, F.lit(1)))
+            assert rows_of(netted(got).select(want.columns)) == rows_of(want)
+            assert got.count() == want.agg(F.sum(F.abs(SIGN))).first()[0] or want.isEmpty() and got.isEmpty()
+
+
 def test_sum_table_reads_base_and_later_increments(spark):
     t = SumTable(spark, folder() + "/sums", "k string", ["n"], "top int").create()
     assert t.rows().collect() == []
