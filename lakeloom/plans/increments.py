@@ -61,26 +61,28 @@ def _united(parts: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def _old(now: DataFrame, change: DataFrame | None) -> DataFrame:
-    return signed(now) if change is None else before(now, change)
-
-
 def sales_performance_changes(now: Tables, change: Tables) -> DataFrame | None:
     """Per touched (order_date, product_category): revenue, priced and items to be added."""
     c = F.col
-    items, d_items = _narrow(now, change, "order_items", c("order_id"), c("product_id"), exact("sale_price").alias("price"))
-    orders, d_orders = _narrow(now, change, "orders", c("order_id"), F.date_trunc("day", "created_at").alias("order_date"))
+    items, d_items = _slim(now, change, "order_items", c("order_id"), c("product_id"), c("sale_price"))
+    day = F.date_trunc("day", "created_at").alias("order_date")
     products, d_products = _narrow(now, change, "products", c("id").alias("product_id"), c("category").alias("product_category"))
-    parts = []
-    if d_items is not None:
-        parts.append(met(met(d_items, _old(orders, d_orders), "order_id"), _old(products, d_products), "product_id"))
-    if d_orders is not None:
-        parts.append(met(met(d_orders, signed(items), "order_id"), _old(products, d_products), "product_id"))
+    parts, old_products = [], _was(products, d_products, net=True)
+    if old_products is not None:
+        orders, d_orders = _narrow(now, change, "orders", c("order_id"), day)
+        if d_items is not None and (old_orders := _was(orders, d_orders, net=True)) is not None:
+            parts.append(met(met(d_items, old_orders, "order_id"), old_products, "product_id"))
+        if d_orders is not None:
+            parts.append(met(met(d_orders, signed(items), "order_id"), old_products, "product_id"))
     if d_products is not None:
-        parts.append(met(met(d_products, signed(items), "product_id"), signed(orders), "order_id"))
+        parts.append(met(met(d_products, signed(items), "product_id"), signed(now["orders"].select("order_id", day)), "order_id"))
     rows = _united(parts)
-    return rows and rows.groupBy("order_date", "product_category").agg(
-        _total(c("price")).alias("revenue"), _total(c("price").isNotNull().cast("int")).alias("priced"), F.sum(SIGN).alias("items"))
+    if rows is None:
+        return None
+    price = exact("sale_price")
+    sums = rows.groupBy("order_date", "product_category").agg(
+        _total(price).alias("revenue"), _total(price.isNotNull().cast("int")).alias("priced"), F.sum(SIGN).alias("items"))
+    return sums.filter("revenue <> 0 OR priced <> 0 OR items <> 0")
 
 
 def _newest(rows: DataFrame, touched: DataFrame, name: str) -> DataFrame:

@@ -97,6 +97,15 @@ def joins_of(rows):
     return rows._jdf.queryExecution().optimizedPlan().toString().count("Join ")
 
 
+def test_a_first_load_joins_each_table_once(spark):
+    now = {n: spark.createDataFrame(rows, TYPES[n]).coalesce(1) for n, rows in world(3)(TYPES).items()}
+    change = {n: changes(t.limit(0), t) for n, t in now.items()}
+    assert joins_of(increments.sales_performance_changes(now, change)) == 2
+    # tables that were there meet the changes of the others
+    assert joins_of(increments.sales_performance_changes(now, {"products": change["products"], "orders": change["orders"].limit(5)})) == 2
+    assert joins_of(increments.sales_performance_changes(now, {"order_items": change["order_items"].limit(5)})) == 2
+
+
 def test_orders_that_keep_their_user_meet_no_items(spark):
     now = {n: spark.createDataFrame(rows, TYPES[n]).coalesce(1) for n, rows in world(3)(TYPES).items()}
     was = now["orders"].withColumn("num_of_item", F.lit(77)).withColumn("created_at", F.lit(dt(2023, 1, 1)))
