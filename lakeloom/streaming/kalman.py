@@ -11,6 +11,8 @@ both are prefix scans:
    each piece; the pieces are run from there, again in step.
 3. Rows of a track that a range does not begin carry their map from the range's start.
    The states at the starts follow from the two end rows of each range, and complete those rows.
+4. Tracks that lie in one batch of a range from end to end are run backwards at once, in the same
+   task. Only what is left, the first and the last track of each batch, is dealt by range again.
 
 x and y share the model, so they share all matrices. The number of ranges is that of
 shuffle partitions; their end rows are all that comes to the driver."""
@@ -321,12 +323,12 @@ def _numbers(names: list[str]) -> list[T.StructField]:
 
 _SMOOTH = ["x_smooth", "y_smooth", "vx", "vy"]
 _PLACE = [T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType()), T.StructField("_last", T.BooleanType()),
-          T.StructField("_open", T.BooleanType()), T.StructField("_from", T.DoubleType())]
+          T.StructField("_open", T.BooleanType()), T.StructField("_from", T.DoubleType()), T.StructField("_done", T.BooleanType())]
 
 
-def _placed(runner, names: list[str], part_of: Callable) -> Callable:
+def _placed(runner, names: list[str], part_of: Callable, finish: Callable) -> Callable:
     """Runs a pass over the batches of a range, and numbers its rows; its last one is
-    marked."""
+    marked. ``finish`` gets the rows of each batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done, waiting = 0, None
         here = runner()
@@ -334,7 +336,7 @@ def _placed(runner, names: list[str], part_of: Callable) -> Callable:
             if waiting is not None:
                 yield waiting
             out = here.run(rows)
-            waiting = out.assign(_part=np.int32(part_of(rows)), _at=np.arange(done, done + len(out)), _last=False)[names]
+            waiting = finish(out.assign(_part=np.int32(part_of(rows)), _at=np.arange(done, done + len(out)), _last=False, _done=False))[names]
             done += len(rows)
         if waiting is not None:
             waiting.iloc[-1, waiting.columns.get_loc("_last")] = True
@@ -361,19 +363,21 @@ def _states_at_starts(firsts: list, lasts: list, model: _Model) -> dict[int, np.
     return found
 
 
-def _filtered(df: DataFrame, vehicle: str, ts: str, x: str, y: str, tie: str | None, slice_seconds: int, model: _Model) -> DataFrame:
-    """All rows with the result of the forward pass, their state, range and place."""
+def _filtered(df: DataFrame, vehicle: str, ts: str, x: str, y: str, tie: str | None, slice_seconds: int, model: _Model,
+              finish: Callable) -> tuple[DataFrame, DataFrame]:
+    """Rows that ``finish`` has done, as shown; and all others with the result of the forward pass, their state,
+    range and place."""
     spark = df.sparkSession
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000.0)
-    keyed = df.withColumns({"_t": seconds, "_slice": F.coalesce(F.floor(seconds / slice_seconds), F.lit(-(2**62))).cast("bigint"),
-                            "_vehicle": F.coalesce(F.concat(F.lit("v"), F.col(vehicle).cast("string")), F.lit(""))})
+    keyed = df.withColumns({"_t": seconds, "_vehicle": F.coalesce(F.concat(F.lit("v"), F.col(vehicle).cast("string")), F.lit("")),
+                            "_slice": F.coalesce(F.floor(seconds / slice_seconds), F.lit(-(2**62))).cast("bigint")})
     order = ["_vehicle", "_t", *([tie] if tie else [])]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = T.StructType([*keyed.schema.fields, *_numbers(_SMOOTH), *_PLACE, *_numbers(_STATE), T.StructField("_map", T.BinaryType())])
+    schema = T.StructType([*keyed.drop("_slice").schema.fields, *_numbers(_SMOOTH), *_PLACE, *_numbers(_STATE), T.StructField("_map", T.BinaryType())])
     names = schema.fieldNames()
     xs, ys = x, y
     first = written_once(keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInPandas(
-        _placed(lambda: _Forward(model, xs, ys), names, lambda rows: TaskContext.get().partitionId()), schema), "forward")
+        _placed(lambda: _Forward(model, xs, ys), names, lambda rows: TaskContext.get().partitionId(), finish), schema), "forward")
     ends = first.select("_part", "_vehicle", "_t", "_open", "_from", *_STATE, "_map")
     starts, lasts = (ends.where(end).orderBy("_part").collect() for end in (first["_at"] == 0, first["_last"]))
     before = spark.sparkContext.broadcast(_states_at_starts(starts, lasts, model))
@@ -382,7 +386,7 @@ def _filtered(df: DataFrame, vehicle: str, ts: str, x: str, y: str, tie: str | N
         nothing = np.array([np.nan])
         for rows in batches:
             parts = rows["_part"].to_numpy()
-            at = np.flatnonzero(rows["_open"].to_numpy() & np.isin(parts, list(before.value)))
+            at = np.flatnonzero(np.isin(parts, list(before.value)))
             if len(at):
                 held = np.array([before.value[p] for p in parts[at]])
                 n = len(at)
@@ -395,7 +399,8 @@ def _filtered(df: DataFrame, vehicle: str, ts: str, x: str, y: str, tie: str | N
             yield rows.drop(columns="_map")
 
     schema = T.StructType([f for f in schema.fields if f.name != "_map"])
-    return first.mapInPandas(completed, schema)
+    rest = first.where("NOT _done AND NOT _open").drop("_map").unionByName(first.where("_open").mapInPandas(completed, schema))
+    return first.where("_done").select(*[F.col(f"`{c}`") for c in df.columns], *_SMOOTH), rest
 
 
 def kalman_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp", x: str = "x", y: str = "y",
@@ -407,8 +412,8 @@ def kalman_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp"
     vehicle before its first position have no state. Rows without a vehicle are one
     track; rows without a time come first and are shown as they are."""
     model = _Model(process_noise, measurement_noise, velocity_variance)
-    done = _filtered(df, vehicle, ts, x, y, tie, slice_seconds, model)
-    return done.select(*[F.col(f"`{c}`") for c in df.columns], *_SMOOTH)
+    _, rest = _filtered(df, vehicle, ts, x, y, tie, slice_seconds, model, lambda rows: rows)
+    return rest.select(*[F.col(f"`{c}`") for c in df.columns], *_SMOOTH)
 
 
 def _step_back(state: np.ndarray, dt: np.ndarray, model: _Model) -> tuple[np.ndarray, np.ndarray]:
@@ -483,13 +488,34 @@ class _Backward:
         return out.assign(_map=_packed(kept, opened))
 
 
+def _whole_tracks(model: _Model) -> Callable:
+    """Runs the tracks of a batch that begin and end inside it backwards at once. The first and the last
+    track of a batch may go on elsewhere and are left. What is done needs no state any more."""
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        tracks = rows["_vehicle"].to_numpy()
+        cuts = np.flatnonzero(tracks[1:] != tracks[:-1]) + 1
+        if len(cuts) < 2:
+            return rows
+        low, high = int(cuts[0]), int(cuts[-1])
+        smooth = _Backward(model).run(rows.iloc[low:high][::-1].reset_index(drop=True))[_SMOOTH].to_numpy(dtype=float)[::-1]
+        inner = np.zeros(len(rows), bool)
+        inner[low:high] = True
+        shown = {c: rows[c].to_numpy(dtype=float, copy=True) for c in _SMOOTH}
+        for k, c in enumerate(_SMOOTH):
+            shown[c][low:high] = smooth[:, k]
+        spent = {c: np.where(inner, np.nan, rows[c].to_numpy(dtype=float)) for c in ["_from", *_STATE]}
+        return rows.assign(**shown, **spent, _vehicle=np.where(inner, "", tracks), _done=inner)
+
+    return finish
+
+
 def rts_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp", x: str = "x", y: str = "y",
                tie: str | None = None, slice_seconds: int = 3600, process_noise: float = 1e-3,
                measurement_noise: float = 1.0, velocity_variance: float = 1.0) -> DataFrame:
     """As `kalman_smooth`, but each state is given all rows of the vehicle, later ones
     included: the filter, then the Rauch-Tung-Striebel pass from the last row back."""
     spark, model = df.sparkSession, _Model(process_noise, measurement_noise, velocity_variance)
-    forward = written_once(_filtered(df, vehicle, ts, x, y, tie, slice_seconds, model), "filtered")
+    done, forward = _filtered(df, vehicle, ts, x, y, tie, slice_seconds, model, _whole_tracks(model))
     schema = T.StructType([*forward.schema.fields, T.StructField("_map", T.BinaryType())])
     names, ranges = schema.fieldNames(), int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a task may hold several ranges, one after the other
@@ -502,7 +528,7 @@ def rts_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp", x
     def completed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             parts = rows["_part"].to_numpy()
-            at = np.flatnonzero(rows["_open"].to_numpy() & np.isin(parts, list(means.value)))
+            at = np.flatnonzero(np.isin(parts, list(means.value)))
             if len(at):
                 e, g = _unpacked(rows["_map"].to_numpy()[at])
                 mean = (e @ np.array([means.value[p] for p in parts[at]]) + g).reshape(-1, 4)
@@ -512,7 +538,8 @@ def rts_smooth(df: DataFrame, vehicle: str = "vehicle", ts: str = "timestamp", x
 
     out = T.StructType([*df.schema.fields, *_numbers(_SMOOTH)])
     out_names = out.fieldNames()
-    return back.mapInPandas(completed, out)
+    shown = back.where("NOT _open").select(*[F.col(f"`{c}`") for c in out_names])
+    return done.unionByName(shown).unionByName(back.where("_open").mapInPandas(completed, out))
 
 
 def _range_by_range(runner: Callable, names: list[str]) -> Callable:

@@ -86,6 +86,26 @@ def test_a_hot_track_across_ranges(spark, ranges):
         spark.conf.set("spark.sql.shuffle.partitions", held)
 
 
+def test_only_tracks_at_the_ends_of_batches_are_dealt_again(spark, monkeypatch):
+    written, keep = {}, kalman.written_once
+
+    def counted(df, name):
+        out = keep(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(kalman, "written_once", counted)
+    monkeypatch.setattr(kalman, "_ROWS_AT_ONCE", 150)
+    rows = tracks(4, [12] * 60 + [90, 1, 1])
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3)
+    try:
+        same(shown(rts_smooth(spark.createDataFrame(rows, SCHEMA).repartition(4, "n"), tie="n")), both_passes(rows)[1])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert written["forward"] == len(rows) and 0 < written["backward"] < len(rows) / 2
+
+
 def test_small_chunks_change_nothing():
     """The passes of one range, run over chunks of a few rows."""
     import pandas as pd
