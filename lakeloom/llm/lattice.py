@@ -33,7 +33,7 @@ from lakeloom.llm.tables import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.001          # per unit of score; a score is minus the rank of the merge
 SEED = 29
-EDGES = 3_000_000      # edges of chunk lattices that a task keeps
+EDGES = 6_000_000      # edges of chunk lattices that a task keeps; 12 bytes each
 CHUNKS = 200_000       # chunks, about, filtered and sampled in step
 _CHUNK = re.compile(r"\n| ?[^ \n]+| ")
 _BYTE_WEIGHT = -32.0   # log weight of a character that is cut into bytes; it has no other way
@@ -80,7 +80,8 @@ class Lattices(dict):
     """Chunk -> its last node. A node stands for the place after a character; its edges
     are the pieces that end there: ``piece``, ``source`` (node that the piece begins
     after, -1: the chunk's start) and ``until``, the running share of the node's
-    edges. ``first`` is a node's first edge."""
+    edges. ``first`` is a node's first edge; both nodes and edges are in order. ``again``:
+    chunks met again since they were filtered or last kept."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
@@ -97,7 +98,34 @@ class Lattices(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.first, self.piece, self.source, self.until = (np.empty(0, t) for t in (np.int64, np.int32, np.int32, np.float32))
+        self.again: set[str] = set()
+        self.first, self.piece, self.source, self.until = (np.empty(0, t) for t in (np.int32, np.int32, np.int32, np.float32))
+
+    def shrink(self) -> None:
+        """Forget the chunks that were not met again, as most rare ones are not; all, if the others are too many."""
+        chunks = [c for c in self if c in self.again]
+        count = np.diff(np.append(self.first, len(self.piece)))
+        ends, sizes = np.array([self[c] for c in chunks], np.int64), np.array([len(c) for c in chunks], np.int64)
+        kept = np.zeros(len(self.first), bool)
+        kept[np.repeat(ends - sizes + 1 - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))] = True
+        more = kept
+        while more.any():  # nodes inside spelled characters
+            sources = self.source[np.repeat(more, count)]
+            more = np.zeros(len(kept), bool)
+            more[sources[sources >= 0]] = True
+            more &= ~kept
+            kept |= more
+        edges = np.repeat(kept, count)
+        if edges.sum() > EDGES // 2:
+            self.reset()
+            return
+        place = (np.cumsum(kept) - 1).astype(np.int32)
+        source = self.source[edges]
+        self.piece, self.until, self.source = self.piece[edges], self.until[edges], np.where(source >= 0, place[source], np.int32(-1))
+        self.first = (np.cumsum(count[kept]) - count[kept]).astype(np.int32)
+        self.clear()
+        self.again = set()
+        self.update(zip(chunks, place[ends].tolist()))
 
     def __missing__(self, chunk: str) -> int:
         self.add([chunk])
@@ -154,7 +182,7 @@ class Lattices(dict):
                 more_source.append(before)
                 before = nodes + at + len(more_piece) - 1
             piece[e], source[e] = ids[-1], before
-        self.first = np.concatenate([self.first, first + edges, np.array(more_first, np.int64)])
+        self.first = np.concatenate([self.first, (first + edges).astype(np.int32), np.array(more_first, np.int32)])
         self.piece = np.concatenate([self.piece, piece.astype(np.int32), np.array(more_piece, np.int32)])
         self.source = np.concatenate([self.source, source.astype(np.int32), np.array(more_source, np.int32)])
         self.until = np.concatenate([self.until, until.astype(np.float32), np.full(len(more_piece), 2.0, np.float32)])
@@ -165,8 +193,9 @@ class Lattices(dict):
         """Share of each edge among the weights of all cuts that end at its node: the
         forward sums, in logs, for all chunks at once, one character after the other."""
         alpha, share = np.zeros(nodes + 1), np.empty(len(log))  # the last place: the starts
-        order = np.argsort(depth, kind="stable")
-        borders = np.searchsorted(depth[order], np.arange(depth.max() + 2)) if len(depth) else [0]
+        deepest = int(depth.max()) if len(depth) else 0
+        order = np.argsort(depth.astype(np.int16) if deepest < 1 << 15 else depth, kind="stable")  # short ones by radix
+        borders = np.searchsorted(depth[order], np.arange(deepest + 2)) if len(depth) else [0]
         for low, high in zip(borders[:-1], borders[1:]):
             e = order[low:high]
             t, n = alpha[source[e]] + log[e], node[e]
@@ -220,7 +249,10 @@ def _sampled(texts: list[str | None], keys: np.ndarray, lattices: Lattices) -> p
         own = _CHUNK.findall(" " + text) if text else []
         chunks += own
         numbers.append(len(own))
-    lattices.add([c for c in set(chunks) if c not in lattices])
+    met = set(chunks)
+    new = [c for c in met if c not in lattices]
+    lattices.again |= met.difference(new)
+    lattices.add(new)
     ends, numbers = list(map(lattices.__getitem__, chunks)), np.array(numbers)
     starts = np.cumsum(numbers) - numbers
     row = np.repeat(np.arange(len(texts)), numbers)
@@ -244,7 +276,7 @@ def _encoder(shared, text_at: int, key_at: int, keep: int):
                     taken.append(texts[at + len(taken)].as_py())
                     size += len(taken[-1] or "")
                 if len(lattices.piece) > EDGES:
-                    lattices.reset()
+                    lattices.shrink()
                 part = batch.slice(at, len(taken))
                 ids = _sampled(taken, keys[at: at + len(taken)], lattices)
                 yield pa.RecordBatch.from_arrays([*part.columns[:keep], ids], names=[*part.schema.names[:keep], "_ids"])

@@ -46,6 +46,26 @@ def test_long_chunks_do_not_underflow():
     assert b"".join(net.pieces.spelled[i] for i in out)[1:].decode() == text
 
 
+def test_what_was_met_again_is_kept_and_draws_the_same(monkeypatch):
+    texts = [f"often 漢é\x01 seen word{k} \U0001f600{k}" for k in range(40)]
+    keys = np.arange(40).astype(np.uint64)
+    whole, net = (lattice.Lattices(lattice.load_pieces()) for _ in range(2))
+    want = lattice._sampled(texts, keys, whole).to_pylist()
+    filtered, add = [], net.add
+    net.add = lambda chunks: (filtered.extend(chunks), add(chunks))
+    got = []
+    for k in range(40):
+        if k in (5, 20, 21):
+            net.shrink()
+        got += lattice._sampled([texts[k]], keys[k:k + 1], net).to_pylist()
+    assert got == want
+    assert filtered.count(" often") == filtered.count(" 漢é\x01") == 1 and " word1" not in net and " often" in net
+    assert len(net.piece) < len(whole.piece) and (np.diff(net.first) > 0).all()
+    monkeypatch.setattr(lattice, "EDGES", 4)
+    net.shrink()
+    assert not net and not len(net.piece)
+
+
 def test_pieces_do_not_depend_on_partitions_and_come_back(spark):
     docs = awkward_docs(spark).withColumnRenamed("label", "ids")
     once = lattice.decode(lattice.encode(docs.repartition(1)))
